@@ -59,6 +59,24 @@ def _length(dtype: T.DataType) -> int | None:
     return dtype.length if isinstance(dtype, (T.VarcharType, T.CharType)) else None
 
 
+def observed_columns(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
+    """Column metadata with what the data shows: filled values and the longest text per column."""
+    parts = []
+    for name, df in frames.items():
+        longest = lambda f: F.max(F.length(f.name)) if isinstance(f.dataType, T.StringType) else F.lit(None)
+        stats = [
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.count(f.name).alias("filled_values"),
+                longest(f).cast("int").alias("longest_text"),
+            ).alias(f.name)
+            for f in df.schema.fields
+        ]
+        one_row = df.agg(*stats)
+        parts.append(one_row.select(F.lit(name).alias("table_name"), F.explode(F.array(*df.columns)).alias("m")).select("table_name", "m.*"))
+    return column_metadata(spark, frames).join(union_all(parts), ["table_name", "column_name"])
+
+
 def table_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per data file of a stored table, with its rows, bytes and time of writing.
 

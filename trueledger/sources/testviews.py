@@ -162,7 +162,14 @@ def budget_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def finance(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+# Ledger columns that need no lookup.
+LEDGER_ONLY = [
+    "transaction_id", "transaction_date", "posting_date", "fiscal_year", "fiscal_period", "account_number", "account_name",
+    "department", "debit_amount", "credit_amount", "currency_code", "description", "source_system", "created_by", "created_timestamp",
+]
+
+
+def finance(spark: SparkSession, sf_dir: str, gl_columns: list[str] | None = None) -> dict[str, DataFrame]:
     """The six tables, lazily."""
     return {
         "chart_of_accounts": chart_of_accounts(spark, sf_dir),
@@ -170,7 +177,7 @@ def finance(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "vendors": vendors(spark, sf_dir),
         "budget_actual": budget_actual(spark, sf_dir),
         "invoices": invoices(spark, sf_dir),
-        "gl_transactions": gl_transactions(spark, sf_dir),
+        "gl_transactions": gl_transactions(spark, sf_dir, gl_columns),
     }
 
 
