@@ -42,13 +42,13 @@ def table(rows, names) -> Counter:
     return Counter(tuple((kind(r[i]) if r[i] is not None else "null", str(r[i])) for i in order) for r in rows)
 
 
-def differences(df, con, sql: str) -> list[str]:
-    """Empty when names, types, row counts and every value agree."""
+def differences(df, con, sql: str) -> tuple[int, list[str]]:
+    """Row count, and no problems when names, types, row counts and every value agree."""
     got = df.collect()
     result = con.execute(sql)
     names, want = [d[0] for d in result.description], result.fetchall()
     if sorted(df.columns) != sorted(names):
-        return [f"columns {sorted(df.columns)} != {sorted(names)}"]
+        return len(got), [f"columns {sorted(df.columns)} != {sorted(names)}"]
     left, right = table([tuple(r) for r in got], df.columns), table(want, names)
     problems = []
     if len(got) != len(want):
@@ -56,7 +56,7 @@ def differences(df, con, sql: str) -> list[str]:
     if left != right:
         problems.append(f"only spark: {list((left - right).items())[:2]}")
         problems.append(f"only sql:   {list((right - left).items())[:2]}")
-    return problems
+    return len(got), problems
 
 
 def main() -> None:
@@ -75,15 +75,14 @@ def main() -> None:
         start = time.time()
         try:
             if name in registry.ORACLES:
-                problems = differences(fn(spark, sf_dir), duck(sf_dir), registry.ORACLES[name])
-                n = "-"
+                n, problems = differences(fn(spark, sf_dir), duck(sf_dir), registry.ORACLES[name])
             else:
                 n, problems = len(fn(spark, sf_dir).collect()), []
         except Exception as e:  # noqa: BLE001
             problems = [f"{type(e).__name__}: {str(e)[:600]}"]
             n = "-"
         bad += bool(problems)
-        print(f"{'BAD ' if problems else 'ok  '} {name:32s} {time.time() - start:6.2f}s {'' if name in registry.ORACLES else f'(no sql, {n} rows)'}", flush=True)
+        print(f"{'BAD ' if problems else 'ok  '} {name:32s} {time.time() - start:6.2f}s {n:>7} rows{'' if name in registry.ORACLES else ' (no sql)'}", flush=True)
         for p in problems:
             print("      ", p)
     print("differing:", bad)

@@ -1,5 +1,6 @@
 from trueledger.functions.finance import (  # noqa: F401
     VARIANCE_BANDS,
+    as_of_date,
     money,
     ratio,
     safe_percent,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +20,11 @@ VARIANCE_BANDS: list[tuple[int | None, str]] = [
 ]
 
 
+def as_of_date(as_of: dt.date | None) -> Column:
+    """The day a report is made for; today unless given."""
+    return F.current_date() if as_of is None else F.lit(as_of)
+
+
 def money(c: Column) -> Column:
     """Money is decimal before any sum, so that results do not depend on row order."""
     return c.cast("decimal(18,2)")

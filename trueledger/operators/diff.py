@@ -33,6 +33,20 @@ def fast_fingerprint(df: DataFrame, table: str, columns: list[str] | None = None
     return sums.select(F.lit(table).alias("table_name"), "row_count", "hash_xor", "hash_high", "hash_low")
 
 
+def same_content(source: DataFrame, target: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
+    """One row saying whether two tables hold the same rows, in any order and partitioning."""
+    columns = columns or source.columns
+    sides = [fast_fingerprint(df, table, columns).withColumn("is_source", F.lit(flag)) for df, flag in ((source, True), (target, False))]
+    both = sides[0].unionByName(sides[1])
+    hashes = F.struct("row_count", "hash_xor", "hash_high", "hash_low")
+    value = lambda what, flag: F.max(F.when(F.col("is_source") == flag, what))
+    return both.groupBy("table_name").agg(
+        value(F.col("row_count"), True).alias("source_rows"),
+        value(F.col("row_count"), False).alias("target_rows"),
+        value(hashes, True).eqNullSafe(value(hashes, False)).alias("same"),
+    )
+
+
 def _hash_sums(h: Column) -> list[Column]:
     """XOR alone cancels equal pairs; two sums of 24-bit parts do not, and cannot overflow."""
     return [

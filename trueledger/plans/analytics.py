@@ -12,16 +12,12 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trueledger.functions import money, ratio, safe_percent
+from trueledger.functions import as_of_date, money, ratio, safe_percent
 from trueledger.functions.finance import scaled
 
 THOUSAND, MILLION = 1_000, 1_000_000
 
 
-def as_of_date(as_of: dt.date | None) -> Column:
-    return F.current_date() if as_of is None else F.lit(as_of)
-
-
 def _fiscal_from(gl: DataFrame, first_year: int) -> DataFrame:
     """Years from ``first_year`` on. The date bound says the same in a form the scan can use."""
     return gl.where((F.col("fiscal_year") >= first_year) & (F.col("transaction_date") >= F.lit(dt.date(first_year, 1, 1))))

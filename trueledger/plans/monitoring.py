@@ -7,9 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trueledger.functions.finance import PASS, REVIEW, ratio
+from trueledger.functions.finance import PASS, REVIEW, as_of_date, ratio
 from trueledger.operators.statistical import discrete_percentile
-from trueledger.plans.analytics import as_of_date
 from trueledger.sources.tables import union_all
 
 # Metric, threshold (an alert above it) and severity.

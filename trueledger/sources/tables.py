@@ -20,11 +20,11 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, root, name) for name in TABLES}
 
 
-def ensure_namespace(spark: SparkSession, database: str) -> None:
-    """Create a namespace where it is absent."""
+def ensure_namespace(spark: SparkSession, database: str, location: str | None = None) -> None:
+    """Create a namespace where it is absent, at ``location`` or in the warehouse folder."""
     if not database.replace("_", "").isalnum():
         raise ValueError(f"not a plain namespace name: {database!r}")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trueledger.functions import money, safe_percent
+from trueledger.operators.grants import ROLE_MAPPING, role_mapping
 
 DATABASE = "ENTERPRISE_FINANCE"
 
@@ -361,6 +362,17 @@ def team_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roles to migrate: the five named ones and every team's."""
+    named = spark.createDataFrame([(row[0],) for row in ROLE_MAPPING], "role string")
+    teams = _read(spark, sf_dir, "customer").where("c_custkey > 4").select(role_name(F.col("c_custkey")).alias("role"))
+    return named.unionByName(teams)
+
+
+def mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return role_mapping(spark).unionByName(team_mapping(spark, sf_dir))
+
+
 def current_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Who is a member of the workspace today, and with which access."""
     access = F.element_at(
