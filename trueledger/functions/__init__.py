@@ -8,4 +8,4 @@ from trueledger.functions.finance import (  # noqa: F401
     status_exact,
     variance_band,
 )
-from trueledger.functions.hashing import portable_hash, row_hash  # noqa: F401
+from trueledger.functions.hashing import portable_hashes, row_hash  # noqa: F401

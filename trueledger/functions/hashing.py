@@ -1,13 +1,13 @@
 """Row hashes.
 
-``row_hash`` is the fast 64-bit hash for comparing two tables inside Spark. ``portable_hash`` is
+``row_hash`` is the fast 64-bit hash for comparing two tables inside Spark. ``portable_hashes`` is
 slower but written only with MD5 over canonical text, so any SQL engine can compute the same value
 on its own side of a copy.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,16 +29,17 @@ def row_hash(schema: T.StructType, columns: list[str]) -> Column:
 
 
 def _portable_text(field: T.StructField) -> Column:
-    c = F.col(field.name)
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-        text = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    else:
-        text = c.cast("string")
-    # Length prefix: no two different rows can spell the same text.
-    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+        return F.date_format(field.name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return F.col(field.name).cast("string")
+
 
+def portable_hashes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``row_hash`` per row: the first 60 bits of MD5 over the length-prefixed text of every column.
 
-def portable_hash(schema: T.StructType, columns: list[str]) -> Column:
-    """First 60 bits of MD5 over the length-prefixed text of every column, as a decimal."""
-    text = F.concat(*[_portable_text(schema[name]) for name in columns])
-    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("decimal(20,0)")
+    The prefix keeps two different rows from spelling the same text; a NULL is a dash.
+    """
+    texts = df.select(*[_portable_text(df.schema[name]).alias(name) for name in columns])
+    spelled = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in columns]
+    digest = texts.select(F.md5(F.concat(*spelled)).alias("digest"))
+    return digest.select(F.conv(F.substring("digest", 1, 15), 16, 10).cast("bigint").alias("row_hash"))

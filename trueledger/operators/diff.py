@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trueledger.functions.hashing import portable_hash, row_hash
+from trueledger.functions.hashing import portable_hashes, row_hash
 from trueledger.operators.statistical import both_sides
 
 
@@ -19,11 +19,9 @@ def fingerprint(df: DataFrame, table: str, columns: list[str] | None = None) ->
 
     MD5 based, so another engine can compute the same number on its own copy.
     """
-    columns = columns or df.columns
-    h = portable_hash(df.schema, columns)
-    return df.agg(
-        F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum(h), F.lit(0)).cast("decimal(38,0)").alias("hash_sum")
-    ).select(F.lit(table).alias("table_name"), "row_count", "hash_sum")
+    total = F.coalesce(F.sum(F.col("row_hash").cast("decimal(19,0)")), F.lit(0)).cast("decimal(38,0)")
+    hashes = portable_hashes(df, columns or df.columns)
+    return hashes.agg(F.count(F.lit(1)).alias("row_count"), total.alias("hash_sum")).select(F.lit(table).alias("table_name"), "row_count", "hash_sum")
 
 
 def fast_fingerprint(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:

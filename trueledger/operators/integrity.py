@@ -94,12 +94,11 @@ def critical_nulls(gl: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """One row per column: total rows and NULLs, from one pass over the table."""
-    counts = df.agg(F.count(F.lit(1)).alias("_total"), *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    return counts.select(
-        F.lit(table).alias("table_name"),
-        F.col("_total").alias("total_rows"),
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("null_rows")) for c in columns])).alias("m"),
-    ).select("table_name", "m.column_name", "total_rows", "m.null_rows")
+    counted = df.selectExpr("count(1) AS total_rows", *[f"count(`{c}`) AS `{c}`" for c in columns])
+    rows = ", ".join(f"'{c}', total_rows - `{c}`" for c in columns)
+    return counted.selectExpr(
+        f"'{table}' AS table_name", "total_rows", f"stack({len(columns)}, {rows}) AS (column_name, null_rows)"
+    ).select("table_name", "column_name", "total_rows", "null_rows")
 
 
 def required_nulls(frames: dict[str, DataFrame], required: dict[str, list[str]]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Finance questions over the six tables.
 
-A fact is first summed per dimension key, then joined to the dimension, then summed to the report's
-own keys. The first sum is map-side combined, so a key holding a third of the fact reaches the join
-as a handful of rows, and the join moves no more than one row per key and period.
+Where a report needs a fact per dimension row (per vendor, per center), the fact is summed by the
+join key first. That sum is combined map-side, so a key holding a third of the fact reaches the
+join as one row, and it leaves the data partitioned the way the join wants it.
 """
 
 from __future__ import annotations
@@ -24,13 +24,17 @@ def _fiscal_from(gl: DataFrame, first_year: int) -> DataFrame:
 
 
 def _monthly_by_type(gl: DataFrame, accounts: DataFrame) -> DataFrame:
-    per_account = gl.groupBy("fiscal_year", "fiscal_period", "account_number").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("debit_amount").alias("debit"), F.sum("credit_amount").alias("credit")
-    )
+    """Sums per month and account type.
+
+    The ledger meets the accounts first: a chart that fits is broadcast and only the few report
+    groups are shuffled. A larger one is sort-merged, and AQE splits the partition of an account
+    that holds too much of the ledger. Summing per account and month beforehand would shuffle the
+    ledger a second time, since the join needs it by account alone.
+    """
     return (
-        per_account.join(accounts.select("account_number", "account_type"), "account_number")
+        gl.join(accounts.select("account_number", "account_type"), "account_number")
         .groupBy("fiscal_year", "fiscal_period", "account_type")
-        .agg(F.sum("n").alias("n"), F.sum("debit").alias("debit"), F.sum("credit").alias("credit"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("debit_amount").alias("debit"), F.sum("credit_amount").alias("credit"))
     )
 
 
@@ -219,20 +223,29 @@ def cash_flow(invoices: DataFrame, as_of: dt.date | None = None, months: int = 6
 def ledger_by_year(gl: DataFrame) -> DataFrame:
     """Volume, sums and distinct accounts and centers per fiscal year.
 
-    One aggregate down to (year, account, center) removes the repetition before the two distinct
-    counts fan rows out.
+    Two aggregates, each combined map-side to (year, account) and (year, center). One aggregate
+    with two distinct counts would triple every ledger row first; the second scan here reads two
+    columns.
     """
-    reduced = gl.groupBy("fiscal_year", "account_number", "cost_center").agg(
+    per_account = gl.groupBy("fiscal_year", "account_number").agg(
         F.count(F.lit(1)).alias("n"), F.sum("debit_amount").alias("debit"), F.sum("credit_amount").alias("credit")
     )
+    accounts = per_account.groupBy("fiscal_year").agg(
+        F.sum("n").alias("n"),
+        F.sum("debit").cast("decimal(28,2)").alias("debit"),
+        F.sum("credit").cast("decimal(28,2)").alias("credit"),
+        F.count("account_number").alias("accounts"),
+    )
+    centers = gl.select("fiscal_year", "cost_center").distinct().groupBy("fiscal_year").agg(F.count("cost_center").alias("centers"))
     return (
-        reduced.groupBy("fiscal_year")
+        accounts.unionByName(centers, allowMissingColumns=True)
+        .groupBy("fiscal_year")
         .agg(
             F.sum("n").alias("transaction_count"),
             F.sum("debit").cast("decimal(28,2)").alias("total_debits"),
             F.sum("credit").cast("decimal(28,2)").alias("total_credits"),
-            F.countDistinct("account_number").alias("unique_accounts"),
-            F.countDistinct("cost_center").alias("unique_cost_centers"),
+            F.sum("accounts").alias("unique_accounts"),
+            F.sum("centers").alias("unique_cost_centers"),
         )
         .orderBy(F.desc("fiscal_year"))
     )

@@ -31,56 +31,47 @@ class Measure:
     check_id: str
     category: str
     metric: str
-    value: Column
+    value: str
     rule: str = "equal"
-    passing: float = 1
-    minor: float = 0
+    passing: int = 1
+    minor: int = 0
 
 
 def table_measures(name: str, schema: T.StructType) -> list[Measure]:
     """Every single-pass check that applies to a table."""
-    out = [
-        Measure("V-01", "structural", "row_count", F.count(F.lit(1)), minor=COUNT_TOLERANCE.get(name, 0)),
-    ]
+    out = [Measure("V-01", "structural", "row_count", "count(1)", minor=COUNT_TOLERANCE.get(name, 0))]
     for c in REQUIRED_COLUMNS.get(name, []):
-        out.append(Measure("V-13", "integrity", f"required_nulls:{c}", F.count_if(F.col(c).isNull()), "below"))
+        out.append(Measure("V-13", "integrity", f"required_nulls:{c}", f"count_if({c} IS NULL)", "below"))
     for field in schema.fields:
         c = field.name
-        out.append(Measure("V-14", "statistical", f"nulls:{c}", F.count_if(F.col(c).isNull())))
+        out.append(Measure("V-14", "statistical", f"nulls:{c}", f"count_if({c} IS NULL)"))
         if isinstance(field.dataType, T.DecimalType):
-            out.append(Measure("V-24", "statistical", f"sum:{c}", F.sum(F.col(c).cast("decimal(28,6)"))))
+            out.append(Measure("V-24", "statistical", f"sum:{c}", f"sum(CAST({c} AS DECIMAL(28,6)))"))
         if isinstance(field.dataType, T.DateType):
-            out.append(Measure("V-16", "statistical", f"first_day:{c}", F.unix_date(F.min(c))))
-            out.append(Measure("V-16", "statistical", f"last_day:{c}", F.unix_date(F.max(c))))
+            out.append(Measure("V-16", "statistical", f"first_day:{c}", f"unix_date(min({c}))"))
+            out.append(Measure("V-16", "statistical", f"last_day:{c}", f"unix_date(max({c}))"))
     if name == "gl_transactions":
-        gap = F.abs(F.sum("debit_amount") - F.sum("credit_amount"))
+        gap = "abs(sum(debit_amount) - sum(credit_amount))"
         out.append(Measure("V-05", "business", "debits_minus_credits", gap, "below", 100, 10_000))
     if name == "budget_actual":
-        out.append(Measure("V-18", "business", "wrong_variance", F.count_if(business.variance_is_wrong()), "below"))
+        out.append(Measure("V-18", "business", "wrong_variance", f"count_if({business.WRONG_VARIANCE})", "below"))
     if name == "invoices":
-        out.append(Measure("V-19", "business", "paid_but_owing", F.count_if(business.paid_but_owing()), "below"))
-        out.append(Measure("V-19", "business", "open_but_paid", F.count_if(business.open_but_paid()), "below"))
+        out.append(Measure("V-19", "business", "paid_but_owing", f"count_if({business.PAID_BUT_OWING})", "below"))
+        out.append(Measure("V-19", "business", "open_but_paid", f"count_if({business.OPEN_BUT_PAID})", "below"))
     return out
 
 
 def measured(name: str, source: DataFrame, target: DataFrame, measures: list[Measure]) -> DataFrame:
     """All measures of a table on both sides, judged."""
+    aggregates = [f"CAST({m.value} AS {VALUE}) AS m{i}" for i, m in enumerate(measures)]
+    rows = ", ".join(
+        f"'{m.check_id}', '{m.category}', '{m.metric}', '{m.rule}', CAST({m.passing} AS {VALUE}), CAST({m.minor} AS {VALUE}), m{i}"
+        for i, m in enumerate(measures)
+    )
+    unpivot = f"stack({len(measures)}, {rows}) AS (check_id, category, metric, rule, passing, minor, value)"
 
     def side(df: DataFrame, label: str) -> DataFrame:
-        one_row = df.agg(*[m.value.cast(VALUE).alias(f"m{i}") for i, m in enumerate(measures)])
-        rows = [
-            F.struct(
-                F.lit(m.check_id).alias("check_id"),
-                F.lit(m.category).alias("category"),
-                F.lit(m.metric).alias("metric"),
-                F.lit(m.rule).alias("rule"),
-                F.lit(m.passing).cast(VALUE).alias("passing"),
-                F.lit(m.minor).cast(VALUE).alias("minor"),
-                F.col(f"m{i}").alias("value"),
-            )
-            for i, m in enumerate(measures)
-        ]
-        return one_row.select(F.lit(label).alias("side"), F.explode(F.array(*rows)).alias("m")).select("side", "m.*")
+        return df.selectExpr(*aggregates).selectExpr(f"'{label}' AS side", unpivot)
 
     both = side(source, "source").unionByName(side(target, "target"))
     of = lambda label: F.max(F.when(F.col("side") == label, F.col("value")))
@@ -219,9 +210,9 @@ def violations(target: dict[str, DataFrame]) -> dict[str, DataFrame]:
         found[f"V-17 {name}"] = rows(integrity.duplicate_keys(df, key), name, key[0])
     required = REQUIRED_COLUMNS["gl_transactions"]
     found["V-13 gl_transactions"] = rows(gl.where(integrity.any_null(required)), "gl_transactions", "transaction_id")
-    found["V-18 budget_actual"] = rows(bud.where(business.variance_is_wrong()), "budget_actual", "budget_id")
-    found["V-19 paid_but_owing"] = rows(inv.where(business.paid_but_owing()), "invoices", "invoice_id")
-    found["V-19 open_but_paid"] = rows(inv.where(business.open_but_paid()), "invoices", "invoice_id")
+    found["V-18 budget_actual"] = rows(bud.where(business.WRONG_VARIANCE), "budget_actual", "budget_id")
+    found["V-19 paid_but_owing"] = rows(inv.where(business.PAID_BUT_OWING), "invoices", "invoice_id")
+    found["V-19 open_but_paid"] = rows(inv.where(business.OPEN_BUT_PAID), "invoices", "invoice_id")
     return found
 
 

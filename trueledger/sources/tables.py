@@ -63,17 +63,14 @@ def observed_columns(spark: SparkSession, frames: dict[str, DataFrame]) -> DataF
     """Column metadata with what the data shows: filled values and the longest text per column."""
     parts = []
     for name, df in frames.items():
-        longest = lambda f: F.max(F.length(f.name)) if isinstance(f.dataType, T.StringType) else F.lit(None)
-        stats = [
-            F.struct(
-                F.lit(f.name).alias("column_name"),
-                F.count(f.name).alias("filled_values"),
-                longest(f).cast("int").alias("longest_text"),
-            ).alias(f.name)
-            for f in df.schema.fields
-        ]
-        one_row = df.agg(*stats)
-        parts.append(one_row.select(F.lit(name).alias("table_name"), F.explode(F.array(*df.columns)).alias("m")).select("table_name", "m.*"))
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        one_row = df.selectExpr(
+            *[f"count(`{c}`) AS `n_{c}`" for c in df.columns], *[f"max(length(`{c}`)) AS `l_{c}`" for c in texts]
+        )
+        rows = ", ".join(f"'{c}', `n_{c}`, {f'`l_{c}`' if c in texts else 'CAST(NULL AS INT)'}" for c in df.columns)
+        parts.append(
+            one_row.selectExpr(f"'{name}' AS table_name", f"stack({len(df.columns)}, {rows}) AS (column_name, filled_values, longest_text)")
+        )
     return column_metadata(spark, frames).join(union_all(parts), ["table_name", "column_name"])
 
 

@@ -127,27 +127,16 @@ def gl_transactions(spark: SparkSession, sf_dir: str, columns: list[str] | None
 
 
 def budget_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Budget and actual per center and month.
-
-    Lines collapse to one row per supplier and month before the supplier lookup, so a supplier
-    holding a large share of all lines costs the join no more than any other.
-    """
+    """Budget and actual per center and month, summed map-side right after the supplier lookup."""
     day = F.col("l_shipdate").cast("date")
-    monthly = (
-        _read(spark, sf_dir, "lineitem")
-        .groupBy("l_suppkey", F.year(day).alias("fiscal_year"), F.month(day).alias("fiscal_period"))
-        .agg(
-            F.sum(money(F.col("l_quantity"))).alias("quantity"),
-            F.sum(money(F.col("l_extendedprice"))).alias("price"),
-        )
-    )
     supplier = _read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    lines = _read(spark, sf_dir, "lineitem")
     by_center = (
-        monthly.join(supplier, monthly.l_suppkey == supplier.s_suppkey)
-        .groupBy("s_nationkey", "fiscal_year", "fiscal_period")
+        lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
+        .groupBy("s_nationkey", F.year(day).alias("fiscal_year"), F.month(day).alias("fiscal_period"))
         .agg(
-            money(F.sum("quantity") * 2000).alias("budget_amount"),
-            money(F.sum("price")).alias("actual_amount"),
+            money(F.sum(money(F.col("l_quantity"))) * 2000).alias("budget_amount"),
+            money(F.sum(money(F.col("l_extendedprice")))).alias("actual_amount"),
         )
     )
     variance = money(F.col("actual_amount") - F.col("budget_amount"))
