@@ -135,6 +135,12 @@ def test_csv_header_and_round_trip(spark, grants, folder):
     assert rows(exports.read_csv(spark, folder, G.GRANTS)) == rows(grants)
 
 
+def test_one_csv_folder_per_role(spark, grants, folder):
+    exports.export_csv_per_role(grants, folder)
+    one = exports.read_csv(spark, f"{folder}/file=finance_viewer_grants", G.GRANTS)
+    assert rows(one) == rows(grants.where("role = 'FINANCE_VIEWER'"))
+
+
 def test_masking(spark):
     df = spark.createDataFrame([(1, "123-45-6789", "Ann"), (2, None, "Bo")], "id int, ssn string, name string")
     got = security.masked_view(df, hide=["name"], hash_columns=["id"], mask={"ssn": 4})

@@ -101,6 +101,14 @@ def test_versions_appear_only_when_published(spark, fin, folder):
     assert snapshots.read_version(spark, folder, "vendors", 1).count() == 30
 
 
+def test_labelled_versions(spark, fin, folder):
+    snapshots.snapshot(spark, {"vendors": fin["vendors"]}, folder, "before cut-over")
+    snapshots.snapshot(spark, {"vendors": fin["vendors"].limit(5)}, folder)
+    version = snapshots.labelled_version(spark, folder, "vendors", "before cut-over")
+    assert snapshots.read_version(spark, folder, "vendors", version).count() == 30
+    assert snapshots.labelled_version(spark, folder, "vendors", "unknown") == 0
+
+
 @pytest.mark.parametrize(
     "day, want",
     [("2001-03-01", "hot"), ("2000-01-01", "hot"), ("1999-12-31", "warm"), ("1999-03-01", "warm"), ("1999-02-28", "archive")],

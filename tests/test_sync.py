@@ -155,6 +155,14 @@ def test_diff_names_every_defect(spark):
     assert diff.key_differences(source, source, KEYS).count() == 0
 
 
+def test_diff_with_null_and_composite_keys(spark):
+    ddl = "a int, b string, v int"
+    source = spark.createDataFrame([(None, "x", 1), (1, None, 2), (1, "y", 3)], ddl)
+    target = spark.createDataFrame([(None, "x", 9), (1, None, 2), (1, "y", 4)], ddl)
+    cells = {(r.a, r.b, r.column_name, r.source_value, r.target_value) for r in diff.cell_differences(source, target, ["a", "b"]).collect()}
+    assert cells == {(None, "x", "v", "1", "9"), (1, "y", "v", "3", "4")}
+
+
 def test_equal_duplicates_are_no_difference(spark):
     twice = spark.createDataFrame(A + A, ROWS)
     assert diff.key_differences(twice, twice.repartition(3), KEYS).count() == 0

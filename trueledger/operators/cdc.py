@@ -1,8 +1,8 @@
 """Applying ordered change events to a table.
 
 A state row is the last change seen for its key: payload, ``op`` and its place in the order
-(``seq``, ``tie``). Applying a batch is taking, per key, the latest of state and batch. That makes
-the result independent of how changes are batched, and applying a batch twice changes nothing.
+(``seq``, ``tie``). Applying a batch keeps, per key, the later of state and batch. That makes the
+result independent of how changes are batched, and applying a batch twice changes nothing.
 Deleted keys stay as tombstones, so a late update cannot revive them.
 """
 
@@ -23,8 +23,21 @@ def latest_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def apply_changes(state: DataFrame | None, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """The state after ``changes``; ``None`` stands for an empty state."""
-    return latest_changes(changes if state is None else state.unionByName(changes), keys)
+    """The state after ``changes``; ``None`` stands for an empty state.
+
+    The batch is reduced to one row per key before it meets the state. Both sides of the join are
+    then unique by key, so no key can be hot, and the state is shuffled once.
+    """
+    latest = latest_changes(changes, keys)
+    if state is None:
+        return latest
+    rest = [c for c in state.columns if c not in keys]
+    old = state.select(*keys, F.struct(*rest).alias("_old"))
+    new = latest.select(*keys, F.struct(*rest).alias("_new"))
+    place = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in ORDER])
+    is_newer = F.col("_old").isNull() | (F.col("_new").isNotNull() & (place("_new") > place("_old")))
+    kept = F.when(is_newer, F.col("_new")).otherwise(F.col("_old"))
+    return old.join(new, keys, "full_outer").select(*keys, kept.alias("_kept")).select(*keys, *[F.col(f"_kept.{c}").alias(c) for c in rest])
 
 
 def as_state(df: DataFrame, seq, tie=0) -> DataFrame:

@@ -1,17 +1,21 @@
 """Comparing two copies of a table: fingerprint, row-level diff, cell-level diff.
 
-Only hashes are shuffled to find the keys that differ; full rows are fetched for those keys alone.
-Repeats of a key are combined map-side, so a key loaded many times is reported, never multiplied.
+Only hashes are shuffled to find the keys that differ. Full rows are then picked out for those keys
+alone: few keys are broadcast to both tables, many are merged with them. Repeats of a key are
+combined map-side, so a key loaded many times is reported, never multiplied.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trueledger.functions.hashing import portable_hashes, row_hash
 from trueledger.operators.statistical import both_sides
+from trueledger.session import settled
 
 
 def fingerprint(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
@@ -91,13 +95,12 @@ def cell_differences(
     """
     columns = columns or [c for c in source.columns if c not in keys]
     tolerance = tolerance or {}
-    found = key_differences(source, target, keys, columns)
-    changed = found.where("difference = 'CHANGED'").select(*keys)
-    mine = source.select(*keys, *[F.col(c).alias(f"s_{c}") for c in columns])
-    theirs = target.select(*keys, *[F.col(c).alias(f"t_{c}") for c in columns])
+    found = settled(key_differences(source, target, keys, columns), "differing-keys")
+    changed = _renamed(found.where("difference = 'CHANGED'"), keys, [], "c_")
+    mine = source.join(changed, _same_keys(keys, "c_"), "left_semi").select(*keys, *[F.col(c).alias(f"s_{c}") for c in columns])
+    theirs = _renamed(target.join(changed, _same_keys(keys, "c_"), "left_semi"), keys, columns, "t_")
     cells = (
-        changed.join(mine, keys)
-        .join(theirs, keys)
+        mine.join(theirs, _same_keys(keys, "t_"))
         .select(
             *keys,
             F.explode(
@@ -124,6 +127,15 @@ def cell_differences(
     return cells.unionByName(whole_rows)
 
 
+def _renamed(df: DataFrame, keys: list[str], columns: list[str], prefix: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{prefix}{c}") for c in [*keys, *columns]])
+
+
+def _same_keys(keys: list[str], prefix: str) -> Column:
+    """Equal keys, a NULL equalling a NULL."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{prefix}{k}")) for k in keys])
+
+
 def _differs(a: Column, b: Column, dtype: T.DataType, tolerance: str | None) -> Column:
     if tolerance is None or not isinstance(dtype, T.NumericType):
         return ~a.eqNullSafe(b)

@@ -177,6 +177,20 @@ def v05(spark, sf_dir):
     return both(lambda fin: B.gl_balance(fin["gl_transactions"]), NO_LOOKUP)(spark, sf_dir)
 
 
+@query(
+    "v05_balance_report",
+    both_sql(
+        "gl",
+        f"""SELECT format('{{{{:,.2f}}}}', CAST(d AS DOUBLE)) AS total_debits, format('{{{{:,.2f}}}}', CAST(c AS DOUBLE)) AS total_credits,
+        format('{{{{:,.2f}}}}', CAST(abs(d - c) AS DOUBLE)) AS difference, {ladder('abs(d - c)', '100', '1000000000')} AS status
+        FROM (SELECT SUM(debit_amount) AS d, SUM(credit_amount) AS c FROM {{gl}})""",
+    ),
+)
+def v05_report(spark, sf_dir):
+    """The balance formatted for reading, with the wide tolerance used for test data."""
+    return both(lambda fin: B.balance_report(B.gl_balance(fin["gl_transactions"], 100, 1_000_000_000)), NO_LOOKUP)(spark, sf_dir)
+
+
 @query(
     "v06_balance_by_period",
     both_sql(

@@ -108,14 +108,14 @@ def s07(spark, sf_dir):
     "s08_snapshot_versions",
     with_views(
         "vendors inv t_inv",
-        """SELECT 'vendors' AS table_name, 1 AS version, COUNT(*) AS row_count FROM vendors UNION ALL SELECT 'invoices', 1, COUNT(*) FROM inv
-        UNION ALL SELECT 'invoices', 2, COUNT(*) FROM t_inv""",
+        """SELECT 'vendors' AS table_name, 1 AS version, COUNT(*) AS row_count, 'month end' AS label FROM vendors
+        UNION ALL SELECT 'invoices', 1, COUNT(*), 'month end' FROM inv UNION ALL SELECT 'invoices', 2, COUNT(*), NULL FROM t_inv""",
     ),
 )
 def s08(spark, sf_dir):
     root = work_dir(spark, "snapshot")
     inv = V.invoices(spark, sf_dir)
-    snapshots.snapshot(spark, {"vendors": V.vendors(spark, sf_dir), "invoices": inv}, root)
+    snapshots.snapshot(spark, {"vendors": V.vendors(spark, sf_dir), "invoices": inv}, root, "month end")
     snapshots.snapshot(spark, {"invoices": V.faulty_invoices(inv)}, root)
     return snapshots.versions(spark, root)
 

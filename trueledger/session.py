@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -40,3 +40,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         base = os.path.join(tempfile.gettempdir(), "trueledger-work")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def settled(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back.
+
+    For a result used several times: it is computed once, survives lost executors, and its size on
+    disk lets the planner decide on broadcasting it.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

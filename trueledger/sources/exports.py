@@ -39,6 +39,12 @@ def export_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").csv(path, header=True, escape='"')
 
 
+def export_csv_per_role(grants: DataFrame, path: str) -> None:
+    """One CSV folder per role, named after it, with the full grant columns inside."""
+    named = grants.withColumn("file", F.concat(F.lower("role"), F.lit("_grants")))
+    named.hint("rebalance", "file").write.mode("overwrite").partitionBy("file").csv(path, header=True, escape='"')
+
+
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema, escape='"', enforceSchema=False)
 

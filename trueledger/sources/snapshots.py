@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from trueledger.schemas import TABLES
 from trueledger.sources.tables import row_counts, table_files, union_all
 
+MANIFEST = "table_name string, version int, row_count bigint, label string"
 LOAD_REPORT = "table_name string, loaded boolean, error string"
 
 
@@ -64,7 +65,7 @@ def _manifest(root: str) -> str:
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame | None:
-    """Published versions: ``table_name, version, row_count``; ``None`` before the first."""
+    """Published versions: ``table_name, version, row_count, label``; ``None`` before the first."""
     try:
         return spark.read.parquet(_manifest(root))
     except AnalysisException:
@@ -79,10 +80,11 @@ def latest_version(spark: SparkSession, root: str, table: str) -> int:
     return known.where(F.col("table_name") == table).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
 
-def snapshot(spark: SparkSession, frames: dict[str, DataFrame], root: str) -> DataFrame:
+def snapshot(spark: SparkSession, frames: dict[str, DataFrame], root: str, label: str | None = None) -> DataFrame:
     """Copy whole tables into their next version and publish each one when it is complete.
 
-    Running it again is a full re-sync: it publishes a further version.
+    Running it again is a full re-sync: it publishes a further version. A ``label`` names the
+    versions for good, as a backup to come back to.
     """
     published = []
     for name, df in frames.items():
@@ -90,7 +92,7 @@ def snapshot(spark: SparkSession, frames: dict[str, DataFrame], root: str) -> Da
         path = version_path(root, name, version)
         df.write.mode("overwrite").parquet(path)
         rows = spark.read.parquet(path).count()
-        entry = spark.createDataFrame([(name, version, rows)], "table_name string, version int, row_count bigint")
+        entry = spark.createDataFrame([(name, version, rows, label)], MANIFEST)
         entry.coalesce(1).write.mode("append").parquet(_manifest(root))
         published.append(entry)
     return union_all(published)
@@ -100,6 +102,15 @@ def version_path(root: str, table: str, version: int) -> str:
     return f"{root}/{table}/v={version}"
 
 
+def labelled_version(spark: SparkSession, root: str, table: str, label: str) -> int:
+    """The newest version published under ``label``; 0 where there is none."""
+    known = versions(spark, root)
+    if known is None:
+        return 0
+    named = known.where((F.col("table_name") == table) & (F.col("label") == label))
+    return named.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+
 def read_version(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:
     """A published version of a table; the latest by default."""
     version = latest_version(spark, root, table) if version is None else version
