@@ -101,6 +101,14 @@ def test_versions_appear_only_when_published(spark, fin, folder):
     assert snapshots.read_version(spark, folder, "vendors", 1).count() == 30
 
 
+def test_a_failing_copy_does_not_hold_back_the_others(spark, fin, folder):
+    broken = fin["vendors"].withColumn("vendor_name", F.raise_error(F.lit("source unreadable")).cast("string"))
+    with pytest.raises(Exception, match="source unreadable"):
+        snapshots.snapshot(spark, {"vendors": broken, "cost_centers": fin["cost_centers"]}, folder)
+    assert snapshots.latest_version(spark, folder, "vendors") == 0
+    assert snapshots.read_version(spark, folder, "cost_centers").count() == 10
+
+
 def test_labelled_versions(spark, fin, folder):
     snapshots.snapshot(spark, {"vendors": fin["vendors"]}, folder, "before cut-over")
     snapshots.snapshot(spark, {"vendors": fin["vendors"].limit(5)}, folder)

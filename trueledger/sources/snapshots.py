@@ -6,12 +6,14 @@ that dies half-way leaves files nobody reads.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException, PySparkException
+from concurrent.futures import ThreadPoolExecutor, as_completed
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trueledger.schemas import TABLES
-from trueledger.sources.tables import row_counts, table_files, union_all
+from trueledger.sources.tables import read_if_present, row_counts, table_files, union_all
 
 MANIFEST = "table_name string, version int, row_count bigint, label string"
 LOAD_REPORT = "table_name string, loaded boolean, error string"
@@ -64,37 +66,52 @@ def _manifest(root: str) -> str:
     return f"{root}/_manifest"
 
 
-def versions(spark: SparkSession, root: str) -> DataFrame | None:
-    """Published versions: ``table_name, version, row_count, label``; ``None`` before the first."""
-    try:
-        return spark.read.parquet(_manifest(root))
-    except AnalysisException:
-        return None
+def versions(spark: SparkSession, root: str) -> DataFrame:
+    """Published versions: ``table_name, version, row_count, label``."""
+    return read_if_present(spark, _manifest(root), MANIFEST)
+
+
+def _newest(published: DataFrame) -> int:
+    return published.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
 
 
 def latest_version(spark: SparkSession, root: str, table: str) -> int:
     """0 where nothing has been published yet."""
-    known = versions(spark, root)
-    if known is None:
-        return 0
-    return known.where(F.col("table_name") == table).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+    return _newest(versions(spark, root).where(F.col("table_name") == table))
+
+
+def labelled_version(spark: SparkSession, root: str, table: str, label: str) -> int:
+    """The newest version published under ``label``; 0 where there is none."""
+    return _newest(versions(spark, root).where((F.col("table_name") == table) & (F.col("label") == label)))
 
 
 def snapshot(spark: SparkSession, frames: dict[str, DataFrame], root: str, label: str | None = None) -> DataFrame:
     """Copy whole tables into their next version and publish each one when it is complete.
 
-    Running it again is a full re-sync: it publishes a further version. A ``label`` names the
-    versions for good, as a backup to come back to.
+    All tables are copied at the same time; one that fails stays at its old version and does not
+    keep the others from being published. Running it again is a full re-sync: it publishes a
+    further version. A ``label`` names the versions for good, as a backup to come back to.
     """
-    published = []
-    for name, df in frames.items():
+
+    def copy(name: str) -> tuple[str, int, int, str | None]:
         version = latest_version(spark, root, name) + 1
         path = version_path(root, name, version)
-        df.write.mode("overwrite").parquet(path)
-        rows = spark.read.parquet(path).count()
-        entry = spark.createDataFrame([(name, version, rows, label)], MANIFEST)
-        entry.coalesce(1).write.mode("append").parquet(_manifest(root))
-        published.append(entry)
+        frames[name].write.mode("overwrite").parquet(path)
+        return name, version, spark.read.parquet(path).count(), label
+
+    published, failures = [], []
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        for copied in as_completed([pool.submit(copy, name) for name in frames]):
+            try:
+                entry = spark.createDataFrame([copied.result()], MANIFEST)
+            except PySparkException as e:
+                failures.append(e)
+                continue
+            # One writer at a time: appends to the manifest come from this thread only.
+            entry.coalesce(1).write.mode("append").parquet(_manifest(root))
+            published.append(entry)
+    if failures:
+        raise failures[0]
     return union_all(published)
 
 
@@ -102,15 +119,6 @@ def version_path(root: str, table: str, version: int) -> str:
     return f"{root}/{table}/v={version}"
 
 
-def labelled_version(spark: SparkSession, root: str, table: str, label: str) -> int:
-    """The newest version published under ``label``; 0 where there is none."""
-    known = versions(spark, root)
-    if known is None:
-        return 0
-    named = known.where((F.col("table_name") == table) & (F.col("label") == label))
-    return named.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
-
-
 def read_version(spark: SparkSession, root: str, table: str, version: int | None = None) -> DataFrame:
     """A published version of a table; the latest by default."""
     version = latest_version(spark, root, table) if version is None else version

@@ -8,15 +8,21 @@ idempotent, so a batch replayed after a restart needs no bookkeeping.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trueledger.operators.cdc import apply_changes, live_rows
+from trueledger.sources.tables import read_if_present
+
+MANIFEST = "bucket int, version int"
 
 
 class BucketedState:
-    """State rows (payload, op, seq, tie) of one table below ``path``, in ``buckets`` buckets."""
+    """State rows (payload, op, seq, tie) of one table below ``path``, in ``buckets`` buckets.
+
+    Choose ``buckets`` so that a bucket is some gigabytes; it is fixed for the life of the table.
+    One writer at a time.
+    """
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 64):
         self.spark, self.path, self.keys, self.buckets = spark, path, keys, buckets
@@ -26,10 +32,7 @@ class BucketedState:
 
     def folders(self) -> dict[int, int]:
         """bucket -> version that last wrote it; never more than ``buckets`` entries."""
-        try:
-            manifest = self.spark.read.parquet(f"{self.path}/manifest")
-        except AnalysisException:
-            return {}
+        manifest = read_if_present(self.spark, f"{self.path}/manifest", MANIFEST)
         newest = manifest.groupBy("bucket").agg(F.max("version").alias("version"))
         return {r.bucket: r.version for r in newest.collect()}
 
@@ -58,7 +61,7 @@ class BucketedState:
         before = self._read({b: current[b] for b in touched if b in current})
         merged = apply_changes(before, changes, self.keys).withColumn("bucket", self._bucket())
         merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}")
-        rows = self.spark.createDataFrame([(b, version) for b in touched], "bucket int, version int")
+        rows = self.spark.createDataFrame([(b, version) for b in touched], MANIFEST)
         rows.coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
         return touched
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,16 @@ def read_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: read_table(spark, root, name) for name in TABLES}
 
 
+def read_if_present(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table, or no rows where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def ensure_namespace(spark: SparkSession, database: str, location: str | None = None) -> None:
     """Create a namespace where it is absent, at ``location`` or in the warehouse folder."""
     if not database.replace("_", "").isalnum():

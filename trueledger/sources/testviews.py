@@ -331,7 +331,10 @@ def _email(user: Column) -> Column:
 
 
 def team_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mapping rows for team roles, one per customer; one segment has none on purpose."""
+    """Mapping rows for team roles, one per customer; one segment has none on purpose.
+
+    Ids 0 to 4 are the named roles, which have a fixed mapping of their own.
+    """
     access = (
         F.when(F.col("c_mktsegment") == "AUTOMOBILE", "Admin")
         .when(F.col("c_mktsegment") == "BUILDING", "Member")
@@ -352,7 +355,7 @@ def team_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The roles to migrate: the five named ones and every team's."""
+    """The roles to migrate: the five named ones (ids 0 to 4) and every other id's team role."""
     named = spark.createDataFrame([(row[0],) for row in ROLE_MAPPING], "role string")
     teams = _read(spark, sf_dir, "customer").where("c_custkey > 4").select(role_name(F.col("c_custkey")).alias("role"))
     return named.unionByName(teams)
