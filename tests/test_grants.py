@@ -101,6 +101,12 @@ def test_override_replaces_the_address_only_where_given(spark, roles, grants):
     assert got["AP_MANAGER"] == "new@company.com" and got["FINANCE_VIEWER"] == "cfo@company.com"
 
 
+def test_overrides_from_configuration(spark, tmp_path):
+    (tmp_path / "config.env").write_text("# addresses\nACCOUNT=abc\nAP_MANAGER_EMAIL=ap@company.com\nFINANCE_VIEWER_EMAIL = cfo@company.com\n#X_EMAIL=no\n")
+    got = rows(G.overrides_from_config(spark, str(tmp_path / "config.env")))
+    assert got == [("AP_MANAGER", "ap@company.com"), ("FINANCE_VIEWER", "cfo@company.com")]
+
+
 def test_plan_and_report(spark, roles, grants):
     members = spark.createDataFrame(
         [("cfo@company.com", "Viewer"), ("ap.manager@company.com", "Viewer"), ("guest@company.com", "Member")], "user_email string, access_role string"

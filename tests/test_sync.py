@@ -73,6 +73,20 @@ def test_a_batch_that_never_published_is_not_seen(spark, folder):
     assert rows(store.live()) == [(1, "b")]
 
 
+def test_new_columns_arrive_with_the_changes(spark, folder):
+    store = BucketedState(spark, folder, KEYS, buckets=4)
+    store.apply(changes(spark, *[(k, "old", "I", 1) for k in range(8)]))
+    wider = changes(spark, (1, "new", "U", 2)).withColumn("notes", F.lit("n"))
+    store.apply(wider.limit(0))
+    assert "notes" not in store.live().columns  # no data, no schema change
+    store.apply(wider)
+    assert rows(store.live().where("k < 3").select("k", "v", "notes")) == [(0, "old", None), (1, "new", "n"), (2, "old", None)]
+    store.apply(changes(spark, (2, "newer", "U", 3)))
+    assert rows(store.live().where("k IN (1, 2)").select("k", "v", "notes")) == [(1, "new", "n"), (2, "newer", None)]
+    with pytest.raises(evolve.SchemaEvolutionError):
+        store.apply(changes(spark, (1, "x", "U", 9)).withColumn("notes", F.lit(5)))
+
+
 def test_empty_batch_changes_nothing(spark, folder):
     store = BucketedState(spark, folder, KEYS)
     assert store.apply(random_changes(spark).limit(0)) == [] and store.live() is None

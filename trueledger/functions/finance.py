@@ -69,8 +69,3 @@ def status_exact(actual: Column, expected: Column, tolerance: Column) -> Column:
         .when(F.abs(actual - expected) < tolerance, PASS_MINOR)
         .otherwise(REVIEW)
     )
-
-
-def as_text(c: Column, spec: str) -> Column:
-    """Number formatting for reports; compare the numeric twin, never this text."""
-    return F.format_number(c, int(spec[1:]))

@@ -8,9 +8,11 @@ Deleted keys stay as tombstones, so a late update cannot revive them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trueledger.operators.evolve import check_additive
+
 ORDER = ["seq", "tie"]
 DELETE = "D"
 
@@ -26,20 +28,30 @@ def apply_changes(state: DataFrame | None, changes: DataFrame, keys: list[str])
     """The state after ``changes``; ``None`` stands for an empty state.
 
     The batch is reduced to one row per key before it meets the state. Both sides of the join are
-    then unique by key, so no key can be hot, and the state is shuffled once.
+    then unique by key, so no key can be hot, and the state is shuffled once. Changes may bring new
+    columns; rows from before have NULL there.
     """
     latest = latest_changes(changes, keys)
     if state is None:
         return latest
+    check_additive(state.schema, latest.schema)
     rest = [c for c in state.columns if c not in keys]
-    old = state.select(*keys, F.struct(*rest).alias("_old"))
-    new = latest.select(*keys, F.struct(*rest).alias("_new"))
+    rest += [c for c in latest.columns if c not in keys and c not in rest]
+    old = state.select(*keys, _row(state, latest, rest).alias("_old"))
+    new = latest.select(*keys, _row(latest, state, rest).alias("_new"))
     place = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in ORDER])
     is_newer = F.col("_old").isNull() | (F.col("_new").isNotNull() & (place("_new") > place("_old")))
     kept = F.when(is_newer, F.col("_new")).otherwise(F.col("_old"))
     return old.join(new, keys, "full_outer").select(*keys, kept.alias("_kept")).select(*keys, *[F.col(f"_kept.{c}").alias(c) for c in rest])
 
 
+def _row(df: DataFrame, other: DataFrame, columns: list[str]) -> Column:
+    """``columns`` as one struct, NULL of the other side's type where ``df`` has no such column."""
+    return F.struct(
+        *[F.col(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns]
+    )
+
+
 def as_state(df: DataFrame, seq, tie=0) -> DataFrame:
     """A plain table as a state whose rows are older than every change after ``seq``."""
     return df.select("*", F.lit("I").alias("op"), F.lit(seq).alias("seq"), F.lit(tie).cast("bigint").alias("tie"))

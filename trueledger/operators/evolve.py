@@ -11,18 +11,23 @@ class SchemaEvolutionError(ValueError):
     """A change that is not purely additive."""
 
 
+def check_additive(current: T.StructType, incoming: T.StructType) -> None:
+    """Raise unless every column both sides have keeps its type."""
+    known = {f.name: f.dataType for f in current.fields}
+    for field in incoming.fields:
+        if field.name in known and known[field.name] != field.dataType:
+            raise SchemaEvolutionError(
+                f"column {field.name}: {known[field.name].simpleString()} cannot become {field.dataType.simpleString()}"
+            )
+
+
 def evolve(current: DataFrame, incoming: DataFrame) -> DataFrame:
     """Append rows whose schema may have gained columns; older rows get NULL in those.
 
     Columns can only be added. A column whose type changes is refused, and one the incoming rows
     lack is NULL in them.
     """
-    known = {f.name: f.dataType for f in current.schema.fields}
-    for field in incoming.schema.fields:
-        if field.name in known and known[field.name] != field.dataType:
-            raise SchemaEvolutionError(
-                f"column {field.name}: {known[field.name].simpleString()} cannot become {field.dataType.simpleString()}"
-            )
+    check_additive(current.schema, incoming.schema)
     return current.unionByName(incoming, allowMissingColumns=True)
 
 

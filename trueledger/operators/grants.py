@@ -98,6 +98,16 @@ def map_roles(roles: DataFrame, grants: DataFrame, mapping: DataFrame, overrides
     )
 
 
+def overrides_from_config(spark: SparkSession, path: str) -> DataFrame:
+    """Address overrides from configuration lines ``ROLE_EMAIL=address``; anything else is ignored."""
+    line = r"^\s*([A-Z0-9_]+)_EMAIL\s*=\s*(\S+)\s*$"
+    return (
+        spark.read.text(path)
+        .select(F.regexp_extract("value", line, 1).alias("source_role"), F.regexp_extract("value", line, 2).alias("user_email"))
+        .where(F.col("source_role") != "")
+    )
+
+
 def unmapped_roles(roles: DataFrame, grants: DataFrame, mapping: DataFrame) -> DataFrame:
     """Roles the mapping does not know; they are skipped, and listed here."""
     counts = grants_per_role(roles, grants).withColumnRenamed("role", "source_role")

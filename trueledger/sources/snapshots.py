@@ -19,16 +19,26 @@ MANIFEST = "table_name string, version int, row_count bigint, label string"
 LOAD_REPORT = "table_name string, loaded boolean, error string"
 
 
-def load(spark: SparkSession, frames: dict[str, DataFrame], root: str, mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> DataFrame:
+def load(
+    spark: SparkSession,
+    frames: dict[str, DataFrame],
+    root: str,
+    mode: str = "overwrite",
+    max_records_per_file: int = 5_000_000,
+    at_once: int = 3,
+) -> DataFrame:
     """Write every table below ``root``, small ones first. One table failing does not stop the rest."""
-    report = []
-    order = [t for t in TABLES if t in frames] + [t for t in frames if t not in TABLES]
-    for name in order:
+
+    def write(name: str) -> tuple[str, bool, str | None]:
         try:
             frames[name].write.mode(mode).option("maxRecordsPerFile", max_records_per_file).parquet(f"{root}/{name}")
-            report.append((name, True, None))
         except PySparkException as e:
-            report.append((name, False, str(e).splitlines()[0][:500]))
+            return name, False, str(e).splitlines()[0][:500]
+        return name, True, None
+
+    order = [t for t in TABLES if t in frames] + [t for t in frames if t not in TABLES]
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        report = list(pool.map(write, order))
     return spark.createDataFrame(report, LOAD_REPORT)
 
 

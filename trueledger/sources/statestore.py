@@ -8,13 +8,16 @@ idempotent, so a batch replayed after a restart needs no bookkeeping.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trueledger.operators.cdc import apply_changes, live_rows
 from trueledger.sources.tables import read_if_present
 
-MANIFEST = "bucket int, version int"
+MANIFEST = "bucket int, version int, schema string"
 
 
 class BucketedState:
@@ -30,21 +33,27 @@ class BucketedState:
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def folders(self) -> dict[int, int]:
-        """bucket -> version that last wrote it; never more than ``buckets`` entries."""
+    def _published(self) -> list[Row]:
+        """Newest version per bucket with the schema it was written with; at most ``buckets`` rows."""
         manifest = read_if_present(self.spark, f"{self.path}/manifest", MANIFEST)
-        newest = manifest.groupBy("bucket").agg(F.max("version").alias("version"))
-        return {r.bucket: r.version for r in newest.collect()}
+        return manifest.groupBy("bucket").agg(F.max("version").alias("version"), F.max_by("schema", "version").alias("schema")).collect()
+
+    def folders(self) -> dict[int, int]:
+        """bucket -> version that last wrote it."""
+        return {r.bucket: r.version for r in self._published()}
 
-    def _read(self, folders: dict[int, int]) -> DataFrame | None:
-        if not folders:
+    def _read(self, published: list[Row], only: set[int] | None = None) -> DataFrame | None:
+        """Chosen buckets in the newest schema; older files have NULL in columns added since."""
+        chosen = [r for r in published if only is None or r.bucket in only]
+        if not chosen:
             return None
-        return self.spark.read.parquet(
-            *[f"{self.path}/data/version={version}/bucket={bucket}" for bucket, version in sorted(folders.items())]
-        )
+        newest = max(published, key=lambda r: r.version)
+        schema = T.StructType.fromJson(json.loads(newest.schema))
+        paths = [f"{self.path}/data/version={r.version}/bucket={r.bucket}" for r in sorted(chosen)]
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def state(self) -> DataFrame | None:
-        return self._read(self.folders())
+        return self._read(self._published())
 
     def live(self) -> DataFrame | None:
         """The table as it is now, without deleted rows; ``None`` before the first batch."""
@@ -53,17 +62,22 @@ class BucketedState:
 
     def apply(self, changes: DataFrame) -> list[int]:
         """Apply a batch of changes; returns the buckets it rewrote."""
-        current = self.folders()
-        touched = [r[0] for r in changes.select(self._bucket()).distinct().collect()]
+        published = self._published()
+        touched = {r[0] for r in changes.select(self._bucket()).distinct().collect()}
         if not touched:
             return []
-        version = max(current.values(), default=0) + 1
-        before = self._read({b: current[b] for b in touched if b in current})
-        merged = apply_changes(before, changes, self.keys).withColumn("bucket", self._bucket())
-        merged.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/version={version}")
-        rows = self.spark.createDataFrame([(b, version) for b in touched], MANIFEST)
+        version = max((r.version for r in published), default=0) + 1
+        merged = apply_changes(self._read(published, touched), changes, self.keys)
+        schema = merged.schema if not published else self._read(published).schema
+        for field in merged.schema.fields:
+            if field.name not in schema.names:
+                schema = schema.add(field)
+        merged.withColumn("bucket", self._bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
+            f"{self.path}/data/version={version}"
+        )
+        rows = self.spark.createDataFrame([(b, version, schema.json()) for b in touched], MANIFEST)
         rows.coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
-        return touched
+        return sorted(touched)
 
     def compacted(self, path: str) -> BucketedState:
         """The same state in a fresh place, as one version: ends the growth of old folders and manifest."""

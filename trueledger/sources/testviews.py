@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trueledger.functions import money, safe_percent
 from trueledger.operators.grants import ROLE_MAPPING, role_mapping
@@ -16,8 +17,15 @@ from trueledger.operators.grants import ROLE_MAPPING, role_mapping
 DATABASE = "ENTERPRISE_FINANCE"
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. Its schema is read from a footer once per path, not once per view."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _center(nation: Column) -> Column:
