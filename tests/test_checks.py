@@ -1,8 +1,11 @@
 import datetime as dt
+from decimal import ROUND_HALF_UP
 from decimal import Decimal as D
 
 import pytest
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from trueledger.functions import ratio, safe_percent, status_below, status_exact, variance_band
@@ -47,6 +50,21 @@ def test_ratio_and_percent_never_divide_by_zero(spark):
     assert df.select(ratio(F.col("a"), F.lit(0))).first()[0] is None
 
 
+MONEY = st.decimals(min_value=-10_000_000, max_value=10_000_000, places=2)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(MONEY, st.integers(1, 10_000), MONEY), min_size=50, max_size=200))
+def test_ratio_and_percent_round_half_up(spark, data):
+    df = values(spark, "a decimal(18,2), n bigint, b decimal(18,2)", *data)
+    got = df.select("a", "n", "b", ratio(F.col("a"), F.col("n")).alias("r"), safe_percent(F.col("a"), F.col("b")).alias("p")).collect()
+    cent = D("0.01")
+    for row in got:
+        assert row.r == (row.a / row.n).quantize(cent, ROUND_HALF_UP)
+        want = (row.a * 100 / row.b).quantize(cent, ROUND_HALF_UP) if row.b > 0 else D("0.00")
+        assert row.p == want
+
+
 def test_row_counts(spark):
     frames = {"vendors": spark.range(15), "cost_centers": spark.range(3), "invoices": spark.range(0)}
     expected = structural.expected_counts(spark, {"vendors": 10, "cost_centers": 3, "invoices": 0, "lost": 5})

@@ -4,7 +4,11 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from trueledger import registry
+from trueledger.plans import analytics
+from trueledger.sources import generate
 from trueledger.sources import testviews as V
 
 registry.load_all()
@@ -74,3 +78,29 @@ def test_single_partition_windows_see_aggregated_rows_only(spark, sf_dir, name):
     text = plan(registry.QUERIES[name](spark, sf_dir)).split("== Physical Plan ==")[1]
     for below in text.split("Exchange SinglePartition")[1:]:
         assert "HashAggregate" in below.split("Scan")[0]
+
+
+def test_a_hot_account_is_split(spark, monkeypatch):
+    """Three quarters of the ledger on one account, sort-merged: AQE splits its partition, and the sums stay whole."""
+    monkeypatch.setattr(generate, "ROWS_PER_PARTITION", 20_000)
+    fin = generate.generate(spark, {**generate.FULL_SIZE, "gl_transactions": 200_000, "invoices": 10, "budget_actual": 10})
+    hot = F.when(F.col("transaction_id") % 4 != 0, "1000").otherwise(F.col("account_number"))
+    gl = fin["gl_transactions"].withColumn("account_number", hot)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        report = analytics.monthly_pnl(gl, fin["chart_of_accounts"], 2022)
+        total = report.collect()
+        final = report._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+    assert "skew=true" in final
+    assert sum(r.transaction_count for r in total) == 200_000

@@ -13,12 +13,14 @@ from pyspark.sql import types as T
 
 
 def canonical(field: T.StructField) -> Column:
-    """One spelling per value: decimals of any scale compare equal, zone-free times to the microsecond."""
+    """One spelling per value: decimals of any scale and integers of any width hash alike, -0.0 as 0.0."""
     c = F.col(field.name)
     if isinstance(field.dataType, T.DecimalType):
         return c.cast("decimal(38,6)")
     if isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
         return c.cast("bigint")
+    if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+        return F.when(c == 0, F.lit(0.0)).otherwise(c.cast("double"))
     return c
 
 
@@ -28,10 +30,10 @@ def row_hash(schema: T.StructType, columns: list[str]) -> Column:
     return F.xxhash64(*[canonical(f) for f in fields], *[F.col(f.name).isNull() for f in fields])
 
 
-def _portable_text(field: T.StructField) -> Column:
+def _portable_text(field: T.StructField) -> str:
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(field.name, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return F.col(field.name).cast("string")
+        return f"date_format(`{field.name}`, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS `{field.name}`"
+    return f"CAST(`{field.name}` AS STRING) AS `{field.name}`"
 
 
 def portable_hashes(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -39,7 +41,7 @@ def portable_hashes(df: DataFrame, columns: list[str]) -> DataFrame:
 
     The prefix keeps two different rows from spelling the same text; a NULL is a dash.
     """
-    texts = df.select(*[_portable_text(df.schema[name]).alias(name) for name in columns])
-    spelled = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in columns]
-    digest = texts.select(F.md5(F.concat(*spelled)).alias("digest"))
-    return digest.select(F.conv(F.substring("digest", 1, 15), 16, 10).cast("bigint").alias("row_hash"))
+    texts = df.selectExpr(*[_portable_text(df.schema[name]) for name in columns])
+    spelled = ", ".join(f"coalesce(concat(length(`{c}`), ':', `{c}`), '-')" for c in columns)
+    digest = texts.selectExpr(f"md5(concat({spelled})) AS digest")
+    return digest.selectExpr("CAST(conv(substring(digest, 1, 15), 16, 10) AS BIGINT) AS row_hash")

@@ -91,12 +91,12 @@ def outliers(df: DataFrame, column: str, k: float = 3.0) -> DataFrame:
 
 
 def numeric_precision(source: DataFrame, target: DataFrame) -> DataFrame:
-    """Scale and sum of every decimal column on both sides, summed in one common type."""
+    """Scale and sum of every decimal column on both sides; the sums are compared in one common type."""
     columns = [f.name for f in source.schema.fields if isinstance(f.dataType, T.DecimalType)]
     wide = "decimal(38,6)"
 
     def side(df: DataFrame, p: str) -> DataFrame:
-        sums = df.agg(*[F.sum(F.col(c).cast("decimal(28,6)")).cast(wide).alias(c) for c in columns])
+        sums = df.agg(*[F.sum(c).cast(wide).alias(c) for c in columns])
         rows = [
             F.struct(
                 F.lit(c).alias("column_name"),

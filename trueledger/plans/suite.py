@@ -46,7 +46,7 @@ def table_measures(name: str, schema: T.StructType) -> list[Measure]:
         c = field.name
         out.append(Measure("V-14", "statistical", f"nulls:{c}", f"count_if({c} IS NULL)"))
         if isinstance(field.dataType, T.DecimalType):
-            out.append(Measure("V-24", "statistical", f"sum:{c}", f"sum(CAST({c} AS DECIMAL(28,6)))"))
+            out.append(Measure("V-24", "statistical", f"sum:{c}", f"sum({c})"))
         if isinstance(field.dataType, T.DateType):
             out.append(Measure("V-16", "statistical", f"first_day:{c}", f"unix_date(min({c}))"))
             out.append(Measure("V-16", "statistical", f"last_day:{c}", f"unix_date(max({c}))"))

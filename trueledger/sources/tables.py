@@ -39,10 +39,11 @@ def ensure_namespace(spark: SparkSession, database: str, location: str | None =
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
-    head, *tail = frames
-    for frame in tail:
-        head = head.unionByName(frame)
-    return head
+    """Union by column name, pairwise: Spark re-checks the whole plan at every union."""
+    while len(frames) > 1:
+        pairs = [frames[i : i + 2] for i in range(0, len(frames), 2)]
+        frames = [pair[0].unionByName(pair[1]) if len(pair) == 2 else pair[0] for pair in pairs]
+    return frames[0]
 
 
 def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
