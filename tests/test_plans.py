@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from trueledger import registry
+from trueledger.operators import cdc
 from trueledger.plans import analytics
 from trueledger.sources import generate
 from trueledger.sources import testviews as V
@@ -80,6 +81,18 @@ def test_single_partition_windows_see_aggregated_rows_only(spark, sf_dir, name):
         assert "HashAggregate" in below.split("Scan")[0]
 
 
+def test_small_change_batch_leaves_the_state_where_it_is(spark, sf_dir):
+    state = cdc.as_state(V.invoices(spark, sf_dir), 0)
+    batch = generate.test_invoices(spark, F.lit(10**9), 100, F.current_date())
+    changes = batch.select("*", F.lit("I").alias("op"), F.lit(1).alias("seq"), F.lit(0).cast("bigint").alias("tie"))
+    merged = cdc.merge_latest(state, cdc.latest_changes(changes, ["invoice_id"]), ["invoice_id"])
+    physical = merged._jdf.queryExecution().executedPlan().toString()
+    updated = physical.split("Union")[1].split("LeftAnti")[0]
+    assert "BroadcastHashJoin" in updated and "SortMergeJoin" not in updated
+    state_rows = updated.split("BuildRight")[1].split("BroadcastExchange")[0]
+    assert "FileScan" in state_rows and "Exchange" not in state_rows
+
+
 def test_a_hot_account_is_split(spark, monkeypatch):
     """Three quarters of the ledger on one account, sort-merged: AQE splits its partition, and the sums stay whole."""
     monkeypatch.setattr(generate, "ROWS_PER_PARTITION", 20_000)

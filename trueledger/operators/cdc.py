@@ -25,24 +25,30 @@ def latest_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def apply_changes(state: DataFrame | None, changes: DataFrame, keys: list[str]) -> DataFrame:
-    """The state after ``changes``; ``None`` stands for an empty state.
+    """The state after ``changes``; ``None`` stands for an empty state."""
+    latest = latest_changes(changes, keys)
+    return latest if state is None else merge_latest(state, latest, keys)
+
 
-    The batch is reduced to one row per key before it meets the state. Both sides of the join are
-    then unique by key, so no key can be hot, and the state is shuffled once. Changes may bring new
-    columns; rows from before have NULL there.
+def merge_latest(state: DataFrame, latest: DataFrame, keys: list[str]) -> DataFrame:
+    """``state`` with one change per key merged in.
+
+    Both sides are unique by key, so no key can be hot. A batch small enough to be broadcast leaves
+    the state where it is: neither join shuffles it. A larger one is sort-merged with it. Changes may
+    bring new columns; rows from before have NULL there.
     """
-    latest = latest_changes(changes, keys)
-    if state is None:
-        return latest
     check_additive(state.schema, latest.schema)
     rest = [c for c in state.columns if c not in keys]
     rest += [c for c in latest.columns if c not in keys and c not in rest]
     old = state.select(*keys, _row(state, latest, rest).alias("_old"))
     new = latest.select(*keys, _row(latest, state, rest).alias("_new"))
     place = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in ORDER])
-    is_newer = F.col("_old").isNull() | (F.col("_new").isNotNull() & (place("_new") > place("_old")))
+    is_newer = F.col("_new").isNotNull() & (place("_new") > place("_old"))
     kept = F.when(is_newer, F.col("_new")).otherwise(F.col("_old"))
-    return old.join(new, keys, "full_outer").select(*keys, kept.alias("_kept")).select(*keys, *[F.col(f"_kept.{c}").alias(c) for c in rest])
+    updated = old.join(new, keys, "left").select(*keys, kept.alias("_kept"))
+    known = state.select(*keys).join(latest.select(*keys), keys, "left_semi")
+    added = new.join(known, keys, "left_anti").withColumnRenamed("_new", "_kept")
+    return updated.unionByName(added).select(*keys, *[F.col(f"_kept.{c}").alias(c) for c in rest])
 
 
 def _row(df: DataFrame, other: DataFrame, columns: list[str]) -> Column:

@@ -167,12 +167,12 @@ def f06(spark, sf_dir):
     ),
 )
 def f06_fast(spark, sf_dir):
-    """Both tables through a write and a repartition; only a changed one may differ."""
+    """A faulty copy differs; a copy that is only partitioned otherwise does not."""
     inv, vendors = V.invoices(spark, sf_dir), V.vendors(spark, sf_dir)
     return union_all(
         [
             diff.same_content(inv, V.faulty_invoices(inv), "invoices"),
-            diff.same_content(vendors, vendors.repartition(3, "vendor_type"), "vendors"),
+            diff.same_content(vendors, vendors.repartition("vendor_id"), "vendors"),
         ]
     )
 
@@ -186,7 +186,7 @@ def f07(spark, sf_dir):
 def f08(spark, sf_dir):
     """Ten-day batches applied to a stored state, the first one a second time at the end."""
     changes = V.changes(spark, sf_dir)
-    store = BucketedState(spark, work_dir(spark, "replay"), KEYS, buckets=8)
+    store = BucketedState(spark, work_dir(spark, "replay"), KEYS, buckets=16)
     days = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21), dt.datetime(2025, 1, 1)]
     batches = [changes.where((F.col("seq") >= F.lit(a).cast("timestamp_ntz")) & (F.col("seq") < F.lit(b).cast("timestamp_ntz"))) for a, b in zip(days, days[1:])]
     for batch in [*batches, batches[0]]:
@@ -269,7 +269,7 @@ def s11(spark, sf_dir):
 @query("m01_stream_apply", LIVE)
 def m01(spark, sf_dir):
     root = work_dir(spark, "stream")
-    store = BucketedState(spark, f"{root}/state", KEYS, buckets=8)
+    store = BucketedState(spark, f"{root}/state", KEYS, buckets=16)
     cdc_stream.apply_stream(_event_stream(spark, sf_dir), store, f"{root}/checkpoint").awaitTermination()
     return store.live()
 

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from trueledger.functions import as_of_date
 
 
-def _partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
+def _partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "overwrite") -> None:
     """One folder per value. ``rebalance`` gathers small pieces and splits a value that is large."""
-    df.hint("rebalance", *columns).write.mode("overwrite").partitionBy(*columns).parquet(path)
+    df.hint("rebalance", *columns).write.mode(mode).partitionBy(*columns).parquet(path)
 
 
 def archive(df: DataFrame, path: str, date_column: str, older_than: dt.date, columns: list[str] | None = None) -> None:
@@ -51,7 +51,7 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 def append_log(rows: DataFrame, path: str, time_column: str) -> None:
     """Add rows to a log kept in one folder per day."""
-    rows.withColumn("run_date", F.col(time_column).cast("date")).write.mode("append").partitionBy("run_date").parquet(path)
+    _partitioned(rows.withColumn("run_date", F.col(time_column).cast("date")), path, ["run_date"], "append")
 
 
 def retained(log: DataFrame, as_of: dt.date | None = None, days: int = 90) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trueledger.operators.cdc import apply_changes, live_rows
+from trueledger.operators.cdc import latest_changes, live_rows, merge_latest
+from trueledger.session import settled
 from trueledger.sources.tables import read_if_present
 
 MANIFEST = "bucket int, version int, schema string"
@@ -63,11 +64,14 @@ class BucketedState:
     def apply(self, changes: DataFrame) -> list[int]:
         """Apply a batch of changes; returns the buckets it rewrote."""
         published = self._published()
-        touched = {r[0] for r in changes.select(self._bucket()).distinct().collect()}
+        # One row per key, computed once; its size on disk decides whether it is broadcast.
+        latest = settled(latest_changes(changes, self.keys), "latest-changes")
+        touched = {r[0] for r in latest.select(self._bucket()).distinct().collect()}
         if not touched:
             return []
         version = max((r.version for r in published), default=0) + 1
-        merged = apply_changes(self._read(published, touched), changes, self.keys)
+        before = self._read(published, touched)
+        merged = latest if before is None else merge_latest(before, latest, self.keys)
         schema = merged.schema if not published else self._read(published).schema
         for field in merged.schema.fields:
             if field.name not in schema.names:

@@ -26,12 +26,7 @@ def apply_stream(changes: DataFrame, store: BucketedState, checkpoint: str, inte
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        # The batch is read twice, for its buckets and for the merge.
-        batch.persist()
-        try:
-            store.apply(batch)
-        finally:
-            batch.unpersist()
+        store.apply(batch)
 
     return _start(changes, step, checkpoint, interval)
 
