@@ -168,7 +168,7 @@ def v04(spark, sf_dir):
     "v05_gl_balance",
     both_sql(
         "gl",
-        f"""SELECT total_debits, total_credits, abs(total_debits - total_credits) AS difference,
+        f"""SELECT total_debits, total_credits, CAST(abs(total_debits - total_credits) AS DECIMAL(28,2)) AS difference,
         {ladder('abs(total_debits - total_credits)', '100', '10000')} AS status FROM (
         SELECT CAST(SUM(debit_amount) AS DECIMAL(28,2)) AS total_debits, CAST(SUM(credit_amount) AS DECIMAL(28,2)) AS total_credits FROM {{gl}})""",
     ),
@@ -388,7 +388,7 @@ def v17(spark, sf_dir):
     "v18_budget_variance",
     both_sql(
         "bud",
-        f"""SELECT budget_id, budget_amount, actual_amount, variance_amount, variance_percent, actual_amount - budget_amount AS calculated_variance,
+        f"""SELECT budget_id, budget_amount, actual_amount, variance_amount, variance_percent, CAST(actual_amount - budget_amount AS DECIMAL(18,2)) AS calculated_variance,
         CASE WHEN budget_amount > 0 THEN {PERCENT} ELSE 0 END AS calculated_percent,
         CASE WHEN abs(variance_amount - (actual_amount - budget_amount)) < 0.01 THEN 'PASS' ELSE 'FAIL' END AS status FROM {{bud}}""",
     ),
@@ -449,7 +449,7 @@ def _share_sql(n: str) -> str:
     "v22_distribution_gap",
     with_views(
         "inv t_inv",
-        f"""SELECT *, CASE WHEN gap < 1 THEN 'PASS' ELSE 'REVIEW' END AS status FROM (SELECT *, abs(source_share - target_share) AS gap FROM (
+        f"""SELECT *, CASE WHEN gap < 1 THEN 'PASS' ELSE 'REVIEW' END AS status FROM (SELECT *, CAST(abs(source_share - target_share) AS DECIMAL(9,4)) AS gap FROM (
         SELECT status AS category, source_count, target_count, {_share_sql('source_count')} AS source_share, {_share_sql('target_count')} AS target_share
         FROM (SELECT status, COUNT(*) AS source_count FROM inv GROUP BY 1) FULL JOIN (SELECT status, COUNT(*) AS target_count FROM t_inv GROUP BY 1) USING (status)))""",
     ),

@@ -80,7 +80,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         ["bud0"],
         f"""SELECT CAST(fiscal_year * 100000 + fiscal_period * 1000 + s_nationkey AS BIGINT) AS budget_id,
         'CC' || CAST(1000 + s_nationkey AS VARCHAR) AS cost_center, fiscal_year, fiscal_period, budget_amount, actual_amount,
-        actual_amount - budget_amount AS variance_amount,
+        CAST(actual_amount - budget_amount AS DECIMAL(18,2)) AS variance_amount,
         CASE WHEN budget_amount > 0 THEN {PERCENT} ELSE 0 END AS variance_percent
         FROM bud0""",
     ),
@@ -111,7 +111,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         ["bud"],
         """SELECT * REPLACE (
         CASE WHEN fiscal_year = 1998 AND fiscal_period = 4 THEN 0 ELSE budget_amount END AS budget_amount,
-        CASE WHEN fiscal_year = 1998 AND fiscal_period = 3 THEN variance_amount + 1 ELSE variance_amount END AS variance_amount)
+        CASE WHEN fiscal_year = 1998 AND fiscal_period = 3 THEN CAST(variance_amount + 1 AS DECIMAL(18,2)) ELSE variance_amount END AS variance_amount)
         FROM bud""",
     ),
     # Events in their other readings.
