@@ -1,9 +1,12 @@
+import os
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from trueledger.operators import grants as G
 from trueledger.operators import security
+from trueledger.plans import jobs
 from trueledger.sources import exports
 
 DB = "ENTERPRISE_FINANCE"
@@ -126,6 +129,17 @@ def test_plan_and_report(spark, roles, grants):
     assert tuple(report) == (6, 64, 5, 5, 5, 0)
 
 
+def test_migration_job(spark, roles, folder):
+    ddl = "created_on string, privilege string, granted_on string, name string, granted_to string, grantee_name string, grant_option string, granted_by string"
+    raw = spark.createDataFrame([("t", p, o, n, "ROLE", r, "false", None) for r, p, o, n in FIXTURE] + [("t", "SELECT", "TABLE", "x", "ROLE", "OTHER", "false", None)], ddl)
+    members = spark.createDataFrame([("cfo@company.com", "Viewer")], "user_email string, access_role string")
+    report = jobs.migrate_grants(spark, raw, roles, members, folder)
+    assert tuple(report.first()) == (6, 64, 5, 5, 5, 0)
+    plan = spark.read.csv(f"{folder}/plan", header=True)
+    assert dict(rows(plan.groupBy("action").count())) == {"add": 4, "none": 1}
+    assert sorted(os.listdir(f"{folder}/grants"))[-1] == "file=finance_viewer_grants"
+
+
 def test_gaps_and_service_account(spark, roles, grants):
     gaps = G.privilege_gaps(roles, ALL, grants)
     per_role = dict(rows(gaps.groupBy("role").count()))

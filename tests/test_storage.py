@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from trueledger.operators import business, diff, integrity
+from trueledger.plans import jobs
 from trueledger.schemas import FOREIGN_KEYS, INVOICES, PRIMARY_KEYS, TABLES
 from trueledger.sources import exports, generate, snapshots, tables
 
@@ -64,6 +65,17 @@ def test_load_verify_and_summary(spark, fin, folder):
     assert tables.read_table(spark, folder, "vendors").count() == 3
 
 
+def test_generate_and_load_job(spark, folder):
+    done = jobs.generate_and_load(spark, folder, SMALL)
+    assert done.report.where("loaded").count() == done.verification.where("valid").count() == 6
+    assert done.summary.first().total_rows == sum(SMALL.values())
+
+
+def test_missing_table_is_not_valid(spark, folder):
+    expected = spark.createDataFrame([("vendors", 3)], "table_name string, row_count bigint")
+    assert rows(snapshots.verify_load(spark, folder, expected)) == [("vendors", None, 3, False)]
+
+
 def test_one_failing_table_does_not_stop_the_others(spark, fin, folder):
     broken = fin["vendors"].withColumn("vendor_name", F.raise_error(F.lit("source unreadable")).cast("string"))
     report = snapshots.load(spark, {"vendors": broken, "cost_centers": fin["cost_centers"]}, folder)

@@ -21,8 +21,14 @@ ALERT_RULES = [
 METRIC = "decimal(18,2)"
 
 
+def with_latency(log: DataFrame) -> DataFrame:
+    """The sync log with the milliseconds from commit (``sync_start``) to copy (``sync_end``)."""
+    return log.withColumn("latency_ms", F.timestamp_diff("MILLISECOND", F.col("sync_start"), F.col("sync_end")))
+
+
 def sync_latency(log: DataFrame, limit_ms: int = 5 * 60_000) -> DataFrame:
     """Largest and 95th-percentile delay between commit and copy per table, and runs over the limit."""
+    log = with_latency(log)
     p95 = discrete_percentile(log, ["table_name"], "latency_ms", "0.95", "p95_latency_ms")
     totals = log.groupBy("table_name").agg(
         F.count(F.lit(1)).alias("runs"),
@@ -34,7 +40,7 @@ def sync_latency(log: DataFrame, limit_ms: int = 5 * 60_000) -> DataFrame:
 
 def sync_status(log: DataFrame) -> DataFrame:
     """Last sync, its rows, worst latency and failures per table."""
-    return log.groupBy("table_name").agg(
+    return with_latency(log).groupBy("table_name").agg(
         F.max("sync_start").alias("last_sync"),
         F.max_by("rows_synced", F.struct("sync_start", "run_id")).alias("last_rows"),
         F.max("latency_ms").alias("max_latency_ms"),

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor, as_completed
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,10 +50,20 @@ def load_into(frames: dict[str, DataFrame], database: str, root: str | None = No
 
 
 def verify_load(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
-    """Stored row count of each table against ``expected`` (table_name, row_count)."""
-    names = [r.table_name for r in expected.select("table_name").collect()]
-    stored = row_counts({name: spark.read.parquet(f"{root}/{name}") for name in names})
-    return expected.withColumnRenamed("row_count", "expected_count").join(stored, "table_name", "left").select(
+    """Stored row count of each table against ``expected`` (table_name, row_count); a missing table is not valid."""
+    stored = {}
+    for row in expected.select("table_name").collect():
+        try:
+            stored[row.table_name] = spark.read.parquet(f"{root}/{row.table_name}")
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+    expected = expected.withColumnRenamed("row_count", "expected_count")
+    if stored:
+        expected = expected.join(row_counts(stored), "table_name", "left")
+    else:
+        expected = expected.withColumn("row_count", F.lit(None).cast("bigint"))
+    return expected.select(
         "table_name",
         "row_count",
         "expected_count",

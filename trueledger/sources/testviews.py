@@ -413,7 +413,7 @@ def sync_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("run_id"),
         F.element_at(tables, (F.col("event_id") % 6 + 1).cast("int")).alias("table_name"),
         F.col("ts").alias("sync_start"),
-        (centis * 10).alias("latency_ms"),
+        F.timestamp_add("MILLISECOND", centis * 10, F.col("ts")).alias("sync_end"),
         centis.alias("rows_synced"),
         F.when(F.col("event_type") == "error", "sync failed").alias("error"),
     )
