@@ -51,16 +51,19 @@ def both_sides(source: DataFrame, target: DataFrame, columns: list[str | Column]
 
 
 def distribution_gap(source: DataFrame, target: DataFrame, category: str, limit: str = "1.00") -> DataFrame:
-    """Share of each category on both sides, in percent, and the gap between them."""
+    """Share of each category on both sides, in percent, and the gap between them.
+
+    The totals are a scalar subquery over the same counts, so any number of categories will do.
+    """
     counts = (
         both_sides(source, target, [category])
         .groupBy(category)
         .agg(F.count_if("is_source").alias("source_count"), F.count_if(~F.col("is_source")).alias("target_count"))
     )
-    # One row per category from here on.
-    everything = Window.partitionBy()
+    totals = counts.agg(F.sum("source_count").alias("source_count"), F.sum("target_count").alias("target_count"))
+    everything = totals.select(F.struct("source_count", "target_count").alias("t")).scalar()
     share = lambda n: F.round(
-        F.col(n).cast("decimal(20,0)") * 100 / F.nullif(F.sum(n).over(everything), F.lit(0)), 4
+        F.col(n).cast("decimal(20,0)") * 100 / F.nullif(everything.getField(n), F.lit(0)), 4
     ).cast("decimal(9,4)")
     return (
         counts.withColumn("source_share", share("source_count"))
