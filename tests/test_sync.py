@@ -177,6 +177,12 @@ def test_diff_with_null_and_composite_keys(spark):
     assert cells == {(None, "x", "v", "1", "9"), (1, "y", "v", "3", "4")}
 
 
+def test_diff_compares_the_columns_both_sides_have(spark):
+    source = spark.createDataFrame([(1, "a", 1)], "k int, v string, lost int")
+    target = spark.createDataFrame([(1, "b", "n")], "k int, v string, notes string")
+    assert [r.column_name for r in diff.cell_differences(source, target, KEYS).collect()] == ["v"]
+
+
 def test_equal_duplicates_are_no_difference(spark):
     twice = spark.createDataFrame(A + A, ROWS)
     assert diff.key_differences(twice, twice.repartition(3), KEYS).count() == 0

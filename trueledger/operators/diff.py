@@ -58,12 +58,17 @@ def _hash_sums(h: Column) -> list[Column]:
     ]
 
 
+def shared_columns(source: DataFrame, target: DataFrame, keys: list[str]) -> list[str]:
+    """Columns to compare: those both sides have. Others are the schema check's business."""
+    return [c for c in source.columns if c in target.columns and c not in keys]
+
+
 def key_differences(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
     """Keys that are MISSING, EXTRA, CHANGED or DUPLICATE in the target, with rows per side.
 
     A key counts as DUPLICATE when either side holds it more than once and the sides differ.
     """
-    columns = columns or [c for c in source.columns if c not in keys]
+    columns = columns or shared_columns(source, target, keys)
     hashed = lambda df: df.select(*keys, row_hash(df.schema, columns).alias("_h"))
     source_h, target_h = F.when(F.col("is_source"), F.col("_h")), F.when(~F.col("is_source"), F.col("_h"))
     per_key = both_sides(hashed(source), hashed(target), [*keys, "_h"]).groupBy(*keys).agg(
@@ -93,7 +98,7 @@ def cell_differences(
 
     ``tolerance`` gives the largest numeric gap still taken as equal, per column.
     """
-    columns = columns or [c for c in source.columns if c not in keys]
+    columns = columns or shared_columns(source, target, keys)
     tolerance = tolerance or {}
     found = settled(key_differences(source, target, keys, columns), "differing-keys")
     changed = _renamed(found.where("difference = 'CHANGED'"), keys, [], "c_")
