@@ -10,7 +10,7 @@ from trueledger.operators import cdc, diff, evolve
 from trueledger.sources import generate
 from trueledger.sources.statestore import BucketedState
 from trueledger.streaming import cdc_stream
-from trueledger.streaming.change_counts import change_counts, streamed_change_counts
+from trueledger.streaming.change_counts import change_counts, streamed_change_counts, utc_wall_clock
 
 CHANGES = "k int, v string, op string, seq bigint, tie bigint"
 KEYS = ["k"]
@@ -116,17 +116,26 @@ def timed_events(spark, n=2000):
     return spark.createDataFrame(data, "k int, op string, seq timestamp_ntz, tie bigint")
 
 
-def test_streamed_counts_equal_batch_counts(spark, folder):
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_streamed_counts_equal_batch_counts(spark, folder, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        compare_streamed_counts(spark, folder)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def compare_streamed_counts(spark, folder):
     df = timed_events(spark)
-    want = rows(change_counts(df, "1 hour").select("interval_start", "op", "change_count"))
+    want = rows(change_counts(df, "1 day").select("interval_start", "op", "change_count"))
     for i in range(4):
         df.where((F.col("tie") >= i * 500) & (F.col("tie") < (i + 1) * 500)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = streamed_change_counts(cdc_stream.change_stream(spark, f"{folder}/in", df.schema), "1 hour", "1 hour")
+    stream = streamed_change_counts(cdc_stream.change_stream(spark, f"{folder}/in", df.schema), "1 day", "1 hour")
     query = cdc_stream.append_updates(stream, f"{folder}/out", f"{folder}/checkpoint")
     query.awaitTermination()
     dropped = sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
     latest = cdc_stream.latest_updates(spark, f"{folder}/out", ["interval_start", "op"], "change_count")
-    got = rows(latest.select(F.col("interval_start").cast("timestamp_ntz"), "op", "change_count"))
+    got = rows(latest.select(utc_wall_clock("interval_start"), "op", "change_count"))
     assert dropped == 0 and got == want
 
 

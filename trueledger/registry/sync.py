@@ -17,7 +17,7 @@ from trueledger.sources import testviews as V
 from trueledger.sources.statestore import BucketedState
 from trueledger.sources.tables import union_all
 from trueledger.streaming import cdc_stream
-from trueledger.streaming.change_counts import streamed_change_counts
+from trueledger.streaming.change_counts import streamed_change_counts, utc_wall_clock
 
 TODAY = dt.date(2001, 3, 1)
 KEYS = ["account_id"]
@@ -287,4 +287,4 @@ def m06_streamed(spark, sf_dir):
     cdc_stream.append_updates(counts, f"{root}/updates", f"{root}/checkpoint").awaitTermination()
     keys = ["interval_start", "op"]
     latest = cdc_stream.latest_updates(spark, f"{root}/updates", keys, "change_count")
-    return latest.withColumn("interval_start", F.col("interval_start").cast("timestamp_ntz"))
+    return latest.withColumn("interval_start", utc_wall_clock("interval_start"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,7 +16,20 @@ def change_counts(changes: DataFrame, interval: str = "15 minutes") -> DataFrame
     )
 
 
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def utc_instant(column: str) -> Column:
+    """A zone-free time read as UTC, whatever the session's zone; watermarks need an instant."""
+    return F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {_EPOCH}, `{column}`))")
+
+
+def utc_wall_clock(column: str) -> Column:
+    """The way back: an instant as zone-free UTC time."""
+    return F.expr(f"timestampadd(MICROSECOND, unix_micros(`{column}`), {_EPOCH})")
+
+
 def streamed_change_counts(changes: DataFrame, interval: str = "15 minutes", lateness: str = "1 hour") -> DataFrame:
     """Streaming variant: state older than the watermark is dropped. Zone-free event times are read as UTC."""
-    timed = changes.withColumn("seq", F.col("seq").cast("timestamp")).withWatermark("seq", lateness)
+    timed = changes.withColumn("seq", utc_instant("seq")).withWatermark("seq", lateness)
     return change_counts(timed, interval)
