@@ -33,80 +33,130 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class MergeReplay:
     """Encodes lists of words against fixed ranks."""
 
+    #: Stands where a word ends, and where a merged token has left its place.
+    NONE = (1 << 20) - 1
+
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.token = {rank: token for token, rank in ranks.items()}
-        self.of_byte = [ranks[bytes([b])] for b in range(256)]
-        self.merged: dict[tuple[int, int], int] = {}
-
-    def pair_rank(self, left: int, right: int) -> int:
-        """Rank of the token that the pair merges into, -1 if there is none."""
-        rank = self.merged.get((left, right))
-        if rank is None:
-            rank = self.ranks.get(self.token[left] + self.token[right], -1)
-            self.merged[left, right] = rank
-        return rank
-
-    def encode(self, words: list[bytes]) -> list[list[int]]:
+        self.of_byte = np.array([ranks[bytes([b])] for b in range(256)])
+        merges = sorted(
+            ((ranks[token[:cut]] << 20) + ranks[token[cut:]], rank)
+            for token, rank in ranks.items()
+            for cut in range(1, len(token))
+            if token[:cut] in ranks and token[cut:] in ranks
+        )
+        self.pairs = np.array([*(pair for pair, _ in merges), 1 << 62])
+        self.merged = np.array([*(rank for _, rank in merges), -1])
+
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the token that each pair merges into, -1 where there is none."""
+        pair = (left << 20) + right
+        at = self.pairs.searchsorted(pair)
+        return np.where(self.pairs[at] == pair, self.merged[at], -1)
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word as little-endian unsigned 32-bit bytes."""
         whole = [self.ranks.get(w) for w in words]
-        rest = [w for w, rank in zip(words, whole, strict=True) if rank is None]
-        replayed = iter(self._replay(rest))
-        return [next(replayed) if rank is None else [rank] for rank in whole]
-
-    def _replay(self, words: list[bytes]) -> list[list[int]]:
-        ids = [self.of_byte[b] for w in words for b in w]
-        n = len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        ends, at = [], 0
-        for w in words:
-            ends.append((at, at + len(w)))
-            if w:
-                before[at] = -1
-                after[at + len(w) - 1] = -1
-            at += len(w)
-        places: dict[int, list[int]] = {}
-        for i in range(n):
-            if after[i] >= 0 and (rank := self.pair_rank(ids[i], ids[after[i]])) >= 0:
-                places.setdefault(rank, []).append(i)
-        queue = list(places)
-        heapq.heapify(queue)
+        replayed = iter(self._replay([w for w, rank in zip(words, whole, strict=True) if rank is None and w]))
+        return [rank.to_bytes(4, "little") if rank is not None else next(replayed) if w else b"" for w, rank in zip(words, whole, strict=True)]
+
+    def _replay(self, words: list[bytes]) -> list[bytes]:
+        if not words:
+            return []
+        sizes = np.array([len(w) for w in words])
+        # A token stands at the place of its first byte; each word ends in a place of its own.
+        word_of_byte = np.repeat(np.arange(len(words)), sizes)
+        n = len(word_of_byte) + len(words)
+        ids = np.full(n, self.NONE)
+        ids[np.arange(len(word_of_byte)) + word_of_byte] = self.of_byte[np.frombuffer(b"".join(words), np.uint8)]
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        places: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def index(found: np.ndarray, at: np.ndarray) -> None:
+            """Adds to the places of each rank in ``found``."""
+            order = found.argsort(kind="stable")
+            found, at = found[order], at[order]
+            cuts = [0, *(np.flatnonzero(found[1:] != found[:-1]) + 1).tolist(), len(found)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                rank = int(found[a])
+                if rank in places:
+                    places[rank].append(at[a:b])
+                else:
+                    places[rank] = [at[a:b]]
+                    heapq.heappush(queue, rank)
+
+        first = self.pair_ranks(ids[:-1], ids[1:])
+        can = np.flatnonzero(first >= 0)
+        if len(can):
+            index(first[can], can)
         while queue:
             rank = heapq.heappop(queue)
-            for i in sorted(places.pop(rank)):
-                j = after[i]
-                if ids[i] < 0 or j < 0 or self.pair_rank(ids[i], ids[j]) != rank:
-                    continue
-                ids[i], ids[j] = rank, -1
-                after[i] = k = after[j]
-                if k >= 0:
-                    before[k] = i
-                for left, right in ((before[i], i), (i, k)):
-                    if left >= 0 and right >= 0 and (new := self.pair_rank(ids[left], ids[right])) >= 0:
-                        if new not in places:
-                            places[new] = []
-                            heapq.heappush(queue, new)
-                        places[new].append(left)
-        return [[x for x in ids[a:b] if x >= 0] for a, b in ends]
-
-
-def _word_encoder(ranks: dict[bytes, int], pattern: str):
-    split, replay = regex.compile(pattern).findall, MergeReplay(ranks)
-
-    def encode(texts: list[str]) -> list[bytes]:
-        words = [split(t) for t in texts]
-        distinct = list(set().union(*words)) if words else []
-        packed = [np.array(x, "<u4").tobytes() for x in replay.encode([w.encode() for w in distinct])]
-        get = dict(zip(distinct, packed, strict=True)).__getitem__
+            at = np.unique(np.concatenate(places.pop(rank)))
+            right = after[at]
+            valid = self.pair_ranks(ids[at], ids[right]) == rank
+            at, right = at[valid], right[valid]
+            if (at[1:] == right[:-1]).any():  # overlapping places: the left one of two goes first
+                taken, free = [], -1
+                for i, (a, r) in enumerate(zip(at.tolist(), right.tolist(), strict=True)):
+                    if a != free:
+                        taken.append(i)
+                        free = r
+                at, right = at[taken], right[taken]
+            if not len(at):
+                continue
+            ids[at], ids[right] = rank, self.NONE
+            follow = after[right]
+            after[at], before[follow] = follow, at
+            lead = before[at]
+            new = np.concatenate([self.pair_ranks(ids[lead], ids[at]), self.pair_ranks(ids[at], ids[follow])])
+            can = np.flatnonzero(new >= 0)
+            if len(can):
+                index(new[can], np.concatenate([lead, at])[can])
+        stays = ids != self.NONE
+        ends = np.cumsum(stays)[np.cumsum(sizes) + np.arange(len(words)) - 1 + 0].tolist()
+        packed = ids[stays].astype("<u4").tobytes()
+        return [packed[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
+
+
+class WordIds:
+    """Packed ids of chunks, each match of the pattern by itself; remembers words."""
+
+    #: Distinct words that are remembered; beyond it the memory is emptied and filled again.
+    REMEMBERED = 800_000
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.split, self.replay = regex.compile(pattern).findall, MergeReplay(ranks)
+        self.known: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        words = [self.split(t) for t in texts]
+        distinct = set().union(*words)
+        if len(self.known) + len(distinct) > self.REMEMBERED:
+            self.known.clear()
+        new = list(distinct.difference(self.known))
+        self.known.update(zip(new, self.replay.encode([w.encode() for w in new]), strict=True))
+        get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in words]
 
-    return encode
+
+#: The encoder of this Python worker, kept from task to task.
+_ENCODER: dict[tuple[int, str], chunks.ChunkIds] = {}
+
+
+def _encoder(ranks: dict[bytes, int], pattern: str) -> chunks.ChunkIds:
+    key = (hash(frozenset(ranks.items())), pattern)
+    if key not in _ENCODER:
+        _ENCODER.clear()
+        _ENCODER[key] = chunks.ChunkIds(WordIds(ranks, pattern))
+    return _ENCODER[key]
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
     """``df`` with ``out array<int>``: the ids of column ``text``, each match of ``pattern`` by itself."""
 
     def make():
-        ids_of = chunks.ChunkIds(_word_encoder(ranks, pattern))
+        ids_of = _encoder(ranks, pattern)
 
         def batch(column: pa.Array) -> pa.Array:
             offsets, ids = chunks.as_ids(ids_of(texts_of(column)))

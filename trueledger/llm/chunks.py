@@ -14,7 +14,10 @@ import numpy as np
 import regex
 
 #: Distinct chunks a task remembers; beyond it the memory is emptied and filled again.
-REMEMBERED = 600_000
+REMEMBERED = 500_000
+
+#: Characters whose chunks are looked up together.
+BLOCK_CHARS = 4_000_000
 
 _RUN = regex.compile(r" \s")
 _CUT = regex.compile(r" (?!\s)")
@@ -34,17 +37,27 @@ class ChunkIds:
         self.known: dict[str, bytes] = {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for start in range(0, len(texts), 256):
-            split = [chunks(t) for t in texts[start : start + 256]]
-            new = list(set().union(*split).difference(self.known))
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = list(set().union(*split))
-            self.known.update(zip(new, self.encode(new), strict=True))
-            get = self.known.__getitem__
-            out += [b"".join(map(get, s)) for s in split]
-        return out
+        out: list[bytes] = []
+        block: list[str] = []
+        size = 0
+        for text in texts:
+            block.append(text)
+            size += len(text)
+            if size >= BLOCK_CHARS:
+                out += self._block(block)
+                block, size = [], 0
+        return out + self._block(block)
+
+    def _block(self, texts: list[str]) -> list[bytes]:
+        split = [chunks(t) for t in texts]
+        distinct = set().union(*split)
+        new = list(distinct.difference(self.known))
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = list(distinct)
+        self.known.update(zip(new, self.encode(new), strict=True))
+        get = self.known.__getitem__
+        return [b"".join(map(get, s)) for s in split]
 
 
 def as_ids(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
