@@ -123,7 +123,7 @@ class WordIds:
     """Packed ids of chunks, each match of the pattern by itself; remembers words."""
 
     #: Distinct words that are remembered; beyond it the memory is emptied and filled again.
-    REMEMBERED = 800_000
+    REMEMBERED = 400_000
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.split, self.replay = regex.compile(pattern).findall, MergeReplay(ranks)

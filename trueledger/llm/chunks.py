@@ -14,10 +14,10 @@ import numpy as np
 import regex
 
 #: Distinct chunks a task remembers; beyond it the memory is emptied and filled again.
-REMEMBERED = 500_000
+REMEMBERED = 250_000
 
 #: Characters whose chunks are looked up together.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_500_000
 
 _RUN = regex.compile(r" \s")
 _CUT = regex.compile(r" (?!\s)")

@@ -39,14 +39,14 @@ def with_field(df: DataFrame, name: str, kind: str) -> T.StructType:
 def add_column(df: DataFrame, source: str, name: str, kind: str, make: Callable[[], Callable[[pa.Array], pa.Array]]) -> DataFrame:
     """``df`` with column ``name`` computed by Arrow batches from column ``source``.
 
-    ``make`` runs once in each task and returns the function that maps one batch's array.
+    ``make`` runs once in each task and returns the function that maps an array of a few hundred rows.
     """
     schema = with_field(df, name, kind)
     others = [f.name for f in schema.fields if f.name != name]
 
     def run(batches: Batches) -> Batches:
         fn = make()
-        for batch in batches:
+        for batch in slices(batches):
             made = fn(batch.column(batch.schema.get_field_index(source)))
             columns = [batch.column(batch.schema.get_field_index(c)) for c in others]
             yield pa.RecordBatch.from_arrays([*columns, made], names=[*others, name])
@@ -54,6 +54,13 @@ def add_column(df: DataFrame, source: str, name: str, kind: str, make: Callable[
     return df.mapInArrow(run, schema)
 
 
+def slices(batches: Batches, rows: int = 500) -> Batches:
+    """The batches in smaller ones, so that what is made from each stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings of an Arrow column; null is the empty text."""
     return [x or "" for x in column.to_pylist()]

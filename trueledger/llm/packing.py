@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trueledger.llm import chunks
-from trueledger.llm.common import Batches, stored, texts_of
+from trueledger.llm.common import Batches, slices, stored, texts_of
 
 #: Pieces a partition packs at once; what one task holds.
 PARTITION_PIECES = 40_000
@@ -58,7 +58,7 @@ def token_pieces(df: DataFrame, tokenizer: str, capacity: int = 2048, separator:
 
         ids_of = chunks.ChunkIds(encode)
         end = np.array([separator], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches):
             keys, rows = batch.column(0), []
             for row, raw in enumerate(ids_of(texts_of(batch.column(1)))):
                 raw += end

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trueledger.llm import byte_bpe, packing
+from trueledger.llm import byte_bpe, fingerprint, packing, warc
 from trueledger.llm.common import hex_sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, then read back from the archives."""
+    rows = warc.with_roles(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+    return warc.read(spark, warc.write(rows)).select(
+        F.col("row_id").alias("page_id"), "payload_bytes", F.col("digest").alias("payload_digest"), "record_type", "refers_to"
+    )
+
+
+ORACLES["op2_warc_bundles"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS digest FROM pages),
+f AS (SELECT digest, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY digest),
+r AS (SELECT p.*, CASE WHEN n >= 100 AND page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to FROM p LEFT JOIN f USING (digest))
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM r
+"""
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
@@ -44,3 +63,23 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048, separator=0)
     return packing.pack(packing.with_crc32(pieces), 2048)
+
+
+@query
+def op8_threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint, beside those of its edited text and of the next document."""
+    pairs = fingerprint.with_next(table(spark, sf_dir, "documents"), "doc_id", "text")
+    text, following = F.coalesce("text", F.lit("")), F.coalesce("next_text", F.lit(""))
+    moved = (F.length(text) / 4).cast("int")
+    edited = F.concat(F.substring(text, F.lit(1), F.length(text) - moved), F.substring(following, F.lit(1), moved))
+    rows = pairs.select("doc_id", F.length(text).cast("long").alias("n_chars"), text.alias("text"), edited.alias("edited"), following.alias("next_text"))
+    made = fingerprint.add_fingerprints(rows, {"fingerprint": "text", "edited_fingerprint": "edited", "_next": "next_text"})
+    return made.select(
+        "doc_id",
+        "n_chars",
+        hex_sha256(F.col("edited")).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        fingerprint.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
+        fingerprint.likeness("fingerprint", "_next").alias("near_next"),
+    )
