@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,3 +65,23 @@ def slices(batches: Batches, rows: int = 500) -> Batches:
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings of an Arrow column; null is the empty text."""
     return [x or "" for x in column.to_pylist()]
+
+
+def groups(batches: Batches, *keys: str) -> Iterator[pa.Table]:
+    """The runs of rows with equal (non-null) keys, of batches sorted by them."""
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+        if not table.num_rows:
+            continue
+        new = np.zeros(table.num_rows, bool)
+        for k in keys:
+            values = table.column(k).to_numpy()
+            new[1:] |= values[1:] != values[:-1]
+        starts = [0, *np.flatnonzero(new).tolist()]
+        for a, b in zip(starts, starts[1:], strict=False):
+            yield table.slice(a, b - a)
+        held = table.slice(starts[-1])
+    if held is not None and held.num_rows:
+        yield held

@@ -8,9 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trueledger.llm import byte_bpe, fingerprint, packing, warc
+from trueledger.llm import byte_bpe, chosen_path, fingerprint, packing, toxicity, vectors, warc
 from trueledger.llm.common import hex_sha256
 
+#: Score from which a document counts as toxic.
+TOXIC_FROM = 0.7
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -83,3 +86,84 @@ def op8_threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprint.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
         fingerprint.likeness("fingerprint", "_next").alias("near_next"),
     )
+
+
+@query
+def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        F.coalesce(toxicity.fold(F.col("doc_id")) == 1, F.lit(False)).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
+#: Components of ``links (a, b)`` over ``nodes (id)``, as one row per node: ``id, component_id``.
+_COMPONENTS = """
+reach(id, c) AS (
+    SELECT id, id FROM nodes
+    UNION
+    SELECT l.a, r.c FROM reach r JOIN links l ON l.b = r.id WHERE r.c < l.a
+),
+component AS (SELECT id, min(c) AS component_id FROM reach GROUP BY id)
+"""
+
+
+@query
+def op6_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's near duplicates."""
+    found = vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+ORACLES["op6_product_quantisation"] = f"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+      AND len(list_filter(embedding, lambda e: e <> 0)) > 0
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.x, b.x) >= 0.95
+),
+nodes AS (SELECT vec_id AS id FROM embeddings),
+{_COMPONENTS},
+n AS (SELECT a AS id, count(*) AS n_links FROM links GROUP BY a)
+SELECT id AS vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, id = component_id AS kept
+FROM component LEFT JOIN n USING (id)
+"""
+
+
+@query
+def op10_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near duplicates on runs of five words."""
+    found = chosen_path.join(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_links", "component_id", "kept")
+
+
+ORACLES["op10_chosen_path_join"] = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+t AS (SELECT text, min(doc_id) AS rep, list_filter(string_split_regex(text, '\\s+'), lambda w: w <> '') AS w FROM d GROUP BY text),
+s AS (
+    SELECT rep, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END)) AS shingle
+    FROM t
+),
+size AS (SELECT rep, count(*) AS n FROM s GROUP BY rep),
+near AS (
+    SELECT x.rep AS a, y.rep AS b FROM s x JOIN s y ON x.shingle = y.shingle AND x.rep <> y.rep
+    GROUP BY x.rep, y.rep
+    HAVING count(*) >= 0.8 * ((SELECT n FROM size WHERE rep = x.rep) + (SELECT n FROM size WHERE rep = y.rep) - count(*))
+),
+class AS (SELECT a AS ra, b AS rb FROM near UNION ALL SELECT rep, rep FROM t),
+member AS (SELECT doc_id, rep FROM d JOIN t USING (text)),
+links AS (SELECT x.doc_id AS a, y.doc_id AS b FROM class JOIN member x ON x.rep = ra JOIN member y ON y.rep = rb WHERE x.doc_id <> y.doc_id),
+nodes AS (SELECT doc_id AS id FROM d),
+{_COMPONENTS},
+n AS (SELECT a AS id, count(*) AS n_links FROM links GROUP BY a)
+SELECT id AS doc_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, id = component_id AS kept
+FROM component LEFT JOIN n USING (id)
+"""
