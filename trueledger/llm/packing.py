@@ -14,6 +14,7 @@ unique id; repeated rows are packed once for each row, null and empty texts are
 from __future__ import annotations
 
 import bisect
+import os
 
 import numpy as np
 import pandas as pd
@@ -48,13 +49,17 @@ def token_pieces(df: DataFrame, tokenizer: str, capacity: int = 2048, separator:
         definition = f.read()
 
     def run(batches: Batches) -> Batches:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tok = Tokenizer.from_str(definition)
         tok.encode_special_tokens = True
 
         def encode(texts: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+            out: list[bytes] = []
+            for at in range(0, len(texts), 2_000):  # what the library makes of a text is far larger than its ids
+                out += [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(texts[at : at + 2_000], add_special_tokens=False)]
+            return out
 
         ids_of = chunks.ChunkIds(encode)
         end = np.array([separator], "<u4").tobytes()

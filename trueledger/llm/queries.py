@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trueledger.llm import byte_bpe, chosen_path, fingerprint, packing, toxicity, vectors, warc
+from trueledger.llm import byte_bpe, chosen_path, fingerprint, line_dedup, packing, toxicity, vectors, warc
 from trueledger.llm.common import hex_sha256
 
 #: Score from which a document counts as toxic.
@@ -27,6 +27,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Components of ``links (a, b)`` over ``nodes (id)``, as one row per node: ``id, component_id``.
+_COMPONENTS = """
+reach(id, c) AS (
+    SELECT id, id FROM nodes
+    UNION
+    SELECT l.a, r.c FROM reach r JOIN links l ON l.b = r.id WHERE r.c < l.a
+),
+component AS (SELECT id, min(c) AS component_id FROM reach GROUP BY id)
+"""
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its lines that repeat an earlier one, within two edits."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_dedup.per_document(docs, line_dedup.repeated(docs))
+    listed = F.transform("dropped", lambda d: F.concat_ws(":", d["at"], d["first_id"], d["first_at"]))
+    return found.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.array_join(listed, ",").alias("dropped"))
+
+
+ORACLES["op1_line_dedup"] = f"""
+WITH RECURSIVE o AS (
+    SELECT doc_id, unnest(range(len(l)))::INTEGER AS place, unnest(l) AS line
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL)
+),
+p AS (SELECT * FROM o WHERE regexp_matches(line, '\\S')),
+d AS (SELECT line, length(line) AS n, row_number() OVER (ORDER BY min(row(doc_id, place))) AS id, min(row(doc_id, place)) AS head FROM p GROUP BY line),
+near AS (
+    SELECT x.id AS a, y.id AS b FROM d x JOIN d y ON y.n IN (x.n, x.n + 1, x.n + 2) AND x.id <> y.id
+    WHERE x.n >= 20 AND y.n >= 20
+      -- two edits leave one of three parts as it is
+      AND (contains(y.line, left(x.line, x.n // 3)) OR contains(y.line, right(x.line, x.n // 3)) OR contains(y.line, substring(x.line, x.n // 3 + 1, x.n - 2 * (x.n // 3))))
+      AND levenshtein(x.line, y.line) <= 2
+),
+links AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
+nodes AS (SELECT id FROM d),
+{_COMPONENTS},
+f AS (SELECT d.line, g.head FROM d JOIN component c USING (id) JOIN d g ON g.id = c.component_id),
+gone AS (
+    SELECT doc_id, count(*) AS k, string_agg(place || ':' || head[1] || ':' || head[2], ',' ORDER BY place) AS dropped
+    FROM p JOIN f USING (line) WHERE row(doc_id, place) <> head GROUP BY doc_id
+)
+SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(k, 0)::BIGINT AS n_dropped, coalesce(dropped, '') AS dropped
+FROM documents LEFT JOIN gone USING (doc_id)
+"""
+
+
 @query
 def op2_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page archived, then read back from the archives."""
@@ -101,17 +148,6 @@ def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-#: Components of ``links (a, b)`` over ``nodes (id)``, as one row per node: ``id, component_id``.
-_COMPONENTS = """
-reach(id, c) AS (
-    SELECT id, id FROM nodes
-    UNION
-    SELECT l.a, r.c FROM reach r JOIN links l ON l.b = r.id WHERE r.c < l.a
-),
-component AS (SELECT id, min(c) AS component_id FROM reach GROUP BY id)
-"""
-
-
 @query
 def op6_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's near duplicates."""
