@@ -96,26 +96,26 @@ def merged(a: np.ndarray, b: np.ndarray, scale: int = SCALE) -> np.ndarray:
     return below if len(below) else both[:1]
 
 
-def add_fingerprints(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """``df`` with a fingerprint column for each ``{new column: text column}``."""
-    kept = [f for f in df.schema.fields if f.name not in columns]
-    schema = T.StructType([*kept, *(T.StructField(c, T.StringType()) for c in columns)])
+def add_fingerprints(df: DataFrame, columns: Mapping[str, str], likeness: Mapping[str, tuple[str, str]] | None = None) -> DataFrame:
+    """``df`` with a fingerprint column for each ``{new column: text column}``.
+
+    ``likeness`` asks for estimated Jaccard likenesses too: ``{new column: (fingerprint, fingerprint)}``.
+    """
+    pairs = dict(likeness or {})
+    kept = [f for f in df.schema.fields if f.name not in (*columns, *pairs)]
+    schema = T.StructType([*kept, *(T.StructField(c, T.StringType()) for c in columns), *(T.StructField(c, T.DoubleType()) for c in pairs)])
 
     def run(batches: Batches) -> Batches:
         for batch in slices(batches):
-            made = [pa.array([as_text(sketch(t)) for t in texts_of(batch.column(batch.schema.get_field_index(s)))], pa.string()) for s in columns.values()]
+            sketches = {c: [sketch(t) for t in texts_of(batch.column(batch.schema.get_field_index(s)))] for c, s in columns.items()}
+            made = [pa.array([as_text(x) for x in sketches[c]], pa.string()) for c in columns]
+            made += [pa.array([jaccard(x, y) for x, y in zip(sketches[a], sketches[b], strict=True)], pa.float64()) for a, b in pairs.values()]
             old = [batch.column(batch.schema.get_field_index(f.name)) for f in kept]
             yield pa.RecordBatch.from_arrays([*old, *made], names=schema.fieldNames())
 
     return df.mapInArrow(run, schema)
 
 
-@F.pandas_udf(T.DoubleType())
-def likeness(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Estimated Jaccard likeness of two fingerprint columns."""
-    return pd.Series([jaccard(from_text(x or ""), from_text(y or "")) for x, y in zip(a, b, strict=True)], dtype=float)
-
-
 def with_next(df: DataFrame, order: str, text: str, out: str = "next_text", rows_per_range: int = 8_000) -> DataFrame:
     """``order, text, out``: each row's text and that of the row after it; after the last comes the first.
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trueledger.llm import byte_bpe, chosen_path, fingerprint, line_dedup, packing, toxicity, vectors, warc
+from trueledger.llm import byte_bpe, chosen_path, fingerprint, html_text, licences, line_dedup, packing, toxicity, vectors, warc
 from trueledger.llm.common import hex_sha256
 
 #: Score from which a document counts as toxic.
@@ -24,6 +24,8 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Documents are long: a thousand of them are a batch for Python, not Spark's ten thousand rows.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -123,16 +125,12 @@ def op8_threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = (F.length(text) / 4).cast("int")
     edited = F.concat(F.substring(text, F.lit(1), F.length(text) - moved), F.substring(following, F.lit(1), moved))
     rows = pairs.select("doc_id", F.length(text).cast("long").alias("n_chars"), text.alias("text"), edited.alias("edited"), following.alias("next_text"))
-    made = fingerprint.add_fingerprints(rows, {"fingerprint": "text", "edited_fingerprint": "edited", "_next": "next_text"})
-    return made.select(
-        "doc_id",
-        "n_chars",
-        hex_sha256(F.col("edited")).alias("edited_sha256"),
-        "fingerprint",
-        "edited_fingerprint",
-        fingerprint.likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
-        fingerprint.likeness("fingerprint", "_next").alias("near_next"),
+    made = fingerprint.add_fingerprints(
+        rows,
+        {"fingerprint": "text", "edited_fingerprint": "edited", "_next": "next_text"},
+        {"near_edited": ("fingerprint", "edited_fingerprint"), "near_next": ("fingerprint", "_next")},
     )
+    return made.select("doc_id", "n_chars", hex_sha256(F.col("edited")).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
 
 
 @query
@@ -203,3 +201,24 @@ n AS (SELECT a AS id, count(*) AS n_links FROM links GROUP BY a)
 SELECT id AS doc_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, id = component_id AS kept
 FROM component LEFT JOIN n USING (id)
 """
+
+
+@query
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the licences it states."""
+    found = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    listed = F.transform("licences", lambda m: F.concat_ws(":", m["licence"], m["start"], m["words"], F.round(m["likeness"], 6)))
+    return found.select(
+        "doc_id",
+        F.size("licences").cast("long").alias("n_passages"),
+        F.array_join(F.array_sort(F.array_distinct("licences.licence")), ",").alias("licences"),
+        F.array_join(listed, ",").alias("passages"),
+    )
+
+
+@query
+def op9_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages, html_text.templates(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
