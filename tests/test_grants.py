@@ -1,4 +1,5 @@
 import os
+from decimal import Decimal as D
 
 import pytest
 from conftest import rows
@@ -125,8 +126,25 @@ def test_plan_and_report(spark, roles, grants):
         "cfo@company.com": "none",
         "guest@company.com": "unmanaged",
     }
-    report = G.migration_report(roles, grants, mapped, plan).first()
-    assert tuple(report) == (6, 64, 5, 5, 5, 0)
+    # A dry run has no outcomes: nothing has succeeded and nothing has failed.
+    assert tuple(G.migration_report(roles, grants, mapped, plan).first()) == (6, 64, 5, 5, 0, 0, None)
+    done = spark.createDataFrame([(a, a != "cfo@company.com") for a in actions if a != "finance.director@company.com"], "user_email string, success boolean")
+    plan = G.membership_plan(mapped, members, done)
+    assert tuple(G.migration_report(roles, grants, mapped, plan).first()) == (6, 64, 5, 5, 3, 2, D("60.00"))
+    assert rows(G.sync_errors(plan).select("user_email")) == [("cfo@company.com",), ("finance.director@company.com",)]
+
+
+def test_one_address_for_several_roles(spark):
+    mapped = spark.createDataFrame([("a", "Viewer", "x@c"), ("b", "Admin", "x@c"), ("c", "Member", "y@c")], "source_role string, access_role string, user_email string")
+    members = spark.createDataFrame([("x@c", "Contributor")], "user_email string, access_role string")
+    got = rows(G.membership_plan(mapped, members).select("user_email", "wanted_access", "superseded", "action"))
+    assert got == [("x@c", "Admin", "Viewer", "change"), ("y@c", "Member", "", "add")]
+
+
+def test_two_addresses_for_one_role_raise(spark, roles, grants):
+    twice = spark.createDataFrame([("AP_MANAGER", "a@c"), ("AP_MANAGER", "b@c")], "source_role string, user_email string")
+    with pytest.raises(Exception, match="two addresses"):
+        G.map_roles(roles, grants, G.role_mapping(spark), twice).collect()
 
 
 def test_migration_job(spark, roles, folder):
@@ -134,7 +152,7 @@ def test_migration_job(spark, roles, folder):
     raw = spark.createDataFrame([("t", p, o, n, "ROLE", r, "false", None) for r, p, o, n in FIXTURE] + [("t", "SELECT", "TABLE", "x", "ROLE", "OTHER", "false", None)], ddl)
     members = spark.createDataFrame([("cfo@company.com", "Viewer")], "user_email string, access_role string")
     report = jobs.migrate_grants(spark, raw, roles, members, folder)
-    assert tuple(report.first()) == (6, 64, 5, 5, 5, 0)
+    assert tuple(report.first()) == (6, 64, 5, 5, 0, 0, None)
     plan = spark.read.csv(f"{folder}/plan", header=True)
     assert dict(rows(plan.groupBy("action").count())) == {"add": 4, "none": 1}
     assert sorted(os.listdir(f"{folder}/grants"))[-1] == "file=finance_viewer_grants"

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from trueledger.operators import business, diff, integrity
 from trueledger.plans import jobs
 from trueledger.schemas import FOREIGN_KEYS, INVOICES, PRIMARY_KEYS, TABLES
+from trueledger.session import work_dir
 from trueledger.sources import exports, generate, snapshots, tables
 
 SMALL = {"chart_of_accounts": 20, "cost_centers": 10, "vendors": 30, "budget_actual": 200, "invoices": 3000, "gl_transactions": 2000}
@@ -50,7 +51,7 @@ def test_same_seed_same_rows_for_any_partitioning(spark, monkeypatch):
 
 def test_full_size_is_scaled(spark):
     made = generate.generate(spark, scale=0.0001)
-    assert made["gl_transactions"].count() == 3000 and made["vendors"].count() == 2
+    assert made["gl_transactions"].count() == 3000 and made["vendors"].count() == 1
 
 
 def test_load_verify_and_summary(spark, fin, folder):
@@ -159,3 +160,37 @@ def test_log_retention(spark, folder):
     exports.append_log(log.where("id >= 60"), folder, "t")
     kept = exports.retained(spark.read.parquet(folder), dt.date(2024, 4, 29))
     assert kept.count() == 91 and rows(kept.select(F.min("id"))) == [(29,)]
+
+
+def test_csv_keeps_blanks_empty_text_breaks_and_microseconds(spark, folder):
+    data = [(1, "  lead trail  ", dt.datetime(2024, 1, 2, 3, 4, 5, 123456)), (2, "", None), (3, 'line\nbreak, "quoted"\r\nagain', None), (4, None, dt.datetime(2024, 1, 1))]
+    df = spark.createDataFrame(data, "id int, text string, at timestamp_ntz")
+    exports.export_csv(df, folder)
+    back = exports.read_csv(spark, folder, df.schema)
+    assert rows(back) == sorted(data, key=repr)
+    assert diff.same_content(df, back, "odd").first().same
+    with pytest.raises(Exception):
+        exports.read_csv(spark, folder, "id int, text string, at int").collect()
+
+
+def test_a_failing_write_is_reported_whole(spark, fin, folder):
+    open(f"{folder}/file", "w").close()  # a file where a folder is needed
+    report = snapshots.load(spark, {"vendors": fin["vendors"], "invoices": fin["invoices"]}, f"{folder}/file").collect()
+    assert [r.loaded for r in report] == [False, False] and all("file" in r.error for r in report)
+    with pytest.raises(Exception):
+        snapshots.snapshot(spark, {"vendors": fin["vendors"]}, f"{folder}/file")
+
+
+def test_an_empty_table_counts(spark, fin, folder):
+    frames = {"vendors": fin["vendors"].limit(0), "cost_centers": fin["cost_centers"]}
+    snapshots.load(spark, frames, folder)
+    got = snapshots.load_summary(spark, folder, list(frames)).first()
+    assert (got.tables, got.total_rows) == (2, fin["cost_centers"].count())
+
+
+def test_work_folder_must_be_shared_off_this_machine():
+    class Elsewhere:
+        conf = {"spark.master": "yarn"}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_dir(Elsewhere, "x")

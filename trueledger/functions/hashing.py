@@ -12,11 +12,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def canonical(field: T.StructField) -> Column:
+def _exact_decimal(c: Column, mine: T.DecimalType, other: T.DataType | None) -> Column:
+    """The value without loss, in a type that does not depend on its scale.
+
+    With the other side's type known, that is the type wide enough for both where there is one; else
+    the whole part and the rest, each as wide as a decimal can be.
+    """
+    if isinstance(other, T.DecimalType):
+        scale = max(mine.scale, other.scale)
+        precision = max(mine.precision - mine.scale, other.precision - other.scale) + scale
+        if precision <= 38:
+            return c.cast(T.DecimalType(precision, scale))
+    one = F.lit(1).cast("decimal(1,0)")
+    return F.struct(F.floor(c).cast("decimal(38,0)"), (c % one).cast("decimal(38,38)"))
+
+
+def canonical(field: T.StructField, other: T.DataType | None = None) -> Column:
     """One spelling per value: decimals of any scale and integers of any width hash alike, -0.0 as 0.0."""
     c = F.col(field.name)
     if isinstance(field.dataType, T.DecimalType):
-        return c.cast("decimal(38,6)")
+        return _exact_decimal(c, field.dataType, other)
     if isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
         return c.cast("bigint")
     if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
@@ -24,10 +39,14 @@ def canonical(field: T.StructField) -> Column:
     return c
 
 
-def row_hash(schema: T.StructType, columns: list[str]) -> Column:
-    """64-bit hash of a row. ``xxhash64`` skips NULLs, so the null flags are hashed as well."""
+def row_hash(schema: T.StructType, columns: list[str], other: T.StructType | None = None) -> Column:
+    """64-bit hash of a row. ``xxhash64`` skips NULLs, so the null flags are hashed as well.
+
+    ``other`` is the schema of the table it is compared with; both sides must then name each other.
+    """
     fields = [schema[name] for name in columns]
-    return F.xxhash64(*[canonical(f) for f in fields], *[F.col(f.name).isNull() for f in fields])
+    types = [other[name].dataType if other is not None and name in other.names else None for name in columns]
+    return F.xxhash64(F.lit(len(fields)), *[canonical(f, t) for f, t in zip(fields, types)], *[F.col(f.name).isNull() for f in fields])
 
 
 def _portable_text(field: T.StructField) -> str:

@@ -8,6 +8,8 @@ Deleted keys stay as tombstones, so a late update cannot revive them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +19,10 @@ ORDER = ["seq", "tie"]
 DELETE = "D"
 
 
-def latest_changes(changes: DataFrame, keys: list[str]) -> DataFrame:
+def latest_changes(changes: DataFrame, keys: list[str], order: list[str] = ORDER) -> DataFrame:
     """The last change per key. Partial aggregation first: a hot key is one row per task."""
     rest = [c for c in changes.columns if c not in keys]
-    last = F.max_by(F.struct(*rest), F.struct(*ORDER))
+    last = F.max_by(F.struct(*rest), F.struct(*order))
     return changes.groupBy(*keys).agg(last.alias("_last")).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in rest])
 
 
@@ -34,20 +36,22 @@ def merge_latest(state: DataFrame, latest: DataFrame, keys: list[str]) -> DataFr
     """``state`` with one change per key merged in.
 
     Both sides are unique by key, so no key can be hot. A batch small enough to be broadcast leaves
-    the state where it is: neither join shuffles it. A larger one is sort-merged with it. Changes may
-    bring new columns; rows from before have NULL there.
+    the state where it is: neither join shuffles it. A larger one is sort-merged with it. NULL is a key
+    like any other. Changes may bring new columns; rows from before have NULL there.
     """
     check_additive(state.schema, latest.schema)
     rest = [c for c in state.columns if c not in keys]
     rest += [c for c in latest.columns if c not in keys and c not in rest]
     old = state.select(*keys, _row(state, latest, rest).alias("_old"))
     new = latest.select(*keys, _row(latest, state, rest).alias("_new"))
+    other_keys = [F.col(k).alias(f"_other_{k}") for k in keys]
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_other_{k}")) for k in keys])
     place = lambda side: F.struct(*[F.col(f"{side}.{c}") for c in ORDER])
     is_newer = F.col("_new").isNotNull() & (place("_new") > place("_old"))
     kept = F.when(is_newer, F.col("_new")).otherwise(F.col("_old"))
-    updated = old.join(new, keys, "left").select(*keys, kept.alias("_kept"))
-    known = state.select(*keys).join(latest.select(*keys), keys, "left_semi")
-    added = new.join(known, keys, "left_anti").withColumnRenamed("_new", "_kept")
+    updated = old.join(new.select(*other_keys, "_new"), same, "left").select(*keys, kept.alias("_kept"))
+    known = state.select(*keys).join(latest.select(*other_keys), same, "left_semi")
+    added = new.join(known.select(*other_keys), same, "left_anti").withColumnRenamed("_new", "_kept")
     return updated.unionByName(added).select(*keys, *[F.col(f"_kept.{c}").alias(c) for c in rest])
 
 

@@ -7,6 +7,7 @@ combined map-side, so a key loaded many times is reported, never multiplied.
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -23,22 +24,28 @@ def fingerprint(df: DataFrame, table: str, columns: list[str] | None = None) ->
 
     MD5 based, so another engine can compute the same number on its own copy.
     """
-    total = F.coalesce(F.sum(F.col("row_hash").cast("decimal(19,0)")), F.lit(0)).cast("decimal(38,0)")
+    total = F.coalesce(F.sum(F.col("row_hash").cast("decimal(28,0)")), F.lit(0)).cast("decimal(38,0)")
     hashes = portable_hashes(df, columns or df.columns)
     return hashes.agg(F.count(F.lit(1)).alias("row_count"), total.alias("hash_sum")).select(F.lit(table).alias("table_name"), "row_count", "hash_sum")
 
 
-def fast_fingerprint(df: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
-    """The same idea with the 64-bit hash, for two copies that are both in Spark."""
+def fast_fingerprint(df: DataFrame, table: str, columns: list[str] | None = None, other: T.StructType | None = None) -> DataFrame:
+    """The same idea with the 64-bit hash, for two copies that are both in Spark.
+
+    Fingerprints made with the ``other`` side's schema are cheaper, and comparable with that side's only.
+    """
     columns = columns or df.columns
-    sums = df.select(row_hash(df.schema, columns).alias("_h")).agg(F.count(F.lit(1)).alias("row_count"), *_hash_sums(F.col("_h")))
+    sums = df.select(row_hash(df.schema, columns, other).alias("_h")).agg(F.count(F.lit(1)).alias("row_count"), *_hash_sums(F.col("_h")))
     return sums.select(F.lit(table).alias("table_name"), "row_count", "hash_xor", "hash_high", "hash_low")
 
 
 def same_content(source: DataFrame, target: DataFrame, table: str, columns: list[str] | None = None) -> DataFrame:
     """One row saying whether two tables hold the same rows, in any order and partitioning."""
     columns = columns or source.columns
-    sides = [fast_fingerprint(df, table, columns).withColumn("is_source", F.lit(flag)) for df, flag in ((source, True), (target, False))]
+    sides = [
+        fast_fingerprint(df, table, columns, other.schema).withColumn("is_source", F.lit(flag))
+        for df, other, flag in ((source, target, True), (target, source, False))
+    ]
     both = sides[0].unionByName(sides[1])
     hashes = F.struct("row_count", "hash_xor", "hash_high", "hash_low")
     value = lambda what, flag: F.max(F.when(F.col("is_source") == flag, what))
@@ -63,19 +70,37 @@ def shared_columns(source: DataFrame, target: DataFrame, keys: list[str]) -> lis
     return [c for c in source.columns if c in target.columns and c not in keys]
 
 
-def key_differences(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str] | None = None) -> DataFrame:
+def key_differences(
+    source: DataFrame, target: DataFrame, keys: list[str], columns: list[str] | None = None, tolerance: dict[str, str] | None = None
+) -> DataFrame:
     """Keys that are MISSING, EXTRA, CHANGED or DUPLICATE in the target, with rows per side.
 
-    A key counts as DUPLICATE when either side holds it more than once and the sides differ.
+    A key counts as DUPLICATE when either side holds it more than once and the sides differ. Columns
+    with a ``tolerance`` stay out of the hash: their least and greatest value per side go through the
+    same aggregate, and values within the tolerance of each other do not differ.
     """
     columns = columns or shared_columns(source, target, keys)
-    hashed = lambda df: df.select(*keys, row_hash(df.schema, columns).alias("_h"))
-    source_h, target_h = F.when(F.col("is_source"), F.col("_h")), F.when(~F.col("is_source"), F.col("_h"))
-    per_key = both_sides(hashed(source), hashed(target), [*keys, "_h"]).groupBy(*keys).agg(
+    loose = [c for c in columns if c in (tolerance or {}) and isinstance(source.schema[c].dataType, T.NumericType)]
+    strict = [c for c in columns if c not in loose]
+
+    def hashed(df: DataFrame, other: DataFrame) -> DataFrame:
+        return df.select(*keys, row_hash(df.schema, strict, other.schema).alias("_h"), *loose)
+
+    mine, theirs = F.col("is_source"), ~F.col("is_source")
+    ends = [
+        end(F.when(side, F.col(c))).alias(f"_{p}_{c}")
+        for c in loose
+        for p, side, end in (("slo", mine, F.min), ("shi", mine, F.max), ("tlo", theirs, F.min), ("thi", theirs, F.max))
+    ]
+    nulls = [F.count_if(side & F.col(c).isNull()).alias(f"_{p}n_{c}") for c in loose for p, side in (("s", mine), ("t", theirs))]
+    source_h, target_h = F.when(mine, F.col("_h")), F.when(theirs, F.col("_h"))
+    per_key = both_sides(hashed(source, target), hashed(target, source), [*keys, "_h", *loose]).groupBy(*keys).agg(
         F.count(source_h).alias("source_rows"),
         F.count(target_h).alias("target_rows"),
         F.struct(*[F.coalesce(c, F.lit(0)) for c in _hash_sums(source_h)]).alias("_s"),
         F.struct(*[F.coalesce(c, F.lit(0)) for c in _hash_sums(target_h)]).alias("_t"),
+        *ends,
+        *nulls,
     )
     kind = (
         F.when(F.col("target_rows") == 0, "MISSING")
@@ -84,6 +109,10 @@ def key_differences(source: DataFrame, target: DataFrame, keys: list[str], colum
         .otherwise("CHANGED")
     )
     differs = (F.col("source_rows") != F.col("target_rows")) | (F.col("_s") != F.col("_t"))
+    for c in loose:
+        for end in ("lo", "hi"):
+            differs |= _differs(F.col(f"_s{end}_{c}"), F.col(f"_t{end}_{c}"), source.schema[c].dataType, tolerance[c])
+        differs |= F.col(f"_sn_{c}") != F.col(f"_tn_{c}")
     return per_key.where(differs).select(*keys, "source_rows", "target_rows", kind.alias("difference"))
 
 
@@ -100,7 +129,7 @@ def cell_differences(
     """
     columns = columns or shared_columns(source, target, keys)
     tolerance = tolerance or {}
-    found = settled(key_differences(source, target, keys, columns), "differing-keys")
+    found = settled(key_differences(source, target, keys, columns, tolerance), "differing-keys")
     changed = _renamed(found.where("difference = 'CHANGED'"), keys, [], "c_")
     mine = source.join(changed, _same_keys(keys, "c_"), "left_semi").select(*keys, *[F.col(c).alias(f"s_{c}") for c in columns])
     theirs = _renamed(target.join(changed, _same_keys(keys, "c_"), "left_semi"), keys, columns, "t_")
@@ -144,7 +173,9 @@ def _same_keys(keys: list[str], prefix: str) -> Column:
 def _differs(a: Column, b: Column, dtype: T.DataType, tolerance: str | None) -> Column:
     if tolerance is None or not isinstance(dtype, T.NumericType):
         return ~a.eqNullSafe(b)
-    close = F.abs(a - b) <= F.lit(tolerance).cast("decimal(18,6)")
+    digits = Decimal(tolerance).as_tuple()
+    scale = max(0, -digits.exponent)
+    close = F.abs(a - b) <= F.lit(tolerance).cast(T.DecimalType(max(len(digits.digits) + max(0, digits.exponent), scale, 1), scale))
     return ~F.coalesce(close, a.isNull() & b.isNull())
 
 

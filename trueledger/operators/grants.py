@@ -10,11 +10,11 @@ MAPPING = "source_role string, access_role string, user_email string, grant_coun
 
 # Access and address per role.
 ROLE_MAPPING = [
-    ("FINANCE_ADMIN", "Admin", "finance.director@company.com", "Full CRUD access across all tables + role management"),
-    ("FINANCE_ANALYST", "Member", "finance.analyst@company.com", "Broad SELECT access, needs to create reports/notebooks"),
-    ("FINANCE_VIEWER", "Viewer", "cfo@company.com", "Read-only access to dashboards, no artifact creation"),
-    ("AP_MANAGER", "Contributor", "ap.manager@company.com", "INSERT/UPDATE on INVOICES and VENDORS, needs AP workflows"),
-    ("BUDGET_ANALYST", "Contributor", "budget.analyst@company.com", "INSERT/UPDATE on BUDGET_ACTUAL, needs budget planning reports"),
+    ("FINANCE_ADMIN", "Admin", "finance.director@company.com", "reads, writes and deletes everywhere and manages roles"),
+    ("FINANCE_ANALYST", "Member", "finance.analyst@company.com", "reads most tables and builds reports on them"),
+    ("FINANCE_VIEWER", "Viewer", "cfo@company.com", "only looks at finished dashboards"),
+    ("AP_MANAGER", "Contributor", "ap.manager@company.com", "maintains invoices and vendors"),
+    ("BUDGET_ANALYST", "Contributor", "budget.analyst@company.com", "maintains the budget table"),
 ]
 
 
@@ -82,7 +82,10 @@ def table_privileges(grants: DataFrame) -> DataFrame:
 def _with_override(mapping: DataFrame, overrides: DataFrame | None) -> DataFrame:
     if overrides is None:
         return mapping
-    configured = overrides.select("source_role", F.col("user_email").alias("_configured"))
+    clash = F.raise_error(F.concat(F.lit("two addresses are configured for role "), F.col("source_role"))).cast("string")
+    configured = overrides.groupBy("source_role").agg(
+        F.when(F.count_distinct("user_email") > 1, clash).otherwise(F.max("user_email")).alias("_configured")
+    )
     return (
         mapping.join(configured, "source_role", "left")
         .withColumn("user_email", F.coalesce("_configured", "user_email"))
@@ -91,7 +94,7 @@ def _with_override(mapping: DataFrame, overrides: DataFrame | None) -> DataFrame
 
 
 def map_roles(roles: DataFrame, grants: DataFrame, mapping: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
-    """Access per role by the given mapping. ``overrides`` replace its addresses."""
+    """Access per role by the given mapping. ``overrides`` replace its addresses; two for one role raise."""
     counts = grants_per_role(roles, grants).withColumnRenamed("role", "source_role")
     return counts.join(_with_override(mapping, overrides), "source_role").select(
         "source_role", "access_role", "user_email", "grant_count", "reasoning"
@@ -132,26 +135,40 @@ def mapping_disagreements(mapping: DataFrame, ruled: DataFrame) -> DataFrame:
     return fixed.join(derived, "role", "full_outer").where(~F.col("mapped_access").eqNullSafe(F.col("derived_access")))
 
 
-def membership_plan(mapped: DataFrame, members: DataFrame) -> DataFrame:
+# Workspace access from lowest to highest.
+ACCESS_ORDER = ["Viewer", "Contributor", "Member", "Admin"]
+
+
+def membership_plan(mapped: DataFrame, members: DataFrame, outcomes: DataFrame | None = None) -> DataFrame:
     """What a sync would do per address: add, change, or nothing. Members outside the mapping stay.
 
-    ``success`` is what a dry run reports for every wanted row.
+    An address that several roles map to gets the highest of their accesses; ``superseded`` lists the
+    others. ``success`` comes from ``outcomes`` (user_email, success) of an actual sync, where an
+    address without an outcome has failed; a dry run has NULL there.
     """
     current = members.select("user_email", F.col("access_role").alias("current_access"))
-    wanted = mapped.select("user_email", F.col("access_role").alias("wanted_access"))
+    rank = F.array_position(F.array(*[F.lit(a) for a in ACCESS_ORDER]), F.col("access_role"))
+    wanted = mapped.groupBy("user_email").agg(
+        F.max_by("access_role", F.struct(rank, "access_role")).alias("wanted_access"), F.collect_set("access_role").alias("_all")
+    )
+    others = F.array_sort(F.array_remove("_all", F.col("wanted_access")))
+    wanted = wanted.select("user_email", "wanted_access", F.array_join(others, ",").alias("superseded"))
     action = (
         F.when(F.col("wanted_access").isNull(), "unmanaged")
         .when(F.col("current_access").isNull(), "add")
         .when(F.col("current_access") != F.col("wanted_access"), "change")
         .otherwise("none")
     )
-    return wanted.join(current, "user_email", "full_outer").withColumn("action", action).withColumn(
-        "success", F.col("wanted_access").isNotNull()
-    )
+    plan = wanted.join(current, "user_email", "full_outer").withColumn("action", action)
+    if outcomes is None:
+        return plan.withColumn("success", F.lit(None).cast("boolean"))
+    done = outcomes.groupBy("user_email").agg(F.bool_and("success").alias("_done"))
+    success = F.when(F.col("wanted_access").isNotNull(), F.coalesce("_done", F.lit(False)))
+    return plan.join(done, "user_email", "left").withColumn("success", success).drop("_done")
 
 
 def migration_report(roles: DataFrame, grants: DataFrame, mapped: DataFrame, plan: DataFrame) -> DataFrame:
-    """One row: roles, grants, mapped roles, planned changes, success rate, errors."""
+    """One row: roles, grants, mapped roles, planned changes, errors and the success rate of those with an outcome."""
     wanted = plan.where("wanted_access IS NOT NULL")
     parts = {
         "roles_processed": roles.agg(F.count(F.lit(1)).alias("v")),
@@ -159,14 +176,21 @@ def migration_report(roles: DataFrame, grants: DataFrame, mapped: DataFrame, pla
         "permissions_mapped": mapped.agg(F.count(F.lit(1)).alias("v")),
         "sync_attempted": wanted.agg(F.count(F.lit(1)).alias("v")),
         "sync_succeeded": wanted.agg(F.count_if("success").alias("v")),
+        "sync_failed": wanted.agg(F.count_if(~F.col("success")).alias("v")),
     }
     rows = None
     for name, df in parts.items():
         row = df.select(F.lit(name).alias("metric"), "v")
         rows = row if rows is None else rows.unionByName(row)
     value = lambda name: F.max(F.when(F.col("metric") == name, F.col("v")))
-    totals = rows.agg(*[value(name).alias(name) for name in parts])
-    return totals.withColumn("errors", F.col("sync_attempted") - F.col("sync_succeeded"))
+    totals = rows.agg(*[value(name).alias(name) for name in parts]).withColumnRenamed("sync_failed", "errors")
+    known = F.nullif(F.col("sync_succeeded") + F.col("errors"), F.lit(0))
+    return totals.withColumn("success_rate", F.round(F.col("sync_succeeded").cast("decimal(20,0)") * 100 / known, 2).cast("decimal(5,2)"))
+
+
+def sync_errors(plan: DataFrame) -> DataFrame:
+    """The addresses whose change failed, with what was wanted."""
+    return plan.where(~F.col("success")).select("user_email", "action", "wanted_access")
 
 
 def privilege_gaps(roles: DataFrame, tables: list[str], grants: DataFrame, privilege: str = "SELECT") -> DataFrame:

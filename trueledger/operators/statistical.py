@@ -96,7 +96,8 @@ def outliers(df: DataFrame, column: str, k: float = 3.0) -> DataFrame:
 def numeric_precision(source: DataFrame, target: DataFrame) -> DataFrame:
     """Scale and sum of every decimal column on both sides; the sums are compared in one common type."""
     columns = [f.name for f in source.schema.fields if isinstance(f.dataType, T.DecimalType)]
-    wide = "decimal(38,6)"
+    scales = [df.schema[c].dataType.scale for df in (source, target) for c in columns if isinstance(df.schema[c].dataType, T.DecimalType)]
+    wide = T.DecimalType(38, max([6, *scales]))  # a sum too large for it raises, none is cut
 
     def side(df: DataFrame, p: str) -> DataFrame:
         sums = df.agg(*[F.sum(c).cast(wide).alias(c) for c in columns])

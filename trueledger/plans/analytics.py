@@ -159,7 +159,7 @@ def vendor_spend(invoices: DataFrame, vendors: DataFrame, as_of: dt.date | None
     """Spend per vendor over the year before ``as_of``."""
     return (
         _per_vendor(
-            invoices.where(F.col("invoice_date") >= F.add_months(as_of_date(as_of), -12)),
+            invoices.where(F.col("invoice_date").between(F.add_months(as_of_date(as_of), -12), as_of_date(as_of))),
             vendors,
             ["vendor_name", "vendor_type"],
             {
@@ -259,7 +259,7 @@ def invoices_by_year(
     vendor_id: int | None = None,
 ) -> DataFrame:
     """Invoice amount per year over the last ``years``, optionally of one center or vendor."""
-    df = invoices.where(F.col("invoice_date") >= F.add_months(as_of_date(as_of), -12 * years))
+    df = invoices.where(F.col("invoice_date").between(F.add_months(as_of_date(as_of), -12 * years), as_of_date(as_of)))
     if cost_center is not None:
         df = df.where(F.col("cost_center") == cost_center)
     if vendor_id is not None:

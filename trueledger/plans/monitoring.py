@@ -79,10 +79,11 @@ def query_times(log: DataFrame) -> DataFrame:
 
 
 def metered_cost(metering: DataFrame, as_of: dt.date | None = None, days: int = 7, rate: str = "2") -> DataFrame:
-    """Credits per warehouse since ``days`` before ``as_of``, and their cost."""
+    """Credits per warehouse from ``days`` before ``as_of`` to the end of that day, and their cost."""
     since = F.date_sub(as_of_date(as_of), days).cast("timestamp_ntz")
+    until = F.date_add(as_of_date(as_of), 1).cast("timestamp_ntz")
     return (
-        metering.where(F.col("start_time") >= since)
+        metering.where((F.col("start_time") >= since) & (F.col("start_time") < until))
         .groupBy("warehouse_name")
         .agg(F.sum("credits_used").cast("decimal(28,2)").alias("total_credits"))
         .withColumn("estimated_cost", F.round(F.col("total_credits") * F.lit(rate).cast("decimal(8,2)"), 2).cast("decimal(28,2)"))

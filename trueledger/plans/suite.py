@@ -19,7 +19,8 @@ from trueledger.operators.structural import COUNT_TOLERANCE
 from trueledger.schemas import FOREIGN_KEYS, PRIMARY_KEYS, REQUIRED_COLUMNS
 from trueledger.sources.tables import union_all
 
-VALUE = "decimal(38,6)"
+VALUE_SCALE = 6
+VALUE = f"decimal(38,{VALUE_SCALE})"
 RESULT = ["check_id", "category", "entity", "metric", "expected", "actual", "status", "detail"]
 CATEGORIES = ["structural", "schema", "integrity", "business", "statistical"]
 
@@ -47,6 +48,13 @@ def table_measures(name: str, schema: T.StructType) -> list[Measure]:
         out.append(Measure("V-14", "statistical", f"nulls:{c}", f"count_if({c} IS NULL)"))
         if isinstance(field.dataType, T.DecimalType):
             out.append(Measure("V-24", "statistical", f"sum:{c}", f"sum({c})"))
+            scale = field.dataType.scale
+            if scale > VALUE_SCALE:
+                # What a value has beyond the decimals of the results, as a whole number.
+                rest = f"({c} % CAST(1e-{VALUE_SCALE} AS DECIMAL({VALUE_SCALE},{VALUE_SCALE})))"
+                unit = "1" + "0" * min(18, scale)
+                whole = f"CAST({rest} * {unit}BD AS DECIMAL(28,0))" if scale <= 18 else f"xxhash64({rest}) % 1000000007"
+                out.append(Measure("V-24", "statistical", f"sum_beyond_{VALUE_SCALE}_decimals:{c}", f"sum({whole})"))
         if isinstance(field.dataType, T.DateType):
             out.append(Measure("V-16", "statistical", f"first_day:{c}", f"unix_date(min({c}))"))
             out.append(Measure("V-16", "statistical", f"last_day:{c}", f"unix_date(max({c}))"))

@@ -83,7 +83,7 @@ def q04(spark, sf_dir):
         f"""SELECT vendor_name, vendor_type, COUNT(invoice_id) AS invoice_count, {scaled('SUM(invoice_amount)', A.THOUSAND)} AS total_spend_k,
         {exact_ratio(cents('SUM(invoice_amount)'), 'COUNT(invoice_amount)')} AS avg_invoice,
         {scaled('SUM(outstanding_amount)', A.THOUSAND)} AS outstanding_k
-        FROM inv JOIN vendors USING (vendor_id) WHERE invoice_date >= DATE '2000-03-01' GROUP BY 1, 2
+        FROM inv JOIN vendors USING (vendor_id) WHERE invoice_date BETWEEN DATE '2000-03-01' AND DATE '2001-03-01' GROUP BY 1, 2
         ORDER BY total_spend_k DESC, 1, 2 LIMIT 25""",
     ),
 )
@@ -111,7 +111,7 @@ def q06(spark, sf_dir):
         "inv",
         """SELECT CAST(year(invoice_date) AS INTEGER) AS invoice_year, COUNT(*) AS invoice_count,
         CAST(SUM(invoice_amount) AS DECIMAL(28,2)) AS total_amount
-        FROM inv WHERE invoice_date >= DATE '1999-03-01' AND cost_center = 'CC1003' GROUP BY 1 ORDER BY 1""",
+        FROM inv WHERE invoice_date BETWEEN DATE '1999-03-01' AND DATE '2001-03-01' AND cost_center = 'CC1003' GROUP BY 1 ORDER BY 1""",
     ),
 )
 def q07(spark, sf_dir):

@@ -30,6 +30,7 @@ SQL_NAME = {
     "gl_transactions": "gl",
 }
 SOURCE_VIEWS = " ".join(SQL_NAME.values())
+DECIMALS = [(t, f) for t, schema in TABLES.items() for f in schema.fields if f.dataType.typeName() == "decimal"]
 COPY_VIEWS = " ".join(f"t_{v}" for v in SQL_NAME.values())
 
 
@@ -306,17 +307,17 @@ def _pairs(spark, sf_dir, names):
 @query(
     "v14_null_distribution",
     with_views(
-        "inv t_inv gl t_gl",
+        f"{SOURCE_VIEWS} {COPY_VIEWS}",
         "SELECT s.table_name, s.column_name, s.null_rows AS source_nulls, s.total_rows AS source_rows, t.null_rows AS target_nulls, t.total_rows AS target_rows, "
         "CASE WHEN s.null_rows = t.null_rows THEN 'PASS' ELSE 'REVIEW' END AS status FROM ("
-        + " UNION ALL ".join(null_sql(SQL_NAME[t], t, TABLES[t].names) for t in ("invoices", "gl_transactions"))
+        + " UNION ALL ".join(null_sql(SQL_NAME[t], t, TABLES[t].names) for t in TABLES)
         + ") s JOIN ("
-        + " UNION ALL ".join(null_sql("t_" + SQL_NAME[t], t, TABLES[t].names) for t in ("invoices", "gl_transactions"))
+        + " UNION ALL ".join(null_sql("t_" + SQL_NAME[t], t, TABLES[t].names) for t in TABLES)
         + ") t USING (table_name, column_name)",
     ),
 )
 def v14(spark, sf_dir):
-    pairs = _pairs(spark, sf_dir, ["invoices", "gl_transactions"])
+    pairs = _pairs(spark, sf_dir, list(TABLES))
     return union_all([ST.null_distribution(s, t, name) for name, s, t in pairs])
 
 
@@ -477,19 +478,19 @@ def v23(spark, sf_dir):
 @query(
     "v24_numeric_precision",
     with_views(
-        "inv t_inv",
+        f"{SOURCE_VIEWS} {COPY_VIEWS}",
         "SELECT *, CASE WHEN source_scale = target_scale AND source_sum = target_sum THEN 'PASS' ELSE 'REVIEW' END AS status FROM ("
         + " UNION ALL ".join(
-            f"SELECT '{c}' AS column_name, 2 AS source_scale, CAST((SELECT SUM({c}) FROM inv) AS DECIMAL(38,6)) AS source_sum, "
-            f"2 AS target_scale, CAST((SELECT SUM({c}) FROM t_inv) AS DECIMAL(38,6)) AS target_sum"
-            for c in ("invoice_amount", "paid_amount", "outstanding_amount")
+            f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, {f.dataType.scale} AS source_scale, CAST((SELECT SUM({f.name}) FROM {SQL_NAME[t]}) AS DECIMAL(38,6)) AS source_sum, "
+            f"{f.dataType.scale} AS target_scale, CAST((SELECT SUM({f.name}) FROM t_{SQL_NAME[t]}) AS DECIMAL(38,6)) AS target_sum"
+            for t, f in DECIMALS
         )
         + ")",
     ),
 )
 def v24(spark, sf_dir):
-    inv = V.invoices(spark, sf_dir)
-    return ST.numeric_precision(inv, V.faulty_invoices(inv))
+    pairs = _pairs(spark, sf_dir, sorted({t for t, _ in DECIMALS}))
+    return union_all([ST.numeric_precision(s, t).select(F.lit(name).alias("table_name"), "*") for name, s, t in pairs])
 
 
 @query(

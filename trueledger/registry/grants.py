@@ -86,13 +86,18 @@ def g06(spark, sf_dir):
 
 PLAN = """SELECT COALESCE(w.user_email, m.user_email) AS user_email, w.access_role AS wanted_access, m.access_role AS current_access,
     CASE WHEN w.access_role IS NULL THEN 'unmanaged' WHEN m.access_role IS NULL THEN 'add' WHEN w.access_role <> m.access_role THEN 'change' ELSE 'none' END AS action,
-    w.access_role IS NOT NULL AS success
-    FROM (SELECT mapping.* FROM mapping JOIN roles ON source_role = role) w FULL JOIN members m ON w.user_email = m.user_email"""
+    CASE WHEN w.user_email IS NULL THEN NULL ELSE w.superseded END AS superseded, CASE WHEN w.access_role IS NOT NULL THEN m.user_email IS NOT NULL END AS success
+    FROM (SELECT user_email, arg_max(access_role, rank) AS access_role,
+      coalesce(string_agg(DISTINCT access_role, ',' ORDER BY access_role) FILTER (rank < best), '') AS superseded
+      FROM (SELECT user_email, access_role, list_position(['Viewer','Contributor','Member','Admin'], access_role) AS rank, max(list_position(['Viewer','Contributor','Member','Admin'], access_role)) OVER (PARTITION BY user_email) AS best
+        FROM mapping JOIN roles ON source_role = role) GROUP BY user_email) w FULL JOIN members m ON w.user_email = m.user_email"""
 
 
 def _plan(spark, sf_dir):
     mapped = G.map_roles(V.roles(spark, sf_dir), _grants(spark, sf_dir), V.mapping(spark, sf_dir))
-    return mapped, G.membership_plan(mapped, V.current_members(spark, sf_dir))
+    members = V.current_members(spark, sf_dir)
+    # As outcomes: changes of present members succeed, others are missing and so have failed.
+    return mapped, G.membership_plan(mapped, members, members.select("user_email", F.lit(True).alias("success")))
 
 
 @query("g07_membership_plan", with_views("mapping roles members", PLAN))
@@ -106,7 +111,8 @@ def g07(spark, sf_dir):
         "roles raw_grants mapping members",
         f"""SELECT (SELECT COUNT(*) FROM roles) AS roles_processed, (SELECT COUNT(*) FROM raw_grants) AS grants_exported,
         (SELECT COUNT(*) FROM roles JOIN mapping ON role = source_role) AS permissions_mapped, COUNT(*) AS sync_attempted,
-        COUNT(*) FILTER (success) AS sync_succeeded, COUNT(*) FILTER (NOT success) AS errors FROM ({PLAN}) WHERE wanted_access IS NOT NULL""",
+        COUNT(*) FILTER (success) AS sync_succeeded, COUNT(*) FILTER (NOT success) AS errors,
+        CAST(round(COUNT(*) FILTER (success)::DECIMAL(20,0) * 100 / nullif(COUNT(success), 0), 2) AS DECIMAL(5,2)) AS success_rate FROM ({PLAN}) WHERE wanted_access IS NOT NULL""",
     ),
 )
 def g08(spark, sf_dir):

@@ -240,14 +240,12 @@ def s19(spark, sf_dir):
 @query(
     "f01_snapshot_verified",
     with_views(
-        "vendors inv cc",
-        """SELECT table_name, row_count, row_count AS expected_count, 'PASS' AS status FROM (SELECT 'vendors' AS table_name, COUNT(*) AS row_count FROM vendors
-        UNION ALL SELECT 'invoices', COUNT(*) FROM inv UNION ALL SELECT 'cost_centers', COUNT(*) FROM cc)""",
+        SOURCE_VIEWS,
+        f"SELECT table_name, row_count, row_count AS expected_count, 'PASS' AS status FROM ({COUNTS})",
     ),
 )
 def f01(spark, sf_dir):
     fin = V.finance(spark, sf_dir)
-    fin = {name: fin[name] for name in ("cost_centers", "vendors", "invoices")}
     root = work_dir(spark, "initial")
     snapshots.snapshot(spark, fin, root)
     copies = {name: snapshots.read_version(spark, root, name) for name in fin}

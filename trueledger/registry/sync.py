@@ -184,24 +184,27 @@ def f07(spark, sf_dir):
 
 @query("f08_replayed_batches", LIVE)
 def f08(spark, sf_dir):
-    """Ten-day batches applied to a stored state, the first one a second time at the end."""
+    """Three batches by time applied to a stored state, the first one a second time at the end."""
     changes = V.changes(spark, sf_dir)
     store = BucketedState(spark, work_dir(spark, "replay"), KEYS, buckets=16)
-    days = [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21), dt.datetime(2025, 1, 1)]
-    batches = [changes.where((F.col("seq") >= F.lit(a).cast("timestamp_ntz")) & (F.col("seq") < F.lit(b).cast("timestamp_ntz"))) for a, b in zip(days, days[1:])]
+    first, second = (F.lit(d).cast("timestamp_ntz") for d in (dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21)))
+    # The first batch has all that is older or has no time, the last one all that is later.
+    early, late = F.coalesce(F.col("seq") < first, F.lit(True)), F.coalesce(F.col("seq") >= second, F.lit(False))
+    batches = [changes.where(early), changes.where(~early & ~late), changes.where(late)]
     for batch in [*batches, batches[0]]:
         store.apply(batch)
     return store.live()
 
 
-NOTE = "Schema evolution test record"
+NOTE = "added with the new column"
 
 
 def _evolved(spark, sf_dir):
     """Invoices followed by the invoices of a later batch that carry a new column."""
     inv = V.invoices(spark, sf_dir)
     cut = F.lit(dt.date(2001, 1, 1))
-    return evolve.evolve(inv.where(F.col("invoice_date") < cut), inv.where(F.col("invoice_date") >= cut).withColumn("notes", F.lit(NOTE)))
+    later = F.coalesce(F.col("invoice_date") >= cut, F.lit(False))
+    return evolve.evolve(inv.where(~later), inv.where(later).withColumn("notes", F.lit(NOTE)))
 
 
 @query("e06_evolve", with_views("inv", f"SELECT *, CASE WHEN invoice_date >= DATE '2001-01-01' THEN '{NOTE}' END AS notes FROM inv"))

@@ -16,7 +16,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.parquet.aggregatePushdown": "true",
 }
 
 
@@ -33,11 +32,14 @@ def get_session(app: str = "trueledger", master: str | None = None, **conf: str)
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for tables a job writes and reads back.
 
-    A cluster names its shared folder in ``spark.checkpoint.dir``; only where that is unset
-    (local tests) is a folder of this machine used.
+    A cluster names its shared folder in ``spark.checkpoint.dir``. Only a session on this machine
+    alone (``local`` master) may do without; elsewhere each executor would write to its own disk.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = os.path.join(tempfile.gettempdir(), "trueledger-work")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 

@@ -35,18 +35,34 @@ def write_tiers(df: DataFrame, path: str, date_column: str, as_of: dt.date | Non
     _partitioned(df.withColumn("tier", tier(date_column, as_of)), path, ["tier"])
 
 
+#: What keeps a CSV file lossless: blanks, empty text beside NULL, line breaks and microseconds stay.
+_CSV = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+#: Read in place of a field that is empty and not quoted, which is how NULL is written.
+_NULL = "\u0001NULL\u0001"
+
+
 def export_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, header=True, escape='"')
+    """``df`` as CSV that ``read_csv`` gives back unchanged. NULL is an empty field, empty text a quoted one."""
+    df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def export_csv_per_role(grants: DataFrame, path: str) -> None:
     """One CSV folder per role, named after it, with the full grant columns inside."""
     named = grants.withColumn("file", F.concat(F.lower("role"), F.lit("_grants")))
-    named.hint("rebalance", "file").write.mode("overwrite").partitionBy("file").csv(path, header=True, escape='"')
+    named.hint("rebalance", "file").write.mode("overwrite").partitionBy("file").options(**_CSV).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    return spark.read.csv(path, header=True, schema=schema, escape='"', enforceSchema=False)
+    """A CSV export as it was written; a line that does not fit the schema fails."""
+    options = {**_CSV, "multiLine": "true", "mode": "FAILFAST", "enforceSchema": "false", "nullValue": _NULL, "emptyValue": ""}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def append_log(rows: DataFrame, path: str, time_column: str) -> None:

@@ -158,8 +158,8 @@ def gl(ids: DataFrame, n_accounts: int, n_centers: int, seed: int = SEED) -> Dat
 
 
 def sizes(rows: dict[str, int] | None = None, scale: float = 1.0) -> dict[str, int]:
-    """Rows per table: the full sizes, or ``rows``, times ``scale``."""
-    return {name: max(2, int((rows or FULL_SIZE)[name] * scale)) for name in TABLES}
+    """Rows per table: the full sizes, or ``rows``, times ``scale``; none is raised or lowered."""
+    return {name: int((rows or FULL_SIZE)[name] * scale) for name in TABLES}
 
 
 def generate(spark: SparkSession, rows: dict[str, int] | None = None, scale: float = 1.0, seed: int = SEED) -> dict[str, DataFrame]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor, as_completed
 
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from trueledger.schemas import TABLES
 from trueledger.sources.tables import read_if_present, row_counts, table_files, union_all
 
 MANIFEST = "table_name string, version int, row_count bigint, label string"
+#: What a failing write raises: errors that PySpark maps to its own, and those of the JVM as they are.
+FAILURES = (PySparkException, Py4JError)
 LOAD_REPORT = "table_name string, loaded boolean, error string"
 
 
@@ -32,8 +35,8 @@ def load(
     def write(name: str) -> tuple[str, bool, str | None]:
         try:
             frames[name].write.mode(mode).option("maxRecordsPerFile", max_records_per_file).parquet(f"{root}/{name}")
-        except PySparkException as e:
-            return name, False, str(e).splitlines()[0][:500]
+        except FAILURES as e:
+            return name, False, str(e)
         return name, True, None
 
     order = [t for t in TABLES if t in frames] + [t for t in frames if t not in TABLES]
@@ -73,12 +76,12 @@ def verify_load(spark: SparkSession, root: str, expected: DataFrame) -> DataFram
 
 def load_summary(spark: SparkSession, root: str, names: list[str]) -> DataFrame:
     """Tables, rows and gigabytes below ``root``."""
-    files = union_all([table_files(spark, f"{root}/{name}").select(F.lit(name).alias("table_name"), "rows", "file_size") for name in names])
+    files = union_all([table_files(spark, f"{root}/{name}").select("rows", "file_size") for name in names])
     giga = F.lit(1024**3).cast("decimal(12,0)")
     return files.agg(
-        F.countDistinct("table_name").alias("tables"),
-        F.sum("rows").alias("total_rows"),
-        F.round(F.sum("file_size") / giga, 2).cast("decimal(18,2)").alias("total_gb"),
+        F.lit(len(names)).cast("bigint").alias("tables"),  # each was read; one without rows has no file metadata
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
+        F.round(F.coalesce(F.sum("file_size"), F.lit(0)) / giga, 2).cast("decimal(18,2)").alias("total_gb"),
     )
 
 
@@ -124,7 +127,7 @@ def snapshot(spark: SparkSession, frames: dict[str, DataFrame], root: str, label
         for copied in as_completed([pool.submit(copy, name) for name in frames]):
             try:
                 entry = spark.createDataFrame([copied.result()], MANIFEST)
-            except PySparkException as e:
+            except FAILURES as e:
                 failures.append(e)
                 continue
             # One writer at a time: appends to the manifest come from this thread only.

@@ -1,90 +1,143 @@
-"""A change-applied table on shared storage, kept in key buckets.
+"""A change-applied table on shared storage: a base and the batches since, each in key buckets.
 
-A batch rewrites only the buckets its keys fall in. It writes a folder of its own and, last of all,
-one manifest row per bucket it replaced; readers take each bucket's newest folder. What a failed
-job left behind has no manifest row and is overwritten by the next. Applying changes is
-idempotent, so a batch replayed after a restart needs no bookkeeping.
+A batch is reduced to one row per key and written as a folder of its own, so it costs what it holds,
+not what the table holds. Readers take the latest row per key over the base and the batches. After
+``fold_after`` batches they are folded into a new base, which bounds what is read and listed.
+
+A version is published by one small manifest, written last of all under its own number: folder names
+are never used twice, a failed job leaves nothing that is read, and of two writers that start from the
+same version the second one is refused. Applying changes is idempotent, so a batch replayed after a
+restart needs no bookkeeping.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trueledger.operators.cdc import latest_changes, live_rows, merge_latest
+from trueledger.operators.cdc import latest_changes, live_rows
+from trueledger.operators.evolve import check_additive
 from trueledger.session import settled
 from trueledger.sources.tables import read_if_present
 
-MANIFEST = "bucket int, version int, schema string"
+#: Manifests that are kept; older ones are removed as new ones are published.
+KEPT_MANIFESTS = 8
+
+
+class StateConflict(RuntimeError):
+    """Another writer has published since this one read the table; apply the batch again."""
 
 
 class BucketedState:
     """State rows (payload, op, seq, tie) of one table below ``path``, in ``buckets`` buckets.
 
     Choose ``buckets`` so that a bucket is some gigabytes; it is fixed for the life of the table.
-    One writer at a time.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 64):
-        self.spark, self.path, self.keys, self.buckets = spark, path, keys, buckets
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 64, fold_after: int = 16):
+        self.spark, self.path, self.keys, self.buckets, self.fold_after = spark, path, keys, buckets, fold_after
 
     def _bucket(self) -> Column:
         return F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
 
-    def _published(self) -> list[Row]:
-        """Newest version per bucket with the schema it was written with; at most ``buckets`` rows."""
-        manifest = read_if_present(self.spark, f"{self.path}/manifest", MANIFEST)
-        return manifest.groupBy("bucket").agg(F.max("version").alias("version"), F.max_by("schema", "version").alias("schema")).collect()
-
-    def folders(self) -> dict[int, int]:
-        """bucket -> version that last wrote it."""
-        return {r.bucket: r.version for r in self._published()}
-
-    def _read(self, published: list[Row], only: set[int] | None = None) -> DataFrame | None:
-        """Chosen buckets in the newest schema; older files have NULL in columns added since."""
-        chosen = [r for r in published if only is None or r.bucket in only]
-        if not chosen:
+    def current(self) -> dict:
+        """The newest manifest: ``version``, ``schema`` and ``folders`` (name and buckets, oldest first)."""
+        found = read_if_present(self.spark, f"{self.path}/manifest", "version long, content string").orderBy(F.desc("version")).limit(2).collect()
+        if not found:
+            return {"version": 0, "schema": None, "folders": []}
+        if len(found) > 1 and found[0].version == found[1].version:
+            raise StateConflict(f"two writers published version {found[0].version}")
+        return {"version": found[0].version, **json.loads(found[0].content)}
+
+    def folders(self) -> dict[int, list[str]]:
+        """bucket -> folders that hold rows of it, oldest first."""
+        out: dict[int, list[str]] = {}
+        for folder in self.current()["folders"]:
+            for b in folder["buckets"]:
+                out.setdefault(b, []).append(folder["name"])
+        return out
+
+    def _read(self, current: dict) -> DataFrame | None:
+        """The latest row per key; older files have NULL in columns added since."""
+        if not current["folders"]:
             return None
-        newest = max(published, key=lambda r: r.version)
-        schema = T.StructType.fromJson(json.loads(newest.schema))
-        paths = [f"{self.path}/data/version={r.version}/bucket={r.bucket}" for r in sorted(chosen)]
-        return self.spark.read.schema(schema).parquet(*paths)
+        schema = T.StructType.fromJson(current["schema"])
+        parts = [
+            self.spark.read.schema(schema).parquet(f"{self.path}/data/{f['name']}").withColumn("_age", F.lit(-i))
+            for i, f in enumerate(current["folders"])
+        ]
+        if len(parts) == 1:
+            return parts[0].select(*schema.names)
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part)
+        return latest_changes(rows, self.keys, ["seq", "tie", "_age"]).select(*schema.names)
 
     def state(self) -> DataFrame | None:
-        return self._read(self._published())
+        return self._read(self.current())
 
     def live(self) -> DataFrame | None:
         """The table as it is now, without deleted rows; ``None`` before the first batch."""
         state = self.state()
         return None if state is None else live_rows(state)
 
+    def _write(self, rows: DataFrame, buckets: list[int]) -> dict:
+        name = uuid.uuid4().hex
+        rows.withColumn("bucket", self._bucket()).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(f"{self.path}/data/{name}")
+        return {"name": name, "buckets": buckets}
+
+    def _publish(self, before: dict, schema: T.StructType, folders: list[dict]) -> None:
+        version = before["version"] + 1
+        content = json.dumps({"schema": schema.jsonValue(), "folders": folders})
+        row = self.spark.createDataFrame([(content,)], "content string").coalesce(1)
+        try:
+            row.write.mode("error").parquet(f"{self.path}/manifest/version={version}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+            raise StateConflict(f"version {version} was published by another writer") from e
+        self._remove(f"{self.path}/manifest/version={version - KEPT_MANIFESTS}")
+
+    def _remove(self, path: str) -> None:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
+
     def apply(self, changes: DataFrame) -> list[int]:
-        """Apply a batch of changes; returns the buckets it rewrote."""
-        published = self._published()
-        # One row per key, computed once; its size on disk decides whether it is broadcast.
+        """Apply a batch of changes; returns the buckets that it has rows for."""
+        current = self.current()
         latest = settled(latest_changes(changes, self.keys), "latest-changes")
-        touched = {r[0] for r in latest.select(self._bucket()).distinct().collect()}
+        touched = sorted(r[0] for r in latest.select(self._bucket()).distinct().collect())
         if not touched:
             return []
-        version = max((r.version for r in published), default=0) + 1
-        before = self._read(published, touched)
-        merged = latest if before is None else merge_latest(before, latest, self.keys)
-        schema = merged.schema if not published else self._read(published).schema
-        for field in merged.schema.fields:
-            if field.name not in schema.names:
-                schema = schema.add(field)
-        merged.withColumn("bucket", self._bucket()).hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(
-            f"{self.path}/data/version={version}"
-        )
-        rows = self.spark.createDataFrame([(b, version, schema.json()) for b in touched], MANIFEST)
-        rows.coalesce(1).write.mode("append").parquet(f"{self.path}/manifest")
-        return sorted(touched)
+        schema = latest.schema
+        if current["schema"] is not None:
+            schema = T.StructType.fromJson(current["schema"])
+            check_additive(schema, latest.schema)
+            for field in latest.schema.fields:
+                if field.name not in schema.names:
+                    schema = schema.add(field)
+        folders = [*current["folders"], self._write(latest, touched)]
+        self._publish(current, schema, folders)
+        if len(folders) > self.fold_after:
+            self.fold()
+        return touched
+
+    def fold(self) -> None:
+        """The base and all batches as one new base."""
+        current = self.current()
+        if len(current["folders"]) > 1:
+            base = self._write(self._read(current), sorted({b for f in current["folders"] for b in f["buckets"]}))
+            self._publish(current, T.StructType.fromJson(current["schema"]), [base])
 
     def compacted(self, path: str) -> BucketedState:
-        """The same state in a fresh place, as one version: ends the growth of old folders and manifest."""
-        fresh = BucketedState(self.spark, path, self.keys, self.buckets)
-        fresh.apply(self.state())
+        """The same state in a fresh place, as one folder; an empty one stays empty."""
+        fresh = BucketedState(self.spark, path, self.keys, self.buckets, self.fold_after)
+        state = self.state()
+        if state is not None:
+            fresh.apply(state)
         return fresh
