@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -119,15 +121,30 @@ def numeric_precision(source: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def discrete_percentile(df: DataFrame, keys: list[str], value: str, p: str, name: str) -> DataFrame:
+def _with(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` beside the one row of ``other`` that has its keys, NULL equalling NULL."""
+    right = other.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in other.columns if c not in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return df.join(right, same).drop(*[f"_k_{k}" for k in keys])
+
+
+def discrete_percentile(df: DataFrame, keys: list[str], value: str, p: str, name: str, ranges: int = 1000) -> DataFrame:
     """Exact percentile per group: the smallest value that at least ``p`` of the rows do not exceed.
 
-    Rows collapse to (group, value, count) before the running count, so a large group costs what
-    its distinct values cost.
+    Two steps, so that no task sees a group's distinct values together: rows are counted by ``ranges``
+    equal parts of their group's range, which gives the part that holds the rank; only the values in
+    that part are put in order.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    ordered = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    reached = F.sum("_n").over(ordered).cast("decimal(20,0)") >= F.sum("_n").over(Window.partitionBy(*keys)) * F.lit(p).cast("decimal(6,4)")
-    return (
-        counts.withColumn("_reached", reached).where("_reached").groupBy(*keys).agg(F.min(value).alias(name))
-    )
+    rows = df.where(F.col(value).isNotNull()).select(*keys, value)
+    groups = rows.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_rows"))
+    share = (F.col(value) - F.col("_lo")).cast("double") / F.nullif((F.col("_hi") - F.col("_lo")).cast("double"), F.lit(0.0))
+    part = F.coalesce(F.floor(share * ranges), F.lit(0)).alias("_part")
+    counts = _with(rows, groups.drop("_rows"), keys).groupBy(*keys, part, value).agg(F.count(F.lit(1)).alias("_n"))
+    rank = F.col("_rows") * F.lit(p).cast("decimal(6,4)")
+    upto = lambda order: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = counts.groupBy(*keys, "_part").agg(F.sum("_n").alias("_held"))  # at most ``ranges`` + 1 rows per group
+    reached = _with(parts.withColumn("_upto", F.sum("_held").over(upto("_part"))), groups.select(*keys, "_rows"), keys)
+    holding = reached.where((F.col("_upto").cast("decimal(20,0)") >= rank) & ((F.col("_upto") - F.col("_held")).cast("decimal(20,0)") < rank))
+    holding = holding.select(*keys, "_part", (F.col("_upto") - F.col("_held")).alias("_below"), "_rows")
+    inside = _with(counts, holding, [*keys, "_part"]).withColumn("_at", F.col("_below") + F.sum("_n").over(upto(value)))
+    return inside.where(F.col("_at").cast("decimal(20,0)") >= rank).groupBy(*keys).agg(F.min(value).alias(name))
