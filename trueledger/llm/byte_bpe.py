@@ -17,7 +17,6 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
 from trueledger.llm import chunks
@@ -119,27 +118,6 @@ class MergeReplay:
         return [packed[4 * a : 4 * b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-class WordIds:
-    """Packed ids of chunks, each match of the pattern by itself; remembers words."""
-
-    #: Distinct words that are remembered; beyond it the memory is emptied and filled again.
-    REMEMBERED = 400_000
-
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.split, self.replay = regex.compile(pattern).findall, MergeReplay(ranks)
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [self.split(t) for t in texts]
-        distinct = set().union(*words)
-        if len(self.known) + len(distinct) > self.REMEMBERED:
-            self.known.clear()
-        new = list(distinct.difference(self.known))
-        self.known.update(zip(new, self.replay.encode([w.encode() for w in new]), strict=True))
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
-
-
 #: The encoder of this Python worker, kept from task to task.
 _ENCODER: dict[tuple[int, str], chunks.ChunkIds] = {}
 
@@ -148,7 +126,7 @@ def _encoder(ranks: dict[bytes, int], pattern: str) -> chunks.ChunkIds:
     key = (hash(frozenset(ranks.items())), pattern)
     if key not in _ENCODER:
         _ENCODER.clear()
-        _ENCODER[key] = chunks.ChunkIds(WordIds(ranks, pattern))
+        _ENCODER[key] = chunks.ChunkIds(chunks.WordIds(pattern, MergeReplay(ranks).encode))
     return _ENCODER[key]
 
 

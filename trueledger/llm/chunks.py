@@ -29,6 +29,27 @@ def chunks(text: str) -> list[str]:
     return [parts[0], *(" " + p for p in parts[1:])]
 
 
+class WordIds:
+    """Ids of chunks, each match of the word pattern by itself; remembers words."""
+
+    #: Distinct words that are remembered; beyond it the memory is emptied and filled again.
+    REMEMBERED = 400_000
+
+    def __init__(self, pattern: str, encode: Callable[[list[bytes]], list[bytes]]):
+        self.split, self.encode = regex.compile(pattern).findall, encode
+        self.known: dict[str, bytes] = {}
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        words = [self.split(t) for t in texts]
+        distinct = set().union(*words)
+        if len(self.known) + len(distinct) > self.REMEMBERED:
+            self.known.clear()
+        new = list(distinct.difference(self.known))
+        self.known.update(zip(new, self.encode([w.encode() for w in new]), strict=True))
+        get = self.known.__getitem__
+        return [b"".join(map(get, w)) for w in words]
+
+
 class ChunkIds:
     """Ids of texts as little-endian unsigned 32-bit bytes, by chunks."""
 

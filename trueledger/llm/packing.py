@@ -14,7 +14,8 @@ unique id; repeated rows are packed once for each row, null and empty texts are
 from __future__ import annotations
 
 import bisect
-import os
+from array import array
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -33,7 +34,30 @@ LOOSE = 0.98
 ROUNDS = 4
 
 
-def token_pieces(df: DataFrame, tokenizer: str, capacity: int = 2048, separator: int = 0, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+#: The tokenizer of this Python worker, kept from task to task.
+_TOKENIZERS: dict[str, chunks.ChunkIds] = {}
+
+
+def _library_words(definition: str) -> Callable[[list[bytes]], list[bytes]]:
+    """Ids of single words by the model of a byte-level tokenizer of the tokenizers library.
+
+    Its added tokens are ordinary text here, so nothing but the model and the word pattern matters.
+    """
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_str(definition).model
+    # The byte-level alphabet: printable Latin-1 stands for itself, other bytes for what follows Latin-1.
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = sorted(set(range(256)) - printable)
+    letter = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+    def encode(words: list[bytes]) -> list[bytes]:
+        return [array("I", [t.id for t in model.tokenize(w.decode("latin-1").translate(letter))]).tobytes() for w in words]
+
+    return encode
+
+
+def token_pieces(df: DataFrame, tokenizer: str, pattern: str, capacity: int = 2048, separator: int = 0, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One row per piece: ``id_col, piece, start, length, ids`` (``ids`` as little-endian uint32 bytes)."""
     kind = df.schema[id_col].dataType
     schema = T.StructType(
@@ -49,19 +73,10 @@ def token_pieces(df: DataFrame, tokenizer: str, capacity: int = 2048, separator:
         definition = f.read()
 
     def run(batches: Batches) -> Batches:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_str(definition)
-        tok.encode_special_tokens = True
-
-        def encode(texts: list[str]) -> list[bytes]:
-            out: list[bytes] = []
-            for at in range(0, len(texts), 2_000):  # what the library makes of a text is far larger than its ids
-                out += [np.array(e.ids, "<u4").tobytes() for e in tok.encode_batch_fast(texts[at : at + 2_000], add_special_tokens=False)]
-            return out
-
-        ids_of = chunks.ChunkIds(encode)
+        if definition not in _TOKENIZERS:
+            _TOKENIZERS.clear()
+            _TOKENIZERS[definition] = chunks.ChunkIds(chunks.WordIds(pattern, _library_words(definition)))
+        ids_of = _TOKENIZERS[definition]
         end = np.array([separator], "<u4").tobytes()
         for batch in slices(batches):
             keys, rows = batch.column(0), []

@@ -113,7 +113,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048, separator=0)
+    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, 2048, separator=0)
     return packing.pack(packing.with_crc32(pieces), 2048)
 
 
