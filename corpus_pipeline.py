@@ -29,15 +29,16 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates; of repeated rows one stays."""
-    kept = chosen_path.join(docs).where("kept").select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
-    keyed = docs.withColumn("_own", text_key(F.col("text")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_key"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_own"]).select(*docs.columns)
+    named = lambda id_col: F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+    kept = chosen_path.join(docs).where("kept").select(named("id").alias("_id"), F.col("key").alias("_key")).distinct()
+    # Joined and made unique by the same two columns: the documents move once.
+    keyed = docs.withColumns({"_id": named("doc_id"), "_key": text_key(F.col("text"))})
+    return keyed.join(kept, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"]).select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All that is left, as pieces of sequences of 2048 tokens."""
-    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048, separator=0)
+    pieces = packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, 2048, separator=0)
     return packing.pack(packing.with_crc32(pieces), 2048)
 
 
