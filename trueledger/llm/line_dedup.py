@@ -69,7 +69,6 @@ def bit_parallel_distance(a: Column, b: Column, edits: int) -> Column:
     pad = "\n" * width
     rows = F.split(F.concat(F.lit("\n" * (edits + 1)), a, F.lit(pad)), "")
     columns = F.split(b, "")
-    n = F.length(a)
 
     def matches(char: Column, at: Column, padded: Column) -> Column:
         total = F.lit(0)
@@ -82,7 +81,7 @@ def bit_parallel_distance(a: Column, b: Column, edits: int) -> Column:
         F.lit(0).alias("at"), F.lit((full << (width - edits - 1)) & full).alias("vp"), F.lit(0).alias("vn"), F.lit(edits).alias("far"), F.lit(top >> 1).alias("bit")
     )
 
-    def step(acc: Column, pm: Column) -> Column:
+    def step(acc: Column, pm: Column, stop: Column) -> Column:
         vp, vn = acc["vp"], acc["vn"]
         x = pm.bitwiseAND(vp)
         d0 = (x + vp).bitwiseXOR(vp).bitwiseOR(pm).bitwiseOR(vn).bitwiseAND(F.lit(full))
@@ -93,7 +92,7 @@ def bit_parallel_distance(a: Column, b: Column, edits: int) -> Column:
             def with_hp(hp: Column) -> Column:
                 hn = d0.bitwiseAND(vp)
                 down = F.shiftright(d0, 1)
-                diagonal = acc["at"] < n - edits
+                diagonal = acc["at"] < stop
                 along = F.when(d0.bitwiseAND(F.lit(top)) == 0, 1).otherwise(0)
                 across = F.when(hp.bitwiseAND(acc["bit"]) != 0, 1).otherwise(0) - F.when(hn.bitwiseAND(acc["bit"]) != 0, 1).otherwise(0)
                 return F.struct(
@@ -108,7 +107,7 @@ def bit_parallel_distance(a: Column, b: Column, edits: int) -> Column:
 
         return _let(d0, with_d0)
 
-    return F.aggregate(masks, begin, step, lambda acc: acc["far"])
+    return _let(F.length(a) - edits, lambda stop: F.aggregate(masks, begin, lambda acc, pm: step(acc, pm, stop), lambda acc: acc["far"]))
 
 
 def _common(a: Column, b: Column, most: Column, end: bool) -> Column:
@@ -119,13 +118,31 @@ def _common(a: Column, b: Column, most: Column, end: bool) -> Column:
 
 
 def verified(pairs: DataFrame, edits: int) -> DataFrame:
-    """The rows of ``pairs (…, line_a, line_b)`` whose lines are within ``edits`` edits."""
-    a, b = F.col("line_a"), F.col("line_b")
-    begun = pairs.withColumn("_skip", _common(a, b, F.least(F.length(a), F.length(b)) - _LEAST, False))
-    rest = begun.withColumns({"_a": F.expr("substring(line_a, _skip + 1)"), "_b": F.expr("substring(line_b, _skip + 1)")})
-    rest = rest.withColumn("_end", _common(F.col("_a"), F.col("_b"), F.least(F.length("_a"), F.length("_b")) - _LEAST, True))
-    middle = rest.select(*pairs.columns, F.expr("left(_a, length(_a) - _end)").alias("_a"), F.expr("left(_b, length(_b) - _end)").alias("_b"))
-    return middle.where(bit_parallel_distance(F.col("_a"), F.col("_b"), edits) <= edits).select(*pairs.columns)
+    """The rows of ``pairs (…, line_a, line_b)`` whose lines are within ``edits`` edits.
+
+    One expression from lambda to lambda, so that each value is computed once wherever the filter goes.
+    """
+    both = F.array(F.struct(F.col("line_a").alias("a"), F.col("line_b").alias("b")))
+    shorter = lambda p: F.least(F.length(p["a"]), F.length(p["b"])) - _LEAST
+    begun = F.transform(both, lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"), _common(p["a"], p["b"], shorter(p), False).alias("n")))
+    rest = F.transform(begun, lambda p: F.struct(p["a"].substr(p["n"] + 1, F.length(p["a"])).alias("a"), p["b"].substr(p["n"] + 1, F.length(p["b"])).alias("b")))
+    ended = F.transform(rest, lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"), _common(p["a"], p["b"], shorter(p), True).alias("n")))
+    middle = F.transform(ended, lambda p: F.struct(F.left(p["a"], F.length(p["a"]) - p["n"]).alias("a"), F.left(p["b"], F.length(p["b"]) - p["n"]).alias("b")))
+    distance = lambda p: F.when(_may_be_near(p["a"], p["b"], edits), bit_parallel_distance(p["a"], p["b"], edits)).otherwise(edits + 1)
+    return pairs.where(F.transform(middle, distance)[0] <= edits)
+
+
+def _may_be_near(a: Column, b: Column, edits: int, parts: int = 16) -> Column:
+    """False only for strings further apart than ``edits``: of ``parts`` parts each edit changes one at most."""
+    size = (F.length(a) / parts).cast("int")
+
+    def stands(i: Column) -> Column:
+        start = i * size + 1
+        before = F.least(F.lit(edits), start - 1)
+        return F.contains(b.substr(start - before, size + before + edits), a.substr(start, size))
+
+    unchanged = F.size(F.filter(F.sequence(F.lit(0), F.lit(parts - 1)), stands))
+    return (F.length(a) < 4 * parts) | (unchanged >= parts - edits)
 
 
 @contextmanager
@@ -147,10 +164,37 @@ def occurrences(df: DataFrame, id_col: str, text: str) -> DataFrame:
     return lines.where("line rlike '\\\\S'").withColumn("pos", pos.cast("decimal(38,0)"))
 
 
+#: Letters that a line's signature counts; an edit changes two of the counts by one at most.
+_LETTERS = "eantiosr"
+
+
+def with_signature(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``size``, and ``sig``: the counts of some letters, eight bits each."""
+    count = lambda c: (F.length("line") - F.length(F.replace("line", F.lit(c), F.lit("")))).cast("long").bitwiseAND(F.lit(255))
+    sig = F.lit(0).cast("long")
+    for i, c in enumerate(_LETTERS):
+        sig = sig.bitwiseOR(F.shiftleft(count(c), 8 * i))
+    return lines.withColumns({"size": F.length("line"), "sig": sig})
+
+
+def _letters_apart(a: Column, b: Column) -> Column:
+    """At most the number of letters by which two signatures' lines differ."""
+    total = F.lit(0)
+    for i in range(len(_LETTERS)):
+        of = lambda s, i=i: F.shiftrightunsigned(s, 8 * i).bitwiseAND(F.lit(255))
+        apart = (of(a) - of(b)).bitwiseAND(F.lit(255))
+        total = total + F.least(apart, 256 - apart)
+    return total
+
+
 def links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
-    """``a, b``: ids of lines of ``lines (id, line)`` (distinct, settled) within ``edits`` edits."""
+    """``a, b``: ids of lines of ``lines (id, line, size, sig)`` (distinct, settled) within ``edits`` edits.
+
+    Lines that meet on a segment but differ in too many letters are no pair to begin with, so a group
+    of lines with a common part does not make all its pairs.
+    """
     spark = lines.sparkSession
-    sized = lines.select("id", "line", F.length("line").alias("size")).where(F.col("size") >= shortest)
+    sized = lines.where(F.col("size") >= shortest)
     size = F.col("size")
 
     def key(length: Column, number: int, start: Column, count: Column) -> Column:
@@ -166,9 +210,12 @@ def links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> Dat
         fits = (length >= shortest) & (start >= 1) & (start + count - 1 <= size)
         return F.when(fits, key(length, number, start, count))
 
-    index = sized.select("id", F.explode(F.array(*[indexed(k) for k in range(1, edits + 2)])).alias("h"))
-    probe = sized.select(F.col("id").alias("by"), "size", F.explode(F.array_compact(F.array(*[probed(*p) for p in probes(edits)]))).alias("h"))
-    met = index.join(probe.drop("size"), "h").where("id <> by").select(F.least("id", "by").alias("a"), F.greatest("id", "by").alias("b")).distinct()
+    index = sized.select("id", "sig", F.explode(F.array(*[indexed(k) for k in range(1, edits + 2)])).alias("h"))
+    probe = sized.select(
+        F.col("id").alias("by"), F.col("sig").alias("by_sig"), F.explode(F.array_compact(F.array(*[probed(*p) for p in probes(edits)]))).alias("h")
+    )
+    near = (F.col("id") != F.col("by")) & (_letters_apart(F.col("sig"), F.col("by_sig")) <= 2 * edits)
+    met = index.join(probe, "h").where(near).select(F.least("id", "by").alias("a"), F.greatest("id", "by").alias("b")).distinct()
     pairs = stored(met, "line-pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-wanted").where("id >= 0")
     with _bloom_filters(spark):
@@ -181,9 +228,8 @@ def links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> Dat
 def repeated(df: DataFrame, id_col: str = "doc_id", text: str = "text", edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
     """``id, at, first_id, first_at``: every line that repeats an earlier one, and the first of its group."""
     lines = occurrences(df, id_col, text)
-    distinct = stored(
-        lines.groupBy("line").agg(F.min("pos").alias("pos"), F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()), "lines"
-    )
+    distinct = lines.groupBy("line").agg(F.min("pos").alias("pos"), F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id())
+    distinct = stored(with_signature(distinct), "lines")
     groups = stored(components(links(distinct, edits, shortest)), "line-groups")
     members = distinct.select("id", F.col("pos").alias("own")).join(groups.select(F.col("node").alias("id"), "component"), "id")
     firsts = members.groupBy("component").agg(F.min("own").alias("first"))
