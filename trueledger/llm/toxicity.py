@@ -34,8 +34,8 @@ from trueledger.llm.common import Batches, slices, stored, texts_of
 ORDER = 5
 CELLS = 1 << 20
 DISCOUNT = 0.75
-#: Labelled rows that the logistic curve is fitted on, at most.
-FIT_ROWS = 20_000
+#: Labelled rows that the class models are fitted on, and of these the curve, at most. Chosen by a hash of the id.
+LABELLED_ROWS, FIT_ROWS = 120_000, 20_000
 #: Words a task remembers the score of; beyond it the memory is emptied and filled again.
 REMEMBERED = 400_000
 #: Letters that the last backoff level spreads its probability over.
@@ -93,28 +93,30 @@ class Letters:
 CLASSES = ["toxic", "ordinary", "fit_toxic", "fit_ordinary"]
 
 
-def word_counts(df: DataFrame, text: str, group: str | None) -> DataFrame:
-    """``word`` and ``CLASSES``: occurrences by group (2 * fold + class), or each distinct word with zeros."""
-    columns = [text] if group is None else [text, group]
+def word_counts(df: DataFrame, text: str, group: str) -> DataFrame:
+    """``word`` and ``CLASSES``: occurrences by group (2 * fold + class); a word of rows without a group has zeros."""
 
     def run(batches: Batches) -> Batches:
         counts: dict[int, Counter] = {}
+        plain: set[str] = set()
         for batch in slices(batches):
-            groups = [-1] * batch.num_rows if group is None else batch.column(1).to_pylist()
-            for t, g in zip(texts_of(batch.column(0)), groups, strict=True):
-                counts.setdefault(g, Counter()).update(words_of(t))
-            if sum(map(len, counts.values())) > REMEMBERED:
-                yield _counted(counts)
-                counts = {}
-        yield _counted(counts)
-
-    made = df.select(*columns).mapInArrow(run, "word string, " + ", ".join(f"{c} double" for c in CLASSES))
+            for t, g in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                if g is None:
+                    plain.update(words_of(t))
+                else:
+                    counts.setdefault(g, Counter()).update(words_of(t))
+            if sum(map(len, counts.values())) + len(plain) > REMEMBERED:
+                yield _counted(counts, plain)
+                counts, plain = {}, set()
+        yield _counted(counts, plain)
+
+    made = df.select(text, group).mapInArrow(run, "word string, " + ", ".join(f"{c} double" for c in CLASSES))
     return made.groupBy("word").agg(*(F.sum(c).alias(c) for c in CLASSES))
 
 
-def _counted(counts: dict[int, Counter]) -> pa.RecordBatch:
-    words = list(set().union(*counts.values()))
-    n = {g: np.fromiter((counts[g][w] for w in words), float, len(words)) if g in counts else np.zeros(len(words)) for g in range(4 + 2)}
+def _counted(counts: dict[int, Counter], plain: set[str]) -> pa.RecordBatch:
+    words = list(plain.union(*counts.values()))
+    n = {g: np.fromiter((counts[g][w] for w in words), float, len(words)) if g in counts else np.zeros(len(words)) for g in range(6)}
     columns = [n[1] + n[5], n[0] + n[4], n[1], n[0]]
     return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *map(pa.array, columns)], names=["word", *CLASSES])
 
@@ -265,21 +267,25 @@ def fold(doc_id: Column) -> Column:
 _MODELS: dict[str, Model] = {}
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic", fit_rows: int = FIT_ROWS) -> DataFrame:
+def score(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic", labelled_rows: int = LABELLED_ROWS, fit_rows: int = FIT_ROWS
+) -> DataFrame:
     """``docs`` with ``toxicity double``, learnt from the rows of ``labels`` that are not held out.
 
-    The curve is fitted on rows of fold 2, with words as they look to counts from fold 0 alone: in
-    documents those counts have not seen. The scores then come from the counts of both folds. A column
-    named ``toxicity`` is replaced.
+    Class counts come from at most ``labelled_rows`` labelled rows, which bounds what is broadcast to
+    the documents; the shared counts come from all documents. The curve is fitted on rows of fold 2,
+    with words as they look to counts from fold 0 alone: in documents those counts have not seen. The
+    scores then come from the counts of both folds. A column named ``toxicity`` is replaced.
     """
     spark = docs.sparkSession
-    marks = labels.where(F.col(id_col).isNotNull() & F.col(toxic).isin(0, 1)).select(F.col(id_col).alias("_id"), F.col(toxic).cast("int").alias("_mark"))
+    taught = F.col(id_col).isNotNull() & F.col(toxic).isin(0, 1) & (fold(F.col(id_col)) != 1)
+    marks = labels.where(taught).select(F.col(id_col).alias("_id"), (2 * fold(F.col(id_col)) + F.col(toxic)).cast("int").alias("_group"))
+    marks = marks.withColumn("_draw", F.pmod(F.xxhash64("_id"), F.lit(1_000_000)))
+    share = min(1.0, 0.99 * labelled_rows / max(1, marks.count()))
+    sample = stored(marks.where(F.col("_draw") < F.lit(share * 1_000_000)).limit(labelled_rows), "toxicity-labels")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    taught = F.col("_fold") != 1
-    known = texts.withColumn("_fold", fold(F.col("_id"))).where(taught).join(marks.where(fold(F.col("_id")) != 1), "_id")
-    known = known.select("_text", (2 * F.col("_fold") + F.col("_mark")).cast("int").alias("_group"))
-    counted = word_counts(known, "_text", "_group").unionByName(word_counts(texts, "_text", None))
-    words = stored(counted.groupBy("word").agg(*(F.sum(c).alias(c) for c in CLASSES)), "toxicity-words")
+    marked = texts.join(F.broadcast(sample.select("_id", "_group")), "_id", "left")
+    words = stored(word_counts(marked, "_text", "_group"), "toxicity-words")
     grams = stored(gram_counts(words), "toxicity-grams")
     table = cell_table(grams).toArrow()
     cells = table.column("cell").to_numpy()
@@ -302,8 +308,11 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
             x = model(CLASSES[2:]).features(texts_of(batch.column(0)))
             yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), batch.column(1)], names=["x", "y"])
 
-    sample = marks.where(fold(F.col("_id")) == 2).orderBy(F.xxhash64("_id"), "_id", "_mark").limit(fit_rows)
-    fitted = texts.where(fold(F.col("_id")) == 2).join(stored(sample, "toxicity-fit"), "_id").select("_text", "_mark").mapInArrow(features, "x array<double>, y int").toPandas()
+    curve = sample.where("_group >= 4")
+    share = min(1.0, 0.99 * fit_rows / max(1, curve.count()))
+    curve = curve.where(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(1_000_000)) < F.lit(share * 1_000_000)).limit(fit_rows)
+    curve = F.broadcast(curve.select("_id", (F.col("_group") - 4).alias("_mark")))
+    fitted = texts.join(curve, "_id").select("_text", "_mark").mapInArrow(features, "x array<double>, y int").toPandas()
     if len(fitted):
         mean, spread, weights = fit_logistic(np.vstack(fitted["x"]), fitted["y"].to_numpy(float))
     else:
