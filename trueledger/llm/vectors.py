@@ -26,7 +26,7 @@ from trueledger.llm.components import forest, per_document
 
 THRESHOLD = 0.95
 #: Vectors that centroids and codewords are fitted on, at most.
-FIT_VECTORS = 40_000
+FIT_VECTORS = 20_000
 LISTS_AT_MOST = 4096
 PROBES = 12
 SUBSPACES, CODEWORDS = 8, 64
@@ -34,17 +34,22 @@ SUBSPACES, CODEWORDS = 8, 64
 BLOCK = 1024
 
 
-def nearest(x: np.ndarray, centres: np.ndarray, n: int = 1) -> np.ndarray:
-    """Numbers of the ``n`` nearest centres of each row, nearest first."""
-    d = (centres**2).sum(1)[None, :] - 2 * x @ centres.T
-    if n == 1:
-        return d.argmin(1)[:, None]
+def nearest(x: np.ndarray, centres: np.ndarray, n: int = 1, rows: int = 2048) -> np.ndarray:
+    """Numbers of the ``n`` nearest centres of each row, nearest first; ``rows`` at a time."""
     n = min(n, len(centres))
-    some = np.argpartition(d, n - 1, axis=1)[:, :n]
-    return np.take_along_axis(some, np.take_along_axis(d, some, 1).argsort(1, kind="stable"), 1)
-
-
-def kmeans(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.ndarray:
+    squares = (centres**2).sum(1)
+    out = np.empty((len(x), n), np.int64)
+    for at in range(0, len(x), rows):
+        d = squares[None, :] - 2 * x[at : at + rows] @ centres.T
+        if n == 1:
+            out[at : at + rows, 0] = d.argmin(1)
+        else:
+            some = np.argpartition(d, n - 1, axis=1)[:, :n]
+            out[at : at + rows] = np.take_along_axis(some, np.take_along_axis(d, some, 1).argsort(1, kind="stable"), 1)
+    return out
+
+
+def kmeans(x: np.ndarray, k: int, rounds: int = 6, seed: int = 7) -> np.ndarray:
     centres = x[np.random.default_rng(seed).choice(len(x), min(k, len(x)), replace=False)].copy()
     for _ in range(rounds):
         own = nearest(x, centres)[:, 0]
