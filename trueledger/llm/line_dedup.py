@@ -165,25 +165,26 @@ def occurrences(df: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 #: Letters that a line's signature counts; an edit changes two of the counts by one at most.
-_LETTERS = "eantiosr"
+_LETTERS = "etaoinsrhdlucgmw"
+_BITS = 64 // len(_LETTERS)
 
 
 def with_signature(lines: DataFrame) -> DataFrame:
-    """``lines`` with ``size``, and ``sig``: the counts of some letters, eight bits each."""
-    count = lambda c: (F.length("line") - F.length(F.replace("line", F.lit(c), F.lit("")))).cast("long").bitwiseAND(F.lit(255))
+    """``lines`` with ``size``, and ``sig``: the counts of some letters, the last bits of each."""
+    count = lambda c: (F.length("line") - F.length(F.replace("line", F.lit(c), F.lit("")))).cast("long").bitwiseAND(F.lit((1 << _BITS) - 1))
     sig = F.lit(0).cast("long")
     for i, c in enumerate(_LETTERS):
-        sig = sig.bitwiseOR(F.shiftleft(count(c), 8 * i))
+        sig = sig.bitwiseOR(F.shiftleft(count(c), _BITS * i))
     return lines.withColumns({"size": F.length("line"), "sig": sig})
 
 
 def _letters_apart(a: Column, b: Column) -> Column:
     """At most the number of letters by which two signatures' lines differ."""
-    total = F.lit(0)
+    total, mask = F.lit(0), F.lit((1 << _BITS) - 1)
     for i in range(len(_LETTERS)):
-        of = lambda s, i=i: F.shiftrightunsigned(s, 8 * i).bitwiseAND(F.lit(255))
-        apart = (of(a) - of(b)).bitwiseAND(F.lit(255))
-        total = total + F.least(apart, 256 - apart)
+        of = lambda s, i=i: F.shiftrightunsigned(s, _BITS * i).bitwiseAND(mask)
+        apart = (of(a) - of(b)).bitwiseAND(mask)
+        total = total + F.least(apart, (1 << _BITS) - apart)
     return total
 
 
