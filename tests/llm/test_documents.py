@@ -1,8 +1,10 @@
 """Fingerprints, licences, toxicity and page text against brute force."""
 
 import hashlib
+import inspect
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -143,6 +145,26 @@ def test_toxicity_holds_out_and_handles_odd_rows(spark):
     assert toxicity.score(docs, labels.limit(0)).where("toxicity between 0 and 1").count() == 604
 
 
+def test_every_labelled_row_teaches(spark):
+    """Each label row of a document counts its words once; unlabelled, null and held-out rows only add words."""
+    ids = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 3 != 1]
+    held = next(i for i in range(3000) if i not in ids)
+    docs = [(i, f"common w{i} w{i}") for i in ids] + [(ids[0], "again"), (None, "nameless"), (held, "heldout"), (9999, None)]
+    marks = [(i, int(i % 7 == 0)) for i in ids[:-1]] + [(ids[0], 1), (ids[0], 1), (None, 1), (held, 1), (9999, None)]
+    want = {}
+    for i, text in docs:
+        for w in (text or "").split():
+            sums = want.setdefault(w, [0, 0, 0, 0])
+            for mark in (m for j, m in marks if j == i and i in ids):
+                sums[1 - mark] += 1
+                sums[3 - mark] += zlib.crc32(str(i).encode()) % 3 == 0
+    marked = spark.createDataFrame(marks, "doc_id long, toxic int").where("toxic is not null and doc_id is not null").withColumnRenamed("doc_id", "_id")
+    marked = marked.where(toxicity.fold(F.col("_id")) != 1).groupBy("_id").agg(F.count_if(F.col("toxic") == 0).alias("_ordinary"), F.count_if(F.col("toxic") == 1).alias("_toxic"))
+    got = toxicity.word_counts(spark.createDataFrame(docs, "_id long, _text string"), marked)
+    assert {r.word: list(r)[1:] for r in got.collect()} == want
+    assert "labelled_rows" not in inspect.signature(toxicity.score).parameters
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p><p>no";</script></head><body>
 <div class="cookie-notice"><p>We use cookies</p></div><header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav>
 <!-- <p>hidden</p> --><%(main)s class="x"><h1>Title %(i)d</h1><p>First &amp; <b>bold</b>

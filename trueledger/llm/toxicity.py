@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re
 import uuid
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -28,14 +29,15 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trueledger.llm.common import Batches, slices, stored, texts_of
 
 ORDER = 5
 CELLS = 1 << 20
 DISCOUNT = 0.75
-#: Labelled rows that the class models are fitted on, and of these the curve, at most. Chosen by a hash of the id.
-LABELLED_ROWS, FIT_ROWS = 120_000, 20_000
+#: Labelled rows that the logistic curve is fitted on, at most. Chosen by a hash of the id.
+FIT_ROWS = 20_000
 #: Words a task remembers the score of; beyond it the memory is emptied and filled again.
 REMEMBERED = 400_000
 #: Letters that the last backoff level spreads its probability over.
@@ -93,24 +95,58 @@ class Letters:
 CLASSES = ["toxic", "ordinary", "fit_toxic", "fit_ordinary"]
 
 
-def word_counts(df: DataFrame, text: str, group: str) -> DataFrame:
-    """``word`` and ``CLASSES``: occurrences by group (2 * fold + class); a word of rows without a group has zeros."""
+def bags(df: DataFrame) -> DataFrame:
+    """``_id`` and ``_bag`` of ``_id`` and ``_text``: the words in order of the alphabet, packed, about half of what the text takes."""
+
+    def run(batches: Batches) -> Batches:
+        for batch in slices(batches):
+            packed = [zlib.compress(" ".join(sorted(words_of(t))).encode(), 3) for t in texts_of(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(packed, pa.binary())], names=["_id", "_bag"])
+
+    kind = T.StructType([df.schema["_id"], T.StructField("_bag", T.BinaryType())])
+    return df.select("_id", "_text").mapInArrow(run, kind)
+
+
+def word_counts(texts: DataFrame, marks: DataFrame) -> DataFrame:
+    """``word`` and ``CLASSES`` of ``_id, _text``: occurrences in texts of ids that ``marks`` (one row per id) has; other words have zeros.
+
+    Only texts whose id may teach move to their marks, as bags of words.
+    """
 
     def run(batches: Batches) -> Batches:
         counts: dict[int, Counter] = {}
         plain: set[str] = set()
         for batch in slices(batches):
-            for t, g in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                if g is None:
-                    plain.update(words_of(t))
-                else:
-                    counts.setdefault(g, Counter()).update(words_of(t))
+            bag, third, *weights = (c.to_pylist() for c in batch.columns)
+            for packed, f, *times in zip(bag, third, *weights, strict=True):
+                words = zlib.decompress(packed).decode().split()
+                if not any(times):
+                    plain.update(words)
+                for mark, n in enumerate(times):
+                    if n == 1:
+                        counts.setdefault(2 * f + mark, Counter()).update(words)
+                    elif n:
+                        counts.setdefault(2 * f + mark, Counter()).update({w: n * k for w, k in Counter(words).items()})
             if sum(map(len, counts.values())) + len(plain) > REMEMBERED:
                 yield _counted(counts, plain)
                 counts, plain = {}, set()
         yield _counted(counts, plain)
 
-    made = df.select(text, group).mapInArrow(run, "word string, " + ", ".join(f"{c} double" for c in CLASSES))
+    def unmarked(batches: Batches) -> Batches:
+        plain: set[str] = set()
+        for batch in slices(batches):
+            for t in texts_of(batch.column(0)):
+                plain.update(words_of(t))
+            if len(plain) > REMEMBERED:
+                yield _counted({}, plain)
+                plain = set()
+        yield _counted({}, plain)
+
+    kinds = "word string, " + ", ".join(f"{c} double" for c in CLASSES)
+    teaches = F.coalesce(fold(F.col("_id")) != 1, F.lit(False))
+    weight = lambda c: F.coalesce(F.col(c), F.lit(0))
+    moved = bags(texts.where(teaches)).join(marks, "_id", "left").select("_bag", fold(F.col("_id")).cast("int"), weight("_ordinary"), weight("_toxic"))
+    made = moved.mapInArrow(run, kinds).unionByName(texts.where(~teaches).select("_text").mapInArrow(unmarked, kinds))
     return made.groupBy("word").agg(*(F.sum(c).alias(c) for c in CLASSES))
 
 
@@ -267,25 +303,20 @@ def fold(doc_id: Column) -> Column:
 _MODELS: dict[str, Model] = {}
 
 
-def score(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic", labelled_rows: int = LABELLED_ROWS, fit_rows: int = FIT_ROWS
-) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic", fit_rows: int = FIT_ROWS) -> DataFrame:
     """``docs`` with ``toxicity double``, learnt from the rows of ``labels`` that are not held out.
 
-    Class counts come from at most ``labelled_rows`` labelled rows, which bounds what is broadcast to
-    the documents; the shared counts come from all documents. The curve is fitted on rows of fold 2,
-    with words as they look to counts from fold 0 alone: in documents those counts have not seen. The
-    scores then come from the counts of both folds. A column named ``toxicity`` is replaced.
+    Class counts come from all of these rows, the shared counts from all documents. The curve is fitted
+    on rows of fold 2, with words as they look to counts from fold 0 alone: in documents those counts
+    have not seen. The scores then come from the counts of both folds. A column named ``toxicity`` is
+    replaced.
     """
     spark = docs.sparkSession
     taught = F.col(id_col).isNotNull() & F.col(toxic).isin(0, 1) & (fold(F.col(id_col)) != 1)
-    marks = labels.where(taught).select(F.col(id_col).alias("_id"), (2 * fold(F.col(id_col)) + F.col(toxic)).cast("int").alias("_group"))
-    marks = marks.withColumn("_draw", F.pmod(F.xxhash64("_id"), F.lit(1_000_000)))
-    share = min(1.0, 0.99 * labelled_rows / max(1, marks.count()))
-    sample = stored(marks.where(F.col("_draw") < F.lit(share * 1_000_000)).limit(labelled_rows), "toxicity-labels")
+    labelled = labels.where(taught).select(F.col(id_col).alias("_id"), F.col(toxic).cast("int").alias("_mark"))
+    marks = labelled.groupBy("_id").agg(F.count_if(F.col("_mark") == 0).alias("_ordinary"), F.count_if(F.col("_mark") == 1).alias("_toxic"))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    marked = texts.join(F.broadcast(sample.select("_id", "_group")), "_id", "left")
-    words = stored(word_counts(marked, "_text", "_group"), "toxicity-words")
+    words = stored(word_counts(texts, marks), "toxicity-words")
     grams = stored(gram_counts(words), "toxicity-grams")
     table = cell_table(grams).toArrow()
     cells = table.column("cell").to_numpy()
@@ -308,10 +339,10 @@ def score(
             x = model(CLASSES[2:]).features(texts_of(batch.column(0)))
             yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), batch.column(1)], names=["x", "y"])
 
-    curve = sample.where("_group >= 4")
+    curve = labelled.where(fold(F.col("_id")) == 2)
     share = min(1.0, 0.99 * fit_rows / max(1, curve.count()))
     curve = curve.where(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(1_000_000)) < F.lit(share * 1_000_000)).limit(fit_rows)
-    curve = F.broadcast(curve.select("_id", (F.col("_group") - 4).alias("_mark")))
+    curve = F.broadcast(stored(curve, "toxicity-curve"))
     fitted = texts.join(curve, "_id").select("_text", "_mark").mapInArrow(features, "x array<double>, y int").toPandas()
     if len(fitted):
         mean, spread, weights = fit_logistic(np.vstack(fitted["x"]), fitted["y"].to_numpy(float))
