@@ -165,6 +165,41 @@ def test_every_labelled_row_teaches(spark):
     assert "labelled_rows" not in inspect.signature(toxicity.score).parameters
 
 
+def test_runs_are_told_apart_by_their_whole_hash(spark):
+    """Ratios equal plain counts, also for runs whose hashes share their last 20 bits, and joins score as a broadcast does."""
+    rng = random.Random(11)
+    words = sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(4000)})
+    table = [(w, float(i % 3), float(i % 4), float(i % 3 > 1), float(i % 4 > 2)) for i, w in enumerate(words)]
+    frame = spark.createDataFrame(table, "word string, toxic double, ordinary double, fit_toxic double, fit_ordinary double")
+    grams = toxicity.gram_counts(frame).toPandas()
+    assert (grams.gram & (toxicity.CELLS - 1)).duplicated().any() and not grams.gram.duplicated().any()
+    top, tables = grams[grams.top], {}
+    by_context = top.groupby("context")
+    for c in toxicity.CLASSES:
+        tables[f"n_{c}"] = dict(zip(top.gram, top[c]))
+        tables[f"c_{c}"] = by_context[c].sum().to_dict()
+        tables[f"t_{c}"] = by_context[c].agg(lambda x: (x > 0).sum()).to_dict()
+    n_shared = grams[grams.n > 1].groupby("suffix").size().to_dict()
+    low = grams[grams.gram.isin(n_shared)].assign(m=lambda d: d.gram.map(n_shared)).groupby("context").m
+    tables |= {"n_shared": n_shared, "c_shared": low.sum().to_dict(), "t_shared": low.size().to_dict()}
+
+    class Exact(toxicity.Model):
+        def _get(self, name, hashes):
+            return np.array([tables[name].get(int(h), 0) for h in hashes], float)
+
+    got = toxicity.run_ratios(spark.createDataFrame(grams)).toPandas().sort_values("gram")
+    for name, classes in (("whole", toxicity.CLASSES[:2]), ("fit", toxicity.CLASSES[2:])):
+        scorer = toxicity.Scorer(got.gram.to_numpy(), got[name].to_numpy())
+        assert np.allclose(scorer.ratios(words), Exact({}, classes).ratios(words), atol=1e-5)
+    docs = [(i, " ".join(rng.choice(words[:40] if i % 4 else words[30:80]) for _ in range(rng.randrange(12))), "x") for i in range(150)] + [(None, None, "y")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, toxicity string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(150)], "doc_id long, toxic int")
+    one, other = (toxicity.score(frame, labels, broadcast_runs=n) for n in (1 << 20, 0))
+    assert one.dtypes == other.dtypes
+    key = lambda r: (r.doc_id is None, r.doc_id)
+    assert np.allclose(*([r.toxicity for r in sorted(df.collect(), key=key)] for df in (one, other)), atol=1e-6)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="</p><p>no";</script></head><body>
 <div class="cookie-notice"><p>We use cookies</p></div><header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav>
 <!-- <p>hidden</p> --><%(main)s class="x"><h1>Title %(i)d</h1><p>First &amp; <b>bold</b>

@@ -8,8 +8,9 @@ class prefers scores for it, also in word forms that were never labelled. A word
 over its letters of the log-likelihood ratio; a document is described by the mean over all its words
 and its highest words, and a logistic curve fitted on other labelled rows turns that into 0 to 1.
 
-The counts live in tables of ``CELLS`` cells addressed by hash, so what a task needs is bounded
-whatever the corpus; the counts in them cover all of it.
+Counts are kept by the whole 64-bit hash of a letter run, and Spark makes one log-likelihood ratio of
+each run at a longest context. Up to ``BROADCAST_RUNS`` of these are broadcast; with more, words are
+joined to their runs and documents to their words.
 
 Defined results: null text is empty text; an empty text gets the score of a document without
 evidence. Rows repeated in the documents or the labels count as often as they stand there; null labels
@@ -22,6 +23,7 @@ import re
 import uuid
 import zlib
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +36,10 @@ from pyspark.sql import types as T
 from trueledger.llm.common import Batches, slices, stored, texts_of
 
 ORDER = 5
+#: Cells of the small tables that ``Model`` reads.
 CELLS = 1 << 20
+#: Letter runs with a ratio other than 0 that are broadcast, at 16 bytes each.
+BROADCAST_RUNS = 4_000_000
 DISCOUNT = 0.75
 #: Labelled rows that the logistic curve is fitted on, at most. Chosen by a hash of the id.
 FIT_ROWS = 20_000
@@ -186,39 +191,56 @@ def gram_counts(words: DataFrame) -> DataFrame:
 COLUMNS = [f"{kind}_{c}" for kind in "nct" for c in [*CLASSES, "shared"]]
 
 
-def cell_table(grams: DataFrame) -> DataFrame:
-    """The counts by cell: of grams and contexts in each class, and the shared continuation counts."""
-    top = grams.where("top").where("toxic + ordinary > 0")
-    by_context = top.groupBy("context").agg(
+def run_ratios(grams: DataFrame) -> DataFrame:
+    """``gram, whole, fit``: log P(letter | toxic) - log P(letter | ordinary) of letter runs at a longest context.
+
+    ``whole`` is by the counts of all rows that teach, ``fit`` by those the curve is not fitted on. Runs
+    that are not there have 0 in both.
+    """
+    top = grams.where("top")
+    by_context = top.where("toxic + ordinary > 0").groupBy("context").agg(
         *(F.sum(c).alias(f"c_{c}") for c in CLASSES), *(F.count_if(F.col(c) > 0).alias(f"t_{c}") for c in CLASSES)
     )
     # The suffix of a gram of n letters is one of n - 1; each such gram is one more letter it follows.
     kept = grams.where("n > 1").groupBy(F.col("suffix").alias("gram")).agg(F.count("*").alias("n_shared"))
-    shared = stored(kept.join(grams.select("gram", "context"), "gram"), "toxicity-shared")
-    by_shared = shared.groupBy("context").agg(F.sum("n_shared").alias("c_shared"), F.count("*").alias("t_shared"))
+    counted = stored(kept.join(grams.select("gram", "context", "suffix", "n"), "gram"), "toxicity-shared")
+    by_shared = counted.groupBy("context").agg(F.sum("n_shared").alias("c_shared"), F.count("*").alias("t_shared"))
+    levels = stored(counted.join(by_shared, "context"), "toxicity-levels")
+    shared: list[DataFrame] = []
+    for n in range(1, ORDER):
+        level = levels.where(F.col("n") == n)
+        if shared:
+            level = level.join(shared[-1].select(F.col("gram").alias("suffix"), F.col("shared").alias("below")), "suffix")
+        else:
+            level = level.withColumn("below", F.lit(1.0 / ALPHABET))
+        own = F.greatest(F.col("n_shared") - DISCOUNT, F.lit(0.0))
+        shared.append(stored(level.select("gram", ((own + DISCOUNT * F.col("t_shared") * F.col("below")) / F.col("c_shared")).alias("shared")), "toxicity-level"))
+    below = shared[0]
+    for more in shared[1:]:
+        below = below.unionByName(more)
+
+    def log_likelihood(c: str) -> Column:
+        own = F.greatest(F.col(c) - DISCOUNT, F.lit(0.0))
+        seen = (own + DISCOUNT * F.least(f"t_{c}", f"c_{c}") * F.col("shared")) / F.greatest(F.col(f"c_{c}"), F.lit(1.0))
+        return F.log(F.when(F.col(f"c_{c}") > 0, seen).otherwise(F.col("shared")))
+
+    joined = top.join(by_context, "context").join(below.withColumnRenamed("gram", "suffix"), "suffix")
+    whole, fit = (log_likelihood(a) - log_likelihood(b) for a, b in (CLASSES[:2], CLASSES[2:]))
+    return joined.select("gram", whole.cast("float").alias("whole"), fit.cast("float").alias("fit")).where("whole <> 0 or fit <> 0")
 
-    def cells(df: DataFrame, key: str, filled: dict[str, str]) -> DataFrame:
-        return df.select(
-            F.pmod(key, F.lit(CELLS)).cast("int").alias("cell"), *((F.col(filled[c]) if c in filled else F.lit(0)).cast("double").alias(c) for c in COLUMNS)
-        )
 
-    same = lambda kind, names: {f"{kind}_{c}": f"{kind}_{c}" for c in names}
-    rows = cells(top, "gram", {f"n_{c}": c for c in CLASSES})
-    rows = rows.unionByName(cells(by_context, "context", same("c", CLASSES) | same("t", CLASSES)))
-    rows = rows.unionByName(cells(shared, "gram", same("n", ["shared"])))
-    rows = rows.unionByName(cells(by_shared, "context", same("c", ["shared"]) | same("t", ["shared"])))
-    return rows.groupBy("cell").agg(*(F.sum(c).cast("float").alias(c) for c in COLUMNS))
+# ------------------------------------------------------------------- scoring
 
 
-# ------------------------------------------------------------------- scoring
+#: ``n_`` counts of grams, ``c_`` of contexts, ``t_`` of the letters that follow a context.
+COLUMNS = [f"{kind}_{c}" for kind in "nct" for c in [*CLASSES, "shared"]]
 
 
 class Model:
-    """The two class models over cell tables (``CELLS`` floats each)."""
+    """The two class models of a few words from plain count tables (``CELLS`` floats each): what ``run_ratios`` is tested against."""
 
     def __init__(self, tables: dict[str, np.ndarray], classes: list[str]):
         self.tables, self.classes = tables, classes
-        self.known: dict[str, float] = {}
 
     def _get(self, name: str, hashes: np.ndarray) -> np.ndarray:
         return self.tables[name][hashes & (CELLS - 1)].astype(np.float64)
@@ -248,6 +270,34 @@ class Model:
         sums = np.bincount(letters.word[at], weights=logs[0] - logs[1], minlength=len(words))
         return sums / np.array([len(w) + 1 for w in words])
 
+
+def longest_runs(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """For each letter of each word, the number of its word and the hash of the longest run that ends there."""
+    letters = Letters.of(words)
+    at = np.flatnonzero(letters.place >= 1)
+    longest, gram = np.minimum(letters.place[at] + 1, ORDER), np.empty(len(at), np.int64)
+    for n in range(2, ORDER + 1):
+        here = longest == n
+        gram[here] = letters.gram(n, at[here])
+    return letters.word[at], gram
+
+
+class Scorer:
+    """Scores of words from the ratios of all runs (``grams`` in rising order)."""
+
+    def __init__(self, grams: np.ndarray, ratios: np.ndarray):
+        self.grams, self.values = grams, ratios
+        self.known: dict[str, float] = {}
+
+    def ratios(self, words: list[str]) -> np.ndarray:
+        """Mean over each word's letters of log P(letter | toxic) - log P(letter | ordinary)."""
+        word, runs = longest_runs(words)
+        found = np.zeros(len(runs))
+        if len(self.grams):
+            at = np.minimum(np.searchsorted(self.grams, runs), len(self.grams) - 1)
+            found = np.where(self.grams[at] == runs, self.values[at], 0.0)
+        return np.bincount(word, weights=found, minlength=len(words)) / np.array([len(w) + 1 for w in words])
+
     def features(self, texts: list[str]) -> np.ndarray:
         split = [words_of(t) for t in texts]
         distinct = set().union(*split)
@@ -277,6 +327,40 @@ def _highest(values: np.ndarray, n: int = 3) -> np.ndarray:
     return np.concatenate([top, np.zeros(n - len(top))])
 
 
+def joined_features(rows: DataFrame, runs: DataFrame, ratio: str) -> DataFrame:
+    """``_row, _x``: the features of ``_row, _text`` by joins alone, for more runs than a broadcast holds; texts without words have no row."""
+
+    def word_rows(batches: Batches) -> Batches:
+        for batch in slices(batches, 100):
+            owner, words, times = [], [], []
+            for row, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
+                count = Counter(words_of(t))
+                owner += [row] * len(count)
+                words += count
+                times += count.values()
+            yield pa.RecordBatch.from_arrays([pa.array(owner, pa.int64()), pa.array(words, pa.string()), pa.array(times, pa.int64())], names=["_row", "_word", "_n"])
+
+    def run_rows(batches: Batches) -> Batches:
+        for batch in slices(batches, 20_000):
+            words = batch.column(0)
+            word, gram = longest_runs(words.to_pylist())
+            yield pa.RecordBatch.from_arrays([words.take(pa.array(word)), pa.array(gram)], names=["_word", "gram"])
+
+    used = rows.select("_row", "_text").mapInArrow(word_rows, "_row long, _word string, _n long")
+    used = stored(used, "toxicity-used")
+    each = used.select("_word").distinct().mapInArrow(run_rows, "_word string, gram long").join(runs.select("gram", F.col(ratio).alias("_r")), "gram", "left")
+    mean = (F.coalesce(F.sum("_r"), F.lit(0.0)) / F.count("*")).alias("_mean")  # as many runs as letters, with the end mark
+    scores = each.groupBy("_word").agg(mean, F.coalesce(F.sum("_r"), F.lit(0.0)).alias("_whole"))
+
+    def highest(c: str, n: int = 3) -> Column:
+        all_of = F.flatten(F.collect_list(F.array_repeat(F.col(c), F.least(F.col("_n"), F.lit(n)).cast("int"))))
+        return F.slice(F.concat(F.slice(F.sort_array(all_of, asc=False), 1, n), F.array_repeat(F.lit(0.0), n)), 1, n)
+
+    total = F.sum("_n").cast("double")
+    x = F.concat(F.array(F.sum(F.col("_n") * F.col("_mean")) / total, F.log1p(total)), highest("_mean"), highest("_whole"))
+    return used.join(scores, "_word").groupBy("_row").agg(x.alias("_x"))
+
+
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Mean, spread and weights (intercept last) of a logistic curve, by Newton steps."""
     mean, spread = x.mean(axis=0), x.std(axis=0)
@@ -300,10 +384,12 @@ def fold(doc_id: Column) -> Column:
 
 
 #: Models of this Python worker, by the key of their run.
-_MODELS: dict[str, Model] = {}
+_MODELS: dict[str, Scorer] = {}
 
 
-def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic", fit_rows: int = FIT_ROWS) -> DataFrame:
+def score(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic", fit_rows: int = FIT_ROWS, broadcast_runs: int = BROADCAST_RUNS
+) -> DataFrame:
     """``docs`` with ``toxicity double``, learnt from the rows of ``labels`` that are not held out.
 
     Class counts come from all of these rows, the shared counts from all documents. The curve is fitted
@@ -318,44 +404,61 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
     words = stored(word_counts(texts, marks), "toxicity-words")
     grams = stored(gram_counts(words), "toxicity-grams")
-    table = cell_table(grams).toArrow()
-    cells = table.column("cell").to_numpy()
-    tables = {}
-    for c in COLUMNS:
-        tables[c] = np.zeros(CELLS, np.float32)
-        tables[c][cells] = table.column(c).to_numpy()
-    shared = spark.sparkContext.broadcast(tables)
+    runs = stored(run_ratios(grams), "toxicity-runs")
+    curve = labelled.where(fold(F.col("_id")) == 2)
+    share = min(1.0, 0.99 * fit_rows / max(1, curve.count()))
+    curve = curve.where(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(1_000_000)) < F.lit(share * 1_000_000)).limit(fit_rows)
+    curve = F.broadcast(stored(curve, "toxicity-curve"))
+    sample = texts.join(curve, "_id").select("_text", "_mark")
+    if runs.count() > broadcast_runs:
+        return _scored_by_joins(docs, text, sample, runs)
+    table = runs.toArrow().sort_by("gram")
+    shared = spark.sparkContext.broadcast([table.column(c).to_numpy() for c in ("gram", "whole", "fit")])
     run_key = uuid.uuid4().hex
 
-    def model(classes: list[str]) -> Model:
-        key = f"{run_key} {classes[0]}"
+    def model(ratio: int) -> Scorer:
+        key = f"{run_key} {ratio}"
         if key not in _MODELS:
             _MODELS.clear()
-            _MODELS[key] = Model(shared.value, classes)
+            _MODELS[key] = Scorer(shared.value[0], shared.value[ratio])
         return _MODELS[key]
 
     def features(batches: Batches) -> Batches:
         for batch in slices(batches):
-            x = model(CLASSES[2:]).features(texts_of(batch.column(0)))
+            x = model(2).features(texts_of(batch.column(0)))
             yield pa.RecordBatch.from_arrays([pa.array(x.tolist(), pa.list_(pa.float64())), batch.column(1)], names=["x", "y"])
 
-    curve = labelled.where(fold(F.col("_id")) == 2)
-    share = min(1.0, 0.99 * fit_rows / max(1, curve.count()))
-    curve = curve.where(F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(1_000_000)) < F.lit(share * 1_000_000)).limit(fit_rows)
-    curve = F.broadcast(stored(curve, "toxicity-curve"))
-    fitted = texts.join(curve, "_id").select("_text", "_mark").mapInArrow(features, "x array<double>, y int").toPandas()
-    if len(fitted):
-        mean, spread, weights = fit_logistic(np.vstack(fitted["x"]), fitted["y"].to_numpy(float))
-    else:
-        mean, spread, weights = np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1)
+    probability = _fitted(sample.mapInArrow(features, "x array<double>, y int").toPandas())
 
     @F.pandas_udf("double")
     def scored(column: pd.Series) -> pd.Series:
-        out = []
-        for at in range(0, len(column), 500):
-            x = model(CLASSES[:2]).features([t or "" for t in column.iloc[at : at + 500]])
-            z = ((x - mean) / spread) @ weights[:-1] + weights[-1]
-            out.append(1 / (1 + np.exp(-np.clip(z, -50, 50))))
+        out = [probability(model(1).features([t or "" for t in column.iloc[at : at + 500]])) for at in range(0, len(column), 500)]
         return pd.Series(np.concatenate(out) if out else np.zeros(0), dtype=float)
 
     return docs.withColumn("toxicity", scored(F.col(text)))
+
+
+def _fitted(rows: pd.DataFrame) -> Callable[[np.ndarray], np.ndarray]:
+    """The curve by ``x`` and ``y``, as a function of features."""
+    if len(rows):
+        mean, spread, weights = fit_logistic(np.vstack(rows["x"]), rows["y"].to_numpy(float))
+    else:
+        mean, spread, weights = np.zeros(FEATURES), np.ones(FEATURES), np.zeros(FEATURES + 1)
+    return lambda x: 1 / (1 + np.exp(-np.clip(((x - mean) / spread) @ weights[:-1] + weights[-1], -50, 50)))
+
+
+def _scored_by_joins(docs: DataFrame, text: str, sample: DataFrame, runs: DataFrame) -> DataFrame:
+    nothing = F.array_repeat(F.lit(0.0), FEATURES)
+
+    def described(df: DataFrame, ratio: str) -> DataFrame:
+        rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "toxicity-rows")
+        return rows.join(joined_features(rows, runs, ratio), "_row", "left").withColumn("_x", F.coalesce("_x", nothing))
+
+    probability = _fitted(described(sample, "fit").select(F.col("_x").alias("x"), F.col("_mark").alias("y")).toPandas())
+
+    @F.pandas_udf("double")
+    def scored(column: pd.Series) -> pd.Series:
+        return pd.Series(probability(np.vstack(column)) if len(column) else np.zeros(0), dtype=float)
+
+    rows = described(docs.drop("toxicity").withColumn("_text", F.col(text)), "whole").withColumn("toxicity", scored("_x"))
+    return rows.select(*(docs.columns if "toxicity" in docs.columns else [*docs.columns, "toxicity"]))
