@@ -46,6 +46,9 @@ MARKS = frozenset(
     "newsletter subscribe subscription signup login search menu nav navbar navigation breadcrumb breadcrumbs sidebar rail widget widgets footer header masthead toolbar "
     "comment comments respond reply replies disqus discussion share sharing social related recommended recommendations pagination pager tags".split()
 )
+#: Inside an article only these rule: as any part of a name, and as a whole name or the first part of one.
+ARTICLE_MARKS = frozenset("adsense advert adverts advertisement advertising comments disqus newsletter".split())
+ARTICLE_NAMES = frozenset("ad ads sponsored comment respond subscribe signup login share sharing sidebar navbar breadcrumb breadcrumbs pagination".split())
 #: Elements that end a block of text.
 BLOCKS = FRAME | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "tr", "caption", "blockquote", "pre", "address", "hr", "figcaption", "summary", "legend", "option", "hgroup", "search", "tbody", "thead", "tfoot"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "base", "col", "embed", "source", "track", "wbr", "area"}
@@ -127,15 +130,19 @@ def parse(html: str) -> Page:
 
 
 def is_furniture(place: str) -> bool:
-    """Whether names alone rule a place out."""
+    """Whether names alone rule a place out; in an article the slot and its share of links decide about most."""
     inside = False
     for part in place.split("/"):
         tag, *names = part.split(".")
-        inside |= tag in ("article", "main")
+        around, inside = inside, inside or tag in ("article", "main")
         if tag in FURNITURE or (tag == "header" and not inside):
             return True
-        if any(w in MARKS for n in names for w in re.split(r"[-_:]+", n)) and tag not in ("html", "body", "article", "main"):
-            return True
+        if tag in ("html", "body", "article", "main"):
+            continue
+        for n in names:
+            words = re.split(r"[-_:]+", n)
+            if any(w in ARTICLE_MARKS for w in words) or words[0] in ARTICLE_NAMES if around else any(w in MARKS for w in words):
+                return True
     return False
 
 
