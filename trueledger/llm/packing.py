@@ -3,8 +3,8 @@
 Documents longer than a sequence are cut into full pieces and one shorter first piece; full pieces
 are sequences by themselves. The other pieces are dealt over partitions of bounded size. Each one is
 packed by best-fit decreasing and certified: dual feasible functions give a number of sequences below
-which no packing of that partition can go. Partitions that reach their bound are done. Those with a
-gap, and the loosely filled sequences of all partitions, exchange their documents: they are dealt
+which no packing of that partition can go. Where all pieces reach their common bound, packing is done. Else
+the loosely filled sequences of all partitions exchange their documents: they are dealt
 anew over fewer partitions and packed again, until a round saves nothing.
 
 Pieces are known by row numbers that are fixed when they are stored, so documents need no
