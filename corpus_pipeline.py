@@ -30,7 +30,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates; of repeated rows one stays."""
     named = lambda id_col: F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    kept = chosen_path.join(docs).where("kept").select(named("id").alias("_id"), F.col("key").alias("_key")).distinct()
+    # Named by id, null last, and text, so that null and repeated ids leave one document of a group as well.
+    pick = F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("doc_id"), text_key(F.col("text")))
+    kept = chosen_path.join(docs.withColumn("_pick", pick), "_pick").where("kept").select(named("id.doc_id").alias("_id"), F.col("key").alias("_key")).distinct()
     # Joined and made unique by the same two columns: the documents move once.
     keyed = docs.withColumns({"_id": named("doc_id"), "_key": text_key(F.col("text"))})
     return keyed.join(kept, ["_id", "_key"], "left_semi").dropDuplicates(["_id", "_key"]).select(*docs.columns)
