@@ -27,6 +27,15 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.substring(F.sha2(F.coalesce(text, F.lit("")), 256), 1, 32))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name made from ``name`` that ``df`` does not have, whatever the letters' case."""
+    taken = {c.lower() for c in df.columns}
+    out = f"_{name}"
+    while out.lower() in taken:
+        out += "_"
+    return out
+
+
 def hex_sha256(value: Column) -> Column:
     return F.sha2(value, 256)
 

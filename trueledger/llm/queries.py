@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trueledger.llm import byte_bpe, chosen_path, fingerprint, html_text, licences, line_dedup, packing, toxicity, vectors, warc
+from trueledger.llm import byte_bpe, chosen_path, fingerprint, html_text, licences, line_dedup, packing, resampling, toxicity, vectors, warc
 from trueledger.llm.common import hex_sha256
 
 #: Score from which a document counts as toxic.
@@ -222,3 +222,48 @@ def op9_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = html_text.extract(pages, html_text.templates(pages))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its weight towards the benchmark; a tenth of those with 20 words is drawn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = resampling.scored(docs, table(spark, sf_dir, "benchmark")).drop("text")
+    return resampling.draw(found, 10, eligible=F.col("n_words") >= 20).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+#: CRC-32 of the UTF-8 bytes in hex ``h``, by the usual table of 256 entries, made from its rule.
+_CRC32 = """
+steps AS (SELECT i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+    UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS c FROM steps WHERE k = 8),
+"""
+
+ORACLES["op11_importance_resampling"] = f"""
+WITH RECURSIVE {_CRC32}
+texts AS (
+    SELECT 'd' AS side, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+    UNION ALL SELECT 't', item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark
+),
+words AS (SELECT side, doc_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts),
+counted AS (SELECT side, doc_id, word, count(*) AS n FROM words GROUP BY ALL),
+hashed AS (
+    SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, strlen(word) + 1), lambda j: ('0x' || substring(hex(encode(word)), 2 * j - 1, 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, t.c[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 10000 AS cell
+    FROM (SELECT DISTINCT word FROM counted), crc_table t
+),
+cells AS (SELECT cell, coalesce(sum(n) FILTER (side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (side = 't'), 0)::DOUBLE AS t FROM counted JOIN hashed USING (word) GROUP BY cell),
+totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM cells),
+gain AS (SELECT cell, floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000))))::BIGINT AS gain FROM cells, totals),
+weighed AS (
+    SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+    FROM counted JOIN hashed USING (word) JOIN gain USING (cell) WHERE side = 'd' GROUP BY doc_id
+),
+scored AS (
+    SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('2024:' || doc_id), 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+    FROM documents LEFT JOIN weighed USING (doc_id)
+),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 10 * count(*) OVER () // 100 AS k FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= k THEN rank END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
+"""
