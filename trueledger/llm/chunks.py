@@ -1,8 +1,8 @@
 """Splitting text at single spaces into chunks whose token ids do not depend on their neighbours.
 
 The word pattern of byte-level BPE lets a word take one space before it, and leaves the last white
-space of a run to the word after it. So a space with no white space after it always starts a new
-match: text may be cut there, each chunk encoded by itself and the ids joined. Chunks repeat far
+space of a run to the word after it. So a space before anything but white space or the text's end always
+starts a new match: text may be cut there, each chunk encoded by itself and the ids joined. Chunks repeat far
 more often than texts do, so each distinct chunk of a task is encoded once.
 """
 
@@ -13,49 +13,76 @@ from collections.abc import Callable
 import numpy as np
 import regex
 
-#: Distinct chunks a task remembers; beyond it the memory is emptied and filled again.
+#: Distinct chunks a task remembers, half of them since the memory was last turned over.
 REMEMBERED = 250_000
 
 #: Characters whose chunks are looked up together.
 BLOCK_CHARS = 1_500_000
 
-_RUN = regex.compile(r" \s")
-_CUT = regex.compile(r" (?!\s)")
+_RUN = regex.compile(r" (?:\s|$)")
+_CUT = regex.compile(r" (?=\S)")
+
+
+def _keys(text: str) -> list[str]:
+    """The chunks of ``text`` without the spaces they were cut at; the first one behind a space."""
+    parts = _CUT.split(text) if _RUN.search(text) else text.split(" ")
+    parts[0] = " " + parts[0]
+    return parts
 
 
 def chunks(text: str) -> list[str]:
     """Pieces that join to ``text``; all but the first begin with the space they were cut at."""
-    parts = _CUT.split(text) if _RUN.search(text) else text.split(" ")
-    return [parts[0], *(" " + p for p in parts[1:])]
+    first, *others = _keys(text)
+    return [first[1:], *(" " + p for p in others)]
+
+
+class Memory:
+    """Ids by text, in two halves: when the newer is full it becomes the older, whose texts are taken up
+    again as they are met. So what is met often stays, and what is met once goes."""
+
+    def __init__(self, size: int):
+        self.half = size // 2
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def learn(self, texts: set[str], encode: Callable[[list[str]], list[bytes]]) -> None:
+        """``known`` holds all of ``texts`` afterwards; those that neither half holds are encoded."""
+        if len(self.known) + len(texts.difference(self.known)) > self.half:
+            self.older, self.known = self.known, {}
+        texts = texts.difference(self.known)
+        again = texts.intersection(self.older)
+        self.known.update((t, self.older[t]) for t in again)
+        new = list(texts.difference(again))
+        self.known.update(zip(new, encode(new), strict=True))
 
 
 class WordIds:
     """Ids of chunks, each match of the word pattern by itself; remembers words."""
 
-    #: Distinct words that are remembered; beyond it the memory is emptied and filled again.
+    #: Distinct words that are remembered.
     REMEMBERED = 400_000
 
     def __init__(self, pattern: str, encode: Callable[[list[bytes]], list[bytes]]):
         self.split, self.encode = regex.compile(pattern).findall, encode
-        self.known: dict[str, bytes] = {}
+        self.memory = Memory(self.REMEMBERED)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         words = [self.split(t) for t in texts]
-        distinct = set().union(*words)
-        if len(self.known) + len(distinct) > self.REMEMBERED:
-            self.known.clear()
-        new = list(distinct.difference(self.known))
-        self.known.update(zip(new, self.encode([w.encode() for w in new]), strict=True))
-        get = self.known.__getitem__
+        self.memory.learn(set().union(*words), lambda new: self.encode([w.encode() for w in new]))
+        get = self.memory.known.__getitem__
         return [b"".join(map(get, w)) for w in words]
 
 
 class ChunkIds:
-    """Ids of texts as little-endian unsigned 32-bit bytes, by chunks."""
+    """Ids of texts as little-endian unsigned 32-bit bytes, by chunks.
+
+    A chunk is remembered without the space it was cut at; the first of a text, which has none, with
+    one more. No other chunk begins with a space, so the two cannot be taken for each other.
+    """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]]):
         self.encode = encode
-        self.known: dict[str, bytes] = {}
+        self.memory = Memory(REMEMBERED)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -70,15 +97,15 @@ class ChunkIds:
         return out + self._block(block)
 
     def _block(self, texts: list[str]) -> list[bytes]:
-        split = [chunks(t) for t in texts]
-        distinct = set().union(*split)
-        new = list(distinct.difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = list(distinct)
-        self.known.update(zip(new, self.encode(new), strict=True))
-        get = self.known.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        split = [_keys(t) for t in texts]
+        get = self.memory.known.get
+        found = [list(map(get, s)) for s in split]
+        new = {k for keys, ids in zip(split, found, strict=True) if None in ids for k, i in zip(keys, ids, strict=True) if i is None}
+        if new:
+            self.memory.learn(new, lambda keys: self.encode([k[1:] if k[:1] == " " else " " + k for k in keys]))
+            get = self.memory.known.__getitem__
+            found = [[get(k) if i is None else i for k, i in zip(keys, ids, strict=True)] if None in ids else ids for keys, ids in zip(split, found, strict=True)]
+        return [b"".join(ids) for ids in found]
 
 
 def as_ids(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

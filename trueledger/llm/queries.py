@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trueledger.llm import byte_bpe, chosen_path, fingerprint, html_text, licences, line_dedup, packing, resampling, toxicity, vectors, warc
+from trueledger.llm import byte_bpe, chosen_path, fingerprint, html_text, licences, line_dedup, packing, prefix_bpe, resampling, toxicity, vectors, warc
 from trueledger.llm.common import hex_sha256
 
 #: Score from which a document counts as toxic.
@@ -267,3 +267,17 @@ scored AS (
 ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, 10 * count(*) OVER () // 100 AS k FROM scored WHERE n_features >= 20)
 SELECT doc_id, n_features, weight, score, CASE WHEN rank <= k THEN rank END AS rank FROM scored LEFT JOIN ranked USING (doc_id)
 """
+
+
+@query
+def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded as the tokenizers library does, and decoded again."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = prefix_bpe.encode(docs, path, public_tokenizers.PATTERN).drop("text")
+    return prefix_bpe.decode(coded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        hex_sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        hex_sha256(F.col("decoded").cast("binary")).alias("decoded_sha256"),
+    )
