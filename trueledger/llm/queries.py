@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trueledger.llm import byte_bpe, chosen_path, fingerprint, html_text, licences, line_dedup, packing, prefix_bpe, resampling, toxicity, vectors, warc
+from trueledger.llm import byte_bpe, chosen_path, fingerprint, hard_negatives, html_text, licences, line_dedup, packing, prefix_bpe, resampling, toxicity, vectors, warc
 from trueledger.llm.common import hex_sha256
 
 #: Score from which a document counts as toxic.
@@ -281,3 +281,31 @@ def op12_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         hex_sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
         hex_sha256(F.col("decoded").cast("binary")).alias("decoded_sha256"),
     )
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each anchor's positives, the best negatives between half and 95 hundredths of their score."""
+    id, label = F.col("vec_id"), F.col("label")
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", F.when(id % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(rows, id % 50 == 0)
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE a.vec_id % 50 = 0
+),
+positive AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM positive p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
