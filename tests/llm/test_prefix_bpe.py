@@ -122,3 +122,12 @@ def test_chunks_are_cut_where_matches_start():
     for _ in range(2_000):
         text = "".join(draw.choices([" ", "  ", "a", "\n", "'s", "1", " ", ".", "\x1c"], k=draw.randint(0, 12)))
         assert [m for c in chunks.chunks(text) for m in find(c)] == find(text)
+
+
+def test_letters_of_the_pattern_are_those_of_the_language():
+    """Chunks of letters are taken for one word without asking the pattern."""
+    letter = regex.compile(r"\p{L}").fullmatch
+    assert all(letter(chr(c)) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and chr(c).isalpha())
+    words = chunks.WordIds(public_tokenizers.PATTERN, lambda w: w)
+    assert words.letters and not chunks.WordIds(r"\w| ?\p{L}+|\s+", lambda w: w).letters
+    assert words.split(" abc") == [" abc"] and words.split("'s") == ["'s"] and words.split(" a1") == [" a", "1"]

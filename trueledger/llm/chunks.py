@@ -8,13 +8,14 @@ more often than texts do, so each distinct chunk of a task is encoded once.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
 
 import numpy as np
 import regex
 
-#: Distinct chunks a task remembers, half of them since the memory was last turned over.
-REMEMBERED = 250_000
+#: Distinct chunks a task remembers, half of them since the memory was last turned over (some 60 MB).
+REMEMBERED = 500_000
 
 #: Characters whose chunks are looked up together.
 BLOCK_CHARS = 1_500_000
@@ -36,41 +37,72 @@ def chunks(text: str) -> list[str]:
     return [first[1:], *(" " + p for p in others)]
 
 
-class Memory:
-    """Ids by text, in two halves: when the newer is full it becomes the older, whose texts are taken up
-    again as they are met. So what is met often stays, and what is met once goes."""
+class Known(dict):
+    """Ids by text. A text that only ``older`` knows is taken over; one that neither knows is noted."""
+
+    def __init__(self, older: dict[str, bytes]):
+        self.older, self.missed, self.misses = older, set(), 0
 
-    def __init__(self, size: int):
-        self.half = size // 2
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+    def __missing__(self, text: str) -> bytes:
+        found = self.older.get(text)
+        if found is None:
+            self.missed.add(text)
+            self.misses += 1
+            return b""
+        self[text] = found
+        return found
 
-    def learn(self, texts: set[str], encode: Callable[[list[str]], list[bytes]]) -> None:
-        """``known`` holds all of ``texts`` afterwards; those that neither half holds are encoded."""
-        if len(self.known) + len(texts.difference(self.known)) > self.half:
-            self.older, self.known = self.known, {}
-        texts = texts.difference(self.known)
-        again = texts.intersection(self.older)
-        self.known.update((t, self.older[t]) for t in again)
-        new = list(texts.difference(again))
-        self.known.update(zip(new, encode(new), strict=True))
+
+class Memory:
+    """Ids by text, in two halves: when the newer is full it becomes the older, whose texts are taken over
+    as they are met. So what is met often stays, and what is met once goes."""
+
+    def __init__(self, size: int, encode: Callable[[list[str]], list[bytes]]):
+        self.half, self.encode = size // 2, encode
+        self.known = Known({})
+
+    def joined(self, texts: list[list[str]]) -> list[bytes]:
+        """For each list of texts their ids, one after the other; those not known are encoded together."""
+        out, again, known = [], [], self.known
+        get = known.__getitem__
+        for i, some in enumerate(texts):
+            before = known.misses
+            out.append(b"".join(map(get, some)))
+            if known.misses != before:
+                again.append(i)
+        if again:
+            new = list(known.missed)
+            known.missed = set()
+            if len(known) + len(new) > self.half:
+                known.older = {}
+                known = self.known = Known(known)
+                get = known.__getitem__
+            known.update(zip(new, self.encode(new), strict=True))
+            for i in again:
+                out[i] = b"".join(map(get, texts[i]))
+        return out
 
 
 class WordIds:
     """Ids of chunks, each match of the word pattern by itself; remembers words."""
 
-    #: Distinct words that are remembered.
-    REMEMBERED = 400_000
+    #: Distinct words that are remembered (some 100 MB).
+    REMEMBERED = 800_000
 
     def __init__(self, pattern: str, encode: Callable[[list[bytes]], list[bytes]]):
-        self.split, self.encode = regex.compile(pattern).findall, encode
-        self.memory = Memory(self.REMEMBERED)
+        self.find = regex.compile(pattern).findall
+        # Where the pattern takes letters as they come, most chunks are one word; telling so is cheap.
+        before, _, _ = pattern.partition(r" ?\p{L}+|")
+        self.letters = before != pattern and all(p[:1] == "'" for p in before.split("|") if p)
+        self.memory = Memory(self.REMEMBERED, lambda words: encode([w.encode() for w in words]))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [self.split(t) for t in texts]
-        self.memory.learn(set().union(*words), lambda new: self.encode([w.encode() for w in new]))
-        get = self.memory.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        return self.memory.joined([self.split(t) for t in texts])
+
+    def split(self, chunk: str) -> list[str]:
+        if self.letters and (chunk[1:] if chunk[:1] == " " else chunk).isalpha():
+            return [chunk]
+        return self.find(chunk)
 
 
 class ChunkIds:
@@ -81,31 +113,29 @@ class ChunkIds:
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]]):
-        self.encode = encode
-        self.memory = Memory(REMEMBERED)
+        self.memory = Memory(REMEMBERED, lambda keys: encode([k[1:] if k[:1] == " " else " " + k for k in keys]))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        # Lists of chunks come and go by the thousand and hold no cycles; looking for some takes a fifth of the time.
+        collects = gc.isenabled()
+        gc.disable()
+        try:
+            return self._ids(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = []
-        block: list[str] = []
+        block: list[list[str]] = []
         size = 0
         for text in texts:
-            block.append(text)
+            block.append(_keys(text))
             size += len(text)
             if size >= BLOCK_CHARS:
-                out += self._block(block)
+                out += self.memory.joined(block)
                 block, size = [], 0
-        return out + self._block(block)
-
-    def _block(self, texts: list[str]) -> list[bytes]:
-        split = [_keys(t) for t in texts]
-        get = self.memory.known.get
-        found = [list(map(get, s)) for s in split]
-        new = {k for keys, ids in zip(split, found, strict=True) if None in ids for k, i in zip(keys, ids, strict=True) if i is None}
-        if new:
-            self.memory.learn(new, lambda keys: self.encode([k[1:] if k[:1] == " " else " " + k for k in keys]))
-            get = self.memory.known.__getitem__
-            found = [[get(k) if i is None else i for k, i in zip(keys, ids, strict=True)] if None in ids else ids for keys, ids in zip(split, found, strict=True)]
-        return [b"".join(ids) for ids in found]
+        return out + self.memory.joined(block)
 
 
 def as_ids(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -3,8 +3,8 @@
 The ids of a word are found without replaying merges. Every prefix of a word has one last token in its
 encoding: the token that ends there, leaves a prefix that is encoded itself, and is compatible with that
 prefix's last token. An automaton over all tokens reports, for every prefix, the tokens that are its
-suffixes, longest first; the first compatible one is stored, and the ids are read off by following the
-stored tokens back from the end of the word.
+suffixes; the compatible one is stored (the last byte, if no longer token is), and the ids are read off by
+following the stored tokens back from the end of the word.
 
 Two tokens are compatible if merging their joint bytes gives the two of them again, that is, if no merge
 ever joins the right edge of the first to the left edge of the second. Both edges are followed back from
@@ -22,6 +22,7 @@ the output's name is replaced. Repeated rows stay repeated, empty tables give em
 from __future__ import annotations
 
 import json
+from array import array
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -92,11 +93,14 @@ class PrefixEncoder:
         self.ids = {text: i for i, text in tokens.items()}
         if any(bytes([b]) not in self.ids for b in range(256)):
             raise ValueError("the vocabulary lacks a byte")
-        self.pairs: dict[int, bool] = {}
+        self.byte = {chr(b): self.ids[bytes([b])] for b in range(256)}
+        #: For each token, the tokens before it that were tested, and how many tests are remembered.
+        self.tested: list[dict[int, bool]] = [{} for _ in range(n)]
+        self.tests = 0
         self.automaton = ahocorasick.Automaton()
         for i, text in tokens.items():
             # A token that merging its own bytes does not give is never the last token of a prefix.
-            if self.born[i] >= 0 and self.compatible(self.left[i], self.right[i], self.born[i]) or len(text) == 1:
+            if self.born[i] >= 0 and self.compatible(self.left[i], self.right[i], self.born[i]):
                 self.automaton.add_word(text.decode("latin-1"), i)
         self.automaton.make_automaton()
 
@@ -123,41 +127,52 @@ class PrefixEncoder:
         """The ids of each word as little-endian unsigned 32-bit bytes."""
         if not words:
             return []
-        size, pairs = self.size, self.pairs
+        size, byte, tested = self.size, self.byte, self.tested
         joined = _BETWEEN.join([w.decode("latin-1") for w in words])
-        # last[p]: the last token of the prefix that ends before p; -2 where a word starts, -1 where unknown.
+        # last[p]: the last token of the prefix that ends with place p, -2 before a word. Where no token of
+        # the automaton is it, which it reports in order of their ends, -1 stands for the byte itself.
         last = [-1] * (len(joined) + 1)
         starts, at = [], 0
         for word in words:
             starts.append(at)
-            last[at] = -2
+            last[at - 1] = -2  # of the first word, the place behind the last one
             at += len(word) + 1
         for end, token in self.automaton.iter(joined):
-            end += 1
-            if last[end] != -1:
-                continue
-            before = last[end - size[token]]
-            if before == -2:
-                last[end] = token
-            elif before >= 0:
-                key = before << 20 | token
-                fits = pairs.get(key)
+            if last[end] == -1:
+                place = end - size[token]
+                before = last[place]
+                if before == -2:
+                    last[end] = token
+                    continue
+                if before == -1:
+                    before = last[place] = byte[joined[place]]
+                fits = tested[token].get(before)
                 if fits is None:
-                    if len(pairs) >= REMEMBERED_PAIRS:
-                        pairs.clear()
-                    fits = pairs[key] = self.compatible(before, token)
+                    fits = self._test(before, token)
                 if fits:
                     last[end] = token
         out = []
         for word, start in zip(words, starts, strict=True):
-            found, end = [], start + len(word)
-            while end > start:
+            found, end = [], start + len(word) - 1
+            while end >= start:
                 token = last[end]
+                if token < 0:
+                    token = byte[joined[end]]
                 found.append(token)
                 end -= size[token]
-            out.append(np.array(found[::-1], "<u4").tobytes())
+            found.reverse()
+            out.append(array("I", found).tobytes())
         return out
 
+    def _test(self, before: int, token: int) -> bool:
+        if self.tests >= REMEMBERED_PAIRS:
+            self.tests = 0
+            for some in self.tested:
+                some.clear()
+        self.tests += 1
+        self.tested[token][before] = fits = self.compatible(before, token)
+        return fits
+
 
 class TextEncoder:
     """Ids of texts: added tokens first, then each match of the word pattern by itself."""
