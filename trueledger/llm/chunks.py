@@ -9,6 +9,7 @@ more often than texts do, so each distinct chunk of a task is encoded once.
 from __future__ import annotations
 
 import gc
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -20,7 +21,8 @@ REMEMBERED = 500_000
 #: Characters whose chunks are looked up together.
 BLOCK_CHARS = 1_500_000
 
-_RUN = regex.compile(r" (?:\s|$)")
+#: Tells quickly that there is nothing to look out for; it takes more for white space than the pattern does.
+_RUN = re.compile(r" (?:\s|$)")
 _CUT = regex.compile(r" (?=\S)")
 
 
@@ -38,17 +40,15 @@ def chunks(text: str) -> list[str]:
 
 
 class Known(dict):
-    """Ids by text. A text that only ``older`` knows is taken over; one that neither knows is noted."""
+    """Ids by text. A text that only ``older`` knows is taken over; one that neither knows gets a place to be filled."""
 
     def __init__(self, older: dict[str, bytes]):
-        self.older, self.missed, self.misses = older, set(), 0
+        self.older, self.asked = older, {}
 
-    def __missing__(self, text: str) -> bytes:
+    def __missing__(self, text: str) -> bytes | bytearray:
         found = self.older.get(text)
         if found is None:
-            self.missed.add(text)
-            self.misses += 1
-            return b""
+            found = self.asked[text] = bytearray()
         self[text] = found
         return found
 
@@ -63,24 +63,19 @@ class Memory:
 
     def joined(self, texts: list[list[str]]) -> list[bytes]:
         """For each list of texts their ids, one after the other; those not known are encoded together."""
-        out, again, known = [], [], self.known
+        if len(self.known) > self.half:
+            self.known.older = {}
+            self.known = Known(self.known)
+        known = self.known
         get = known.__getitem__
-        for i, some in enumerate(texts):
-            before = known.misses
-            out.append(b"".join(map(get, some)))
-            if known.misses != before:
-                again.append(i)
-        if again:
-            new = list(known.missed)
-            known.missed = set()
-            if len(known) + len(new) > self.half:
-                known.older = {}
-                known = self.known = Known(known)
-                get = known.__getitem__
-            known.update(zip(new, self.encode(new), strict=True))
-            for i in again:
-                out[i] = b"".join(map(get, texts[i]))
-        return out
+        found = [list(map(get, some)) for some in texts]
+        if known.asked:
+            new = list(known.asked)
+            for text, ids in zip(new, self.encode(new), strict=True):
+                known.asked[text][:] = ids
+                known[text] = ids
+            known.asked = {}
+        return [b"".join(ids) for ids in found]
 
 
 class WordIds:
