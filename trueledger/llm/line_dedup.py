@@ -19,10 +19,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trueledger.llm.common import stored, text_key
+from trueledger.llm.common import stored, text_key, unused
 from trueledger.llm.components import components
 
 EDITS = 2
@@ -188,39 +188,50 @@ def _letters_apart(a: Column, b: Column) -> Column:
     return total
 
 
-def links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
-    """``a, b``: ids of lines of ``lines (id, line, size, sig)`` (distinct, settled) within ``edits`` edits.
+def _keyed(sized: DataFrame, edits: int, shortest: int) -> DataFrame:
+    """``h, tag``: what each line is indexed by and looks up; ``tag`` is twice its id, and one more where it is indexed.
 
-    Lines that meet on a segment but differ in too many letters are no pair to begin with, so a group
-    of lines with a common part does not make all its pairs.
+    Looking up a segment in place, for the line's own length, is what the line is indexed by itself.
     """
-    spark = lines.sparkSession
-    sized = lines.where(F.col("size") >= shortest)
     size = F.col("size")
 
     def key(length: Column, number: int, start: Column, count: Column) -> Column:
         return F.xxhash64(length, F.lit(number), F.substring("line", start, count))
 
-    def indexed(number: int) -> Column:
-        return key(size, number, *segment(size, number, edits))
-
-    def probed(gap: int, number: int, shift: int) -> Column:
+    def entry(gap: int, number: int, shift: int) -> Column:
         length = size - gap
         start, count = segment(length, number, edits)
+        if (gap, shift) == (0, 0):
+            return key(size, number, start, count)
         start = start + shift
         fits = (length >= shortest) & (start >= 1) & (start + count - 1 <= size)
         return F.when(fits, key(length, number, start, count))
 
-    index = sized.select("id", "sig", F.explode(F.array(*[indexed(k) for k in range(1, edits + 2)])).alias("h"))
-    probe = sized.select(
-        F.col("id").alias("by"), F.col("sig").alias("by_sig"), F.explode(F.array_compact(F.array(*[probed(*p) for p in probes(edits)]))).alias("h")
-    )
+    places = sorted(probes(edits), key=lambda p: (p[0], p[2]) != (0, 0))  # those it is indexed by first
+    entries = sized.select("id", F.posexplode(F.array(*[entry(*p) for p in places])).alias("at", "h")).where("h IS NOT NULL")
+    return entries.select("h", (F.shiftleft("id", 1) + (F.col("at") <= edits).cast("int")).alias("tag"))
+
+
+def links(lines: DataFrame, edits: int = EDITS, shortest: int = SHORTEST) -> DataFrame:
+    """``a, b``: ids of lines of ``lines (id, line, size)`` (distinct, settled) within ``edits`` edits.
+
+    Most lines share no key with another one; they go no further than one sort by key. The others get
+    a signature, and those that meet on a segment but differ in too many letters are no pair to begin
+    with, so a group of lines with a common part does not make all its pairs.
+    """
+    spark = lines.sparkSession
+    of_key = Window.partitionBy("h")
+    id_of, indexed = F.shiftright("tag", 1), F.col("tag").bitwiseAND(F.lit(1))
+    seen = _keyed(lines.where(F.col("size") >= shortest), edits, shortest).select("h", "tag", F.min(id_of).over(of_key).alias("low"), F.max(id_of).over(of_key).alias("high"), F.max(indexed).over(of_key).alias("held"))
+    live = stored(seen.where("low <> high AND held = 1").select("h", id_of.alias("id"), (indexed == 1).alias("indexed")), "line-live")
+    wanted = stored(live.select("id").distinct(), "line-wanted").where("id >= 0")
+    with _bloom_filters(spark):
+        texts = stored(with_signature(lines.select("id", "line").join(wanted, "id")).select("id", "line", "sig"), "line-texts")
+    signed = live.join(texts.select("id", "sig"), "id")
+    index, probe = signed.where("indexed").drop("indexed"), signed.select("h", F.col("id").alias("by"), F.col("sig").alias("by_sig"))
     near = (F.col("id") != F.col("by")) & (_letters_apart(F.col("sig"), F.col("by_sig")) <= 2 * edits)
     met = index.join(probe, "h").where(near).select(F.least("id", "by").alias("a"), F.greatest("id", "by").alias("b")).distinct()
     pairs = stored(met, "line-pairs")
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-wanted").where("id >= 0")
-    with _bloom_filters(spark):
-        texts = stored(lines.select("id", "line").join(wanted, "id"), "line-texts")
     both = pairs.join(texts.select(F.col("id").alias("a"), F.col("line").alias("line_a")), "a")
     both = both.join(texts.select(F.col("id").alias("b"), F.col("line").alias("line_b")), "b")
     return stored(verified(both.select("a", "b", "line_a", "line_b"), edits).select("a", "b"), "line-links")
@@ -230,7 +241,7 @@ def repeated(df: DataFrame, id_col: str = "doc_id", text: str = "text", edits: i
     """``id, at, first_id, first_at``: every line that repeats an earlier one, and the first of its group."""
     lines = occurrences(df, id_col, text)
     distinct = lines.groupBy("line").agg(F.min("pos").alias("pos"), F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id())
-    distinct = stored(with_signature(distinct), "lines")
+    distinct = stored(distinct.withColumn("size", F.length("line")), "lines")
     groups = stored(components(links(distinct, edits, shortest)), "line-groups")
     members = distinct.select("id", F.col("pos").alias("own")).join(groups.select(F.col("node").alias("id"), "component"), "id")
     firsts = members.groupBy("component").agg(F.min("own").alias("first"))
@@ -262,9 +273,13 @@ def per_document(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text:
 
 def without_repeats(df: DataFrame, found: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``df`` with the repeated lines taken out of ``text``; documents that lose every line go."""
-    gone = found.distinct().groupBy(F.col("id").alias("_gone_id")).agg(F.collect_list("at").alias("_gone"))
-    joined = df.join(gone, F.col(id_col).cast("long").eqNullSafe(F.col("_gone_id")), "left")
-    kept = F.filter(F.split(F.col(text), "\n"), lambda line, at: ~F.array_contains("_gone", at))
-    joined = joined.withColumn("_kept", F.when(F.col("_gone").isNotNull(), kept))
-    stays = F.col("_kept").isNull() | F.exists("_kept", lambda line: line.rlike(r"\S"))
-    return joined.where(stays).withColumn(text, F.when(F.col("_kept").isNotNull(), F.array_join("_kept", "\n")).otherwise(F.col(text))).select(*df.columns)
+    gone_id, gone, left = (unused(df, n) for n in ("gone_id", "gone", "left"))
+    lost = found.distinct().groupBy(F.col("id").alias(gone_id)).agg(F.collect_list("at").alias(gone))
+    joined = df.join(lost, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(gone_id)), "left")
+    lines = F.split(F.col(f"`{text}`"), "\n")
+    # The places that stay, as a difference of sets: time grows with the lines, not with lines times repeats.
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    joined = joined.withColumn(left, F.when(F.col(gone).isNotNull(), _let(lines, lambda whole: F.transform(places, lambda at: F.get(whole, at)))))
+    stays = F.col(left).isNull() | F.exists(left, lambda line: line.rlike(r"\S"))
+    kept = F.when(F.col(left).isNotNull(), F.array_join(left, "\n")).otherwise(F.col(f"`{text}`"))
+    return joined.where(stays).withColumn(text, kept).select(*[F.col(f"`{c}`") for c in df.columns])
