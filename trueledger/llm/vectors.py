@@ -7,9 +7,9 @@ its own, stored, coding error of the true one; so a candidate is dropped only if
 cannot bring it within reach, and the rest are settled by the exact cosine. Every vector is a query,
 and every one is indexed; only centroids and codewords come from a bounded sample.
 
-Defined results: a null vector, one of zeros or with null or non-finite components, or one whose
-length is not the commonest, links with nothing. Equal vectors are one class and linked. Rows with
-null ids take part.
+Defined results: a null vector, one of zeros or with null or non-finite components links with nothing.
+Vectors are compared with those of their length: lengths of few vectors all in one pass, by brute force,
+each other one by an index of its own. Equal vectors are one class and linked. Rows with null ids take part.
 """
 
 from __future__ import annotations
@@ -134,19 +134,48 @@ def _block_links(table: pa.Table, index: Index, threshold: float, reach: float)
 
 def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding", threshold: float = THRESHOLD, probes: int = PROBES, fit_vectors: int = FIT_VECTORS) -> DataFrame:
     """``id, key, n_links, component_id, kept`` for each row of ``df``; see ``components.per_document``."""
-    spark = df.sparkSession
     rows = df.select(F.col(id_col).alias("id"), F.col(vector).alias("vector"), F.size(vector).alias("length"), _valid(F.col(vector)).alias("valid"))
-    commonest = rows.where("valid").groupBy("length").count().orderBy(F.desc("count"), "length").first()
-    length = commonest["length"] if commonest else 0
     key = F.unhex(F.concat(F.lpad(F.hex(F.xxhash64("vector")), 16, "0"), F.lpad(F.hex(F.xxhash64("vector", F.lit(1))), 16, "0")))
-    rows = rows.withColumn("key", F.when(F.col("valid") & (F.col("length") == length), key))
+    rows = rows.withColumn("key", F.when(F.col("valid"), key))
     classes = stored(
         rows.where("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("n"), F.any_value("vector").alias("vector")), "pq-classes"
     )
-    total = classes.count()
-    empty_links = spark.createDataFrame([], "key binary, links long")
-    if total < 2:
-        return per_document(rows.select("id", "key"), classes.select("key", "rep", "n"), empty_links, spark.createDataFrame([], "a binary, b binary"))
+    sized = classes.withColumn("length", F.size("vector"))
+    lengths = sized.groupBy("length").agg(F.count("*").alias("total"))
+    many = lengths.where(F.col("total") > BLOCK).orderBy("length").collect()  # a row for BLOCK vectors at most
+    few = lengths.where(F.col("total") <= BLOCK).select("length")
+    parts = [_compared(sized.join(few, "length"), threshold)]
+    parts += [_searched(classes.where(F.size("vector") == row["length"]), row["total"], threshold, probes, fit_vectors) for row in many]
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return per_document(rows.select("id", "key"), classes.select("key", "rep", "n"), found.select(F.col("a").alias("key"), "links"), found.select("a", "b"))
+
+
+def _forest_rows(keys: pa.Array, counts: np.ndarray, roots: np.ndarray) -> Batches:
+    some = np.flatnonzero((counts > 0) | (roots != np.arange(len(roots))))
+    if len(some):
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys.take(pa.array(some))), pa.array(keys.take(pa.array(roots[some]))), pa.array(counts[some].astype(np.int64))], names=["a", "b", "links"]
+        )
+
+
+def _compared(classes: DataFrame, threshold: float) -> DataFrame:
+    """``a, b, links`` of vectors whose lengths have ``BLOCK`` of them at most: all of a length at once."""
+
+    def run(batches: Batches) -> Batches:
+        for table in groups(batches, "length"):
+            x = _matrix(table.column("vector").combine_chunks())
+            link = x @ x.T >= threshold
+            np.fill_diagonal(link, False)
+            yield from _forest_rows(table.column("key").combine_chunks(), link @ table.column("n").to_numpy(), forest(link))
+
+    dealt = classes.select("length", "key", "n", "vector").repartition("length").sortWithinPartitions("length")
+    return stored(dealt.mapInArrow(run, "a binary, b binary, links long"), "pq-links")
+
+
+def _searched(classes: DataFrame, total: int, threshold: float, probes: int, fit_vectors: int) -> DataFrame:
+    """``a, b, links`` of vectors of one length, by an index over them."""
     sample = classes.orderBy(F.xxhash64("key")).limit(fit_vectors).select("vector").toArrow()
     index = Index(_matrix(sample.column("vector").combine_chunks()), total)
     visited = min(probes, len(index.centres))
@@ -159,7 +188,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedd
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, visited, dtype=np.int32)), pa.array(found.ravel()))
                 yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=["key", "n", "vector", "probes"])
 
-    kind = df.schema[vector].dataType.simpleString()
+    kind = classes.schema["vector"].dataType.simpleString()
     placed = stored(classes.select("key", "n", "vector").mapInArrow(place, f"key binary, n long, vector {kind}, probes array<int>"), "pq-placed")
     placed = placed.withColumn("home", F.col("probes")[0])
     visits = placed.select("key", "n", "vector", "probes", "home", F.explode("probes").alias("list"))
@@ -176,11 +205,6 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedd
     def run(batches: Batches) -> Batches:
         for table in groups(batches, "list", "i", "j"):
             counts, roots, keys = _block_links(table, index, threshold, reach)
-            some = np.flatnonzero((counts > 0) | (roots != np.arange(len(roots))))
-            if len(some):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.take(pa.array(some))), pa.array(keys.take(pa.array(roots[some]))), pa.array(counts[some])], names=["a", "b", "links"]
-                )
+            yield from _forest_rows(keys, counts, roots)
 
-    found = stored(dealt.mapInArrow(run, "a binary, b binary, links long"), "pq-links")
-    return per_document(rows.select("id", "key"), classes.select("key", "rep", "n"), found.select(F.col("a").alias("key"), "links"), found.select("a", "b"))
+    return stored(dealt.mapInArrow(run, "a binary, b binary, links long"), "pq-links")
