@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trueledger.llm.common import Batches, slices, stored, texts_of
+from trueledger.llm.common import Batches, slices, stored, texts_of, unused
 
 ORDER = 5
 #: Cells of the small tables that ``Model`` reads.
@@ -388,13 +388,13 @@ _MODELS: dict[str, Scorer] = {}
 
 
 def score(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic", fit_rows: int = FIT_ROWS, broadcast_runs: int = BROADCAST_RUNS
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", toxic: str = "toxic", fit_rows: int = FIT_ROWS, broadcast_runs: int = BROADCAST_RUNS, out: str = "toxicity"
 ) -> DataFrame:
-    """``docs`` with ``toxicity double``, learnt from the rows of ``labels`` that are not held out.
+    """``docs`` with ``out double``, learnt from the rows of ``labels`` that are not held out.
 
     Class counts come from all of these rows, the shared counts from all documents. The curve is fitted
     on rows of fold 2, with words as they look to counts from fold 0 alone: in documents those counts
-    have not seen. The scores then come from the counts of both folds. A column named ``toxicity`` is
+    have not seen. The scores then come from the counts of both folds. A column of that name is
     replaced.
     """
     spark = docs.sparkSession
@@ -411,7 +411,7 @@ def score(
     curve = F.broadcast(stored(curve, "toxicity-curve"))
     sample = texts.join(curve, "_id").select("_text", "_mark")
     if runs.count() > broadcast_runs:
-        return _scored_by_joins(docs, text, sample, runs)
+        return _scored_by_joins(docs, text, sample, runs, out)
     table = runs.toArrow().sort_by("gram")
     shared = spark.sparkContext.broadcast([table.column(c).to_numpy() for c in ("gram", "whole", "fit")])
     run_key = uuid.uuid4().hex
@@ -435,7 +435,7 @@ def score(
         out = [probability(model(1).features([t or "" for t in column.iloc[at : at + 500]])) for at in range(0, len(column), 500)]
         return pd.Series(np.concatenate(out) if out else np.zeros(0), dtype=float)
 
-    return docs.withColumn("toxicity", scored(F.col(text)))
+    return docs.withColumn(out, scored(F.col(text)))
 
 
 def _fitted(rows: pd.DataFrame) -> Callable[[np.ndarray], np.ndarray]:
@@ -447,18 +447,24 @@ def _fitted(rows: pd.DataFrame) -> Callable[[np.ndarray], np.ndarray]:
     return lambda x: 1 / (1 + np.exp(-np.clip(((x - mean) / spread) @ weights[:-1] + weights[-1], -50, 50)))
 
 
-def _scored_by_joins(docs: DataFrame, text: str, sample: DataFrame, runs: DataFrame) -> DataFrame:
+def _scored_by_joins(docs: DataFrame, text: str, sample: DataFrame, runs: DataFrame, out: str) -> DataFrame:
     nothing = F.array_repeat(F.lit(0.0), FEATURES)
 
     def described(df: DataFrame, ratio: str) -> DataFrame:
-        rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "toxicity-rows")
-        return rows.join(joined_features(rows, runs, ratio), "_row", "left").withColumn("_x", F.coalesce("_x", nothing))
+        """``_row, _x`` of the rows of ``df (_row, _text)``."""
+        return df.select("_row").join(joined_features(df, runs, ratio), "_row", "left").select("_row", F.coalesce("_x", nothing).alias("_x"))
 
-    probability = _fitted(described(sample, "fit").select(F.col("_x").alias("x"), F.col("_mark").alias("y")).toPandas())
+    taught = stored(sample.withColumn("_row", F.monotonically_increasing_id()), "toxicity-rows")
+    fitted = described(taught, "fit").join(taught.select("_row", "_mark"), "_row")
+    probability = _fitted(fitted.select(F.col("_x").alias("x"), F.col("_mark").alias("y")).toPandas())
 
     @F.pandas_udf("double")
     def scored(column: pd.Series) -> pd.Series:
         return pd.Series(probability(np.vstack(column)) if len(column) else np.zeros(0), dtype=float)
 
-    rows = described(docs.drop("toxicity").withColumn("_text", F.col(text)), "whole").withColumn("toxicity", scored("_x"))
-    return rows.select(*(docs.columns if "toxicity" in docs.columns else [*docs.columns, "toxicity"]))
+    row = unused(docs, "row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "toxicity-rows")
+    found = described(rows.select(F.col(row).alias("_row"), F.col(text).alias("_text")), "whole")
+    scores = found.select(F.col("_row").alias(row), scored("_x").alias(unused(docs, "score")))
+    joined = rows.join(scores, row).withColumn(out, F.col(unused(docs, "score")))
+    return joined.select(*docs.columns, *([] if out in docs.columns else [out]))
