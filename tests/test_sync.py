@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import random
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal as D
 
 import pytest
@@ -8,10 +9,11 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from trueledger.operators import cdc, diff, evolve
-from trueledger.sources import generate
-from trueledger.sources.statestore import BucketedState, StateConflict
+from trueledger.plans import monitoring
+from trueledger.sources import files, generate
+from trueledger.sources.change_table import ChangeTable
 from trueledger.streaming import cdc_stream
-from trueledger.streaming.change_counts import change_counts, streamed_change_counts, utc_wall_clock
+from trueledger.streaming.change_counts import CountTable, change_counts, count_stream
 
 CHANGES = "k int, v string, op string, seq bigint, tie bigint"
 KEYS = ["k"]
@@ -46,85 +48,131 @@ def random_changes(spark, n=400, seed=7):
 def test_batching_and_replay_do_not_matter(spark, folder):
     df = random_changes(spark)
     want = rows(cdc.live_rows(cdc.apply_changes(None, df, KEYS)))
-    store = BucketedState(spark, folder, KEYS, buckets=4)
+    table = ChangeTable(spark, folder, KEYS, buckets=4)
     parts = [df.where(F.col("seq") % 3 == i) for i in range(3)]
     for part in [parts[2], parts[0], parts[1], parts[0]]:
-        store.apply(part)
-    assert rows(store.live()) == want
-    fresh = store.compacted(f"{folder}-compact")
-    assert rows(fresh.live()) == want and all(len(f) == 1 for f in fresh.folders().values())
+        table.apply(part)
+    assert rows(table.live()) == want
+    table.fold()
+    assert rows(table.live()) == want and all(len(names) == 1 for names in table.batches().values())
 
 
 def test_only_touched_buckets_are_rewritten(spark, folder):
-    store = BucketedState(spark, folder, KEYS, buckets=16)
-    store.apply(random_changes(spark))
-    before = store.folders()
-    touched = store.apply(changes(spark, (1, "new", "U", 10_000)))
-    after = store.folders()
+    table = ChangeTable(spark, folder, KEYS, buckets=16, fold_after=1)
+    table.apply(random_changes(spark))
+    before = table.batches()
+    touched = table.apply(changes(spark, (1, "new", "U", 10_000)))
+    after = table.batches()
     assert len(touched) == 1 and {b for b in after if after[b] != before[b]} == set(touched)
-    assert store.live().where("k = 1").first().v == "new"
+    assert all(len(names) == 1 for names in after.values())
+    assert table.live().where("k = 1").first().v == "new"
 
 
-def test_a_batch_that_never_published_is_not_seen(spark, folder):
-    store = BucketedState(spark, folder, KEYS, buckets=2)
-    store.apply(changes(spark, (1, "a", "I", 1)))
-    changes(spark, (1, "half", "U", 2)).withColumn("bucket", F.lit(0)).write.partitionBy("bucket").parquet(f"{folder}/data/half")
-    assert rows(store.live()) == [(1, "a")]
-    store.apply(changes(spark, (1, "b", "U", 3)))
-    assert rows(store.live()) == [(1, "b")]
+def test_buckets_of_one_batch_are_read_as_they_are(spark, folder):
+    table = ChangeTable(spark, folder, KEYS, buckets=8)
+    table.apply(random_changes(spark))
+    assert "Exchange" not in table.live()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_that_was_not_finished_is_not_seen(spark, folder):
+    table = ChangeTable(spark, folder, KEYS, buckets=2, fold_after=2)
+    table.apply(changes(spark, (1, "a", "I", 1)))
+    half = changes(spark, (1, "half", "U", 2))
+    name = table._append(half)
+    os.remove(f"{folder}/batch={name}/_SUCCESS")  # as a job leaves it that dies
+    assert rows(table.live()) == [(1, "a")]
+    for seq in range(3, 8):
+        table.apply(changes(spark, (1, f"v{seq}", "U", seq)))
+    assert rows(table.live()) == [(1, "v7")] and os.path.exists(f"{folder}/batch={name}")
+
+
+def test_a_fold_that_dies_leaves_the_same_table(spark, folder, monkeypatch):
+    df = random_changes(spark)
+    want = rows(cdc.live_rows(cdc.apply_changes(None, df, KEYS)))
+    table = ChangeTable(spark, folder, KEYS, buckets=3)
+    for i in range(3):
+        table.apply(df.where(F.col("seq") % 3 == i))
+    removed = []
+    monkeypatch.setattr(files, "remove", lambda spark, path: removed.append(path) if len(removed) < 2 else 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        table.fold()  # the folded batch is there, and so are all that it was made of
+    monkeypatch.undo()
+    assert rows(table.live()) == want
+    table.fold()
+    assert rows(table.live()) == want and all(len(names) == 1 for names in table.batches().values())
 
 
 def test_new_columns_arrive_with_the_changes(spark, folder):
-    store = BucketedState(spark, folder, KEYS, buckets=4)
-    store.apply(changes(spark, *[(k, "old", "I", 1) for k in range(8)]))
+    table = ChangeTable(spark, folder, KEYS, buckets=4)
+    table.apply(changes(spark, *[(k, "old", "I", 1) for k in range(8)]))
     wider = changes(spark, (1, "new", "U", 2)).withColumn("notes", F.lit("n"))
-    store.apply(wider.limit(0))
-    assert "notes" not in store.live().columns  # no data, no schema change
-    store.apply(wider)
-    assert rows(store.live().where("k < 3").select("k", "v", "notes")) == [(0, "old", None), (1, "new", "n"), (2, "old", None)]
-    store.apply(changes(spark, (2, "newer", "U", 3)))
-    assert rows(store.live().where("k IN (1, 2)").select("k", "v", "notes")) == [(1, "new", "n"), (2, "newer", None)]
+    table.apply(wider.limit(0))
+    assert "notes" not in table.live().columns  # no data, no schema change
+    table.apply(wider)
+    assert rows(table.live().where("k < 3").select("k", "v", "notes")) == [(0, "old", None), (1, "new", "n"), (2, "old", None)]
+    table.apply(changes(spark, (2, "newer", "U", 3)))
+    assert rows(table.live().where("k IN (1, 2)").select("k", "v", "notes")) == [(1, "new", "n"), (2, "newer", None)]
     with pytest.raises(evolve.SchemaEvolutionError):
-        store.apply(changes(spark, (1, "x", "U", 9)).withColumn("notes", F.lit(5)))
+        table.apply(changes(spark, (1, "x", "U", 9)).withColumn("notes", F.lit(5)))
+    table.fold()
+    assert rows(table.live().where("k IN (1, 2)").select("k", "v", "notes")) == [(1, "new", "n"), (2, "newer", None)]
 
 
 def test_empty_batch_changes_nothing(spark, folder):
-    store = BucketedState(spark, folder, KEYS)
-    assert store.apply(random_changes(spark).limit(0)) == [] and store.live() is None
-    assert store.compacted(f"{folder}-fresh").live() is None
+    table = ChangeTable(spark, folder, KEYS)
+    assert table.apply(random_changes(spark).limit(0)) == [] and table.live() is None and os.listdir(folder) == []
+    table.fold()
 
 
 def test_null_key_is_a_key_however_often_it_is_replayed(spark, folder):
     batch = changes(spark, (None, "a", "I", 1), (1, "b", "I", 1))
-    store = BucketedState(spark, folder, KEYS, buckets=4)
+    table = ChangeTable(spark, folder, KEYS, buckets=4)
     for _ in range(3):
-        store.apply(batch)
-    assert rows(store.live()) == [(1, "b"), (None, "a")]
+        table.apply(batch)
+    assert rows(table.live()) == [(1, "b"), (None, "a")]
     once = cdc.apply_changes(None, batch, KEYS)
     assert rows(cdc.live_rows(cdc.apply_changes(cdc.apply_changes(once, batch, KEYS), batch, KEYS))) == [(1, "b"), (None, "a")]
 
 
-def test_second_of_two_writers_is_refused(spark, folder):
-    store = BucketedState(spark, folder, KEYS, buckets=2)
-    store.apply(changes(spark, (1, "a", "I", 1)))
-    late = store.current()
-    store.apply(changes(spark, (2, "b", "I", 1)))
-    with pytest.raises(StateConflict):
-        store._publish(late, store.state().schema, late["folders"])
-    assert rows(store.live()) == [(1, "a"), (2, "b")]
-
+def test_two_writers_at_the_same_time(spark, folder):
+    """Neither waits for the other, both fold, and nothing is lost."""
+    df = random_changes(spark, 300)
+    want = rows(cdc.live_rows(cdc.apply_changes(None, df, KEYS)))
 
-def test_a_batch_costs_what_it_holds(spark, folder):
-    store = BucketedState(spark, folder, KEYS, buckets=8, fold_after=3)
-    store.apply(spark.range(5_000).selectExpr("int(id) AS k", "'old' AS v", "'I' AS op", "id * 0 + 1 AS seq", "0L AS tie"))
-    store.apply(spark.range(50).selectExpr("int(id) AS k", "'new' AS v", "'U' AS op", "id * 0 + 2 AS seq", "0L AS tie"))
-    newest = store.current()["folders"][-1]["name"]
-    assert spark.read.parquet(f"{folder}/data/{newest}").count() == 50
-    for seq in range(3, 16):
-        store.apply(changes(spark, (1, f"v{seq}", "U", seq)))
-    assert len(store.current()["folders"]) <= 4 and len(os.listdir(f"{folder}/manifest")) <= 10
-    live = store.live()
-    assert live.count() == 5_000 and live.where("k = 1").first().v == "v15" and live.where("v = 'new'").count() == 49
+    def write(half):
+        table = ChangeTable(spark, folder, KEYS, buckets=2, fold_after=100)
+        for i in range(4):
+            table.apply(df.where((F.col("seq") % 2 == half) & (F.col("seq") % 8 < 2 * i + 2) & (F.col("seq") % 8 >= 2 * i)))
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(write, [0, 1]))
+    table = ChangeTable(spark, folder, KEYS, buckets=2)
+    assert rows(table.live()) == want
+    table.fold()
+    assert rows(table.live()) == want
+
+
+def test_changes_of_equal_order_give_one_result(spark, folder):
+    tied = [spark.createDataFrame([(1, v, "U", 5, 0)], CHANGES) for v in ("x", "y", "z")]
+    found = set()
+    for n, order in enumerate([tied, tied[::-1], [tied[1], tied[0], tied[2], tied[1]]]):
+        table = ChangeTable(spark, f"{folder}/{n}", KEYS, buckets=1)
+        for batch in order:
+            table.apply(batch)
+        found.add(table.live().first().v)
+    assert len(found) == 1
+
+
+def test_a_batch_costs_what_it_holds_and_disk_stays_bounded(spark, folder):
+    table = ChangeTable(spark, folder, KEYS, buckets=4, fold_after=3)
+    table.apply(spark.range(5_000).selectExpr("int(id) AS k", "'old' AS v", "'I' AS op", "id * 0 + 1 AS seq", "0L AS tie"))
+    for seq in range(2, 26):
+        table.apply(changes(spark, (seq % 3, f"v{seq}", "U", seq)))
+        held = table.batches()
+        assert all(len(names) <= 4 for names in held.values())
+        assert set(os.listdir(folder)) == {f"batch={name}" for names in held.values() for name in names}
+    live = table.live()
+    assert live.count() == 5_000 and rows(live.where("v <> 'old'")) == [(0, "v24"), (1, "v25"), (2, "v23")]
 
 
 def test_tombstones_can_be_purged(spark):
@@ -136,13 +184,13 @@ def test_stream_equals_batch_and_survives_a_restart(spark, folder):
     df = random_changes(spark)
     want = rows(cdc.live_rows(cdc.apply_changes(None, df, KEYS)))
     source = f"{folder}/in"
-    store = BucketedState(spark, f"{folder}/state", KEYS, buckets=4)
+    table = ChangeTable(spark, f"{folder}/state", KEYS, buckets=4)
     for i in range(4):
         df.where(F.col("seq") % 4 == i).coalesce(1).write.mode("append").parquet(source)
         if i % 2:
             stream = cdc_stream.change_stream(spark, source, df.schema, max_files=1)
-            cdc_stream.apply_stream(stream, store, f"{folder}/checkpoint").awaitTermination()
-    assert rows(store.live()) == want
+            cdc_stream.apply_stream(stream, table, f"{folder}/checkpoint").awaitTermination()
+    assert rows(table.live()) == want
 
 
 def timed_events(spark, n=2000):
@@ -152,26 +200,41 @@ def timed_events(spark, n=2000):
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
-def test_streamed_counts_equal_batch_counts(spark, folder, zone):
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_streamed_counts_equal_batch_counts(spark, folder, zone, kind):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        compare_streamed_counts(spark, folder)
+        compare_streamed_counts(spark, folder, kind)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def compare_streamed_counts(spark, folder):
-    df = timed_events(spark)
-    want = rows(change_counts(df, "1 day").select("interval_start", "op", "change_count"))
-    for i in range(4):
-        df.where((F.col("tie") >= i * 500) & (F.col("tie") < (i + 1) * 500)).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = streamed_change_counts(cdc_stream.change_stream(spark, f"{folder}/in", df.schema), "1 day", "1 hour")
-    query = cdc_stream.append_updates(stream, f"{folder}/out", f"{folder}/checkpoint")
-    query.awaitTermination()
-    dropped = sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
-    latest = cdc_stream.latest_updates(spark, f"{folder}/out", ["interval_start", "op"], "change_count")
-    got = rows(latest.select(utc_wall_clock("interval_start"), "op", "change_count"))
-    assert dropped == 0 and got == want
+def compare_streamed_counts(spark, folder, kind):
+    """Files days out of order, counted over a restart and over folds: nothing is lost, the late ones are known."""
+    df = timed_events(spark, 2_400).withColumn("seq", F.col("seq").cast(kind))
+    df = df.unionByName(df.limit(5).withColumn("seq", F.lit(None).cast(kind)))
+    want = rows(change_counts(df, "1 day"))
+    table = CountTable(spark, f"{folder}/counts", "1 day", "1 hour", fold_after=2)
+    order = [1, 0, 5, 3, 4, 2]
+    for half in (order[:3], order[3:]):
+        for i in half:
+            part = F.coalesce(F.floor(F.col("tie") / 400) == i, F.lit(False)) & F.col("seq").isNotNull()
+            df.where(part if i else part | F.col("seq").isNull()).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        count_stream(cdc_stream.change_stream(spark, f"{folder}/in", df.schema, max_files=1), table, f"{folder}/checkpoint").awaitTermination()
+    found = table.counts(kind)
+    assert rows(found.drop("late_count")) == want
+    # All of parts 0, 3, 4 and 2: 400 changes of 3 minutes are 20 hours, more than the hour allowed.
+    assert found.agg(F.sum("late_count")).first()[0] == 4 * 400
+    assert len(os.listdir(f"{folder}/counts/batches")) <= 2 * 4  # folders, and their checksums where there are some
+
+
+def test_a_replayed_count_replaces_itself(spark, folder):
+    df = timed_events(spark, 600)
+    table = CountTable(spark, folder, "1 day", fold_after=1)
+    parts = [df.where(f"tie % 4 = {i}") for i in range(4)]
+    for number in (0, 1, 1, 2, 2, 3, 3, 3):
+        table.add(parts[number], number)
+    assert rows(table.counts().drop("late_count")) == rows(change_counts(df, "1 day"))
 
 
 def test_insert_then_update_batch(spark):
@@ -324,3 +387,46 @@ def test_tolerance_holds_for_repeated_keys_and_small_values(spark):
     assert rows(diff.key_differences(left, right, ["k"], tolerance={"v": "0.25"})) == []
     assert [r[0] for r in rows(diff.key_differences(left, right, ["k"], tolerance={"v": "0.0000001"}))] == [1, 2]
     assert [r[0] for r in rows(diff.key_differences(left, right, ["k"], tolerance={"v": "0.0000004"}))] == [1]
+
+
+def test_tolerance_pairs_the_rows_of_a_repeated_key(spark):
+    kind = "k int, s string, a decimal(18,2), b decimal(18,2)"
+
+    def found(left, right, **tolerance):
+        sides = [spark.createDataFrame([(k, s, None if a is None else D(str(a)), None if b is None else D(str(b))) for k, s, a, b in side], kind) for side in (left, right)]
+        return rows(diff.key_differences(*sides, ["k"], tolerance=tolerance or {"a": "0.25", "b": "0.25"}))
+
+    row = lambda *values, k=1: [(k, "x", v, 0) for v in values]
+    assert found(row(0, 5, 10), row(0, 1, 10)) == [(1, 3, 3, "DUPLICATE")]  # a value between the ends
+    assert found(row(0, 5, 10), row(10, "5.2", "0.1")) == []
+    assert found(row(0, None, 10), row(0, 10, None)) == [] and len(found(row(0, None, 10, 5), row(0, 10, None, 6))) == 1
+    # The values of two columns swapped between two rows of a key, and rows swapped whole.
+    assert found([(1, "x", 1, 10), (1, "x", 5, 20)], [(1, "x", 1, 20), (1, "x", 5, 10)]) == [(1, 2, 2, "DUPLICATE")]
+    assert found([(1, "x", 1, 10), (1, "x", 5, 20)], [(1, "x", 5, 20), (1, "x", "1.1", 10)]) == []
+    # Tolerant values belong to the rows with the same other columns.
+    assert found([(1, "x", 1, 0), (1, "y", 5, 0)], [(1, "x", 5, 0), (1, "y", 1, 0)]) == [(1, 2, 2, "DUPLICATE")]
+    assert found([(None, "x", 1, 0), (None, "x", 2, 0), (None, "x", 9, 0)], [(None, "x", 1, 0), (None, "x", 3, 0), (None, "x", 9, 0)]) == [(None, 3, 3, "DUPLICATE")]
+    many = [(7, "x", i % 50, i % 3) for i in range(600)]
+    assert found(many, [(k, s, a + 0.2, b) for k, s, a, b in many]) == []
+    assert found(many, [(k, s, a + (0.3 if a == 20 else 0), b) for k, s, a, b in many]) == [(7, 600, 600, "DUPLICATE")]
+    # Without a tolerance nothing changes.
+    assert diff.key_differences(*[spark.createDataFrame([(1, "x", D(1), D(v)), (1, "x", D(2), D(v))], kind) for v in (1, 2)], ["k"]).count() == 1
+
+
+def test_a_stream_logs_its_runs(spark, folder):
+    df = random_changes(spark)
+    df.coalesce(1).write.parquet(f"{folder}/in")
+    table = ChangeTable(spark, f"{folder}/state", KEYS, buckets=2)
+    stream = cdc_stream.change_stream(spark, f"{folder}/in", df.schema)
+    cdc_stream.apply_stream(stream, table, f"{folder}/checkpoint", log=f"{folder}/log", name="accounts").awaitTermination()
+    (run,) = spark.read.parquet(f"{folder}/log").collect()
+    assert (run.run_id, run.table_name, run.rows_synced, run.error) == (0, "accounts", 400, None) and run.sync_start <= run.sync_end
+    status = monitoring.sync_status(spark.read.parquet(f"{folder}/log")).first()
+    assert status.last_rows == 400 and status.failed_syncs == 0
+    df.withColumn("v", F.lit(1)).write.mode("append").parquet(f"{folder}/typed")  # the same column with another type
+    other = cdc_stream.change_stream(spark, f"{folder}/typed", df.withColumn("v", F.lit(1)).schema)
+    with pytest.raises(Exception, match="cannot become"):
+        cdc_stream.apply_stream(other, table, f"{folder}/checkpoint2", log=f"{folder}/log", name="accounts").awaitTermination()
+    outcomes = monitoring.sync_outcomes(spark.read.parquet(f"{folder}/log"))
+    assert rows(outcomes.select("failed")) == [(False,), (True,)]
+    assert monitoring.open_alerts(monitoring.alert_states(spark, outcomes)).count() == 1
