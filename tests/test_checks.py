@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trueledger.functions import ratio, safe_percent, status_below, status_exact, variance_band
 from trueledger.operators import business, integrity, schema_checks, statistical, structural
-from trueledger.plans import suite
+from trueledger.plans import monitoring, suite
 from trueledger.sources import generate
 
 
@@ -228,8 +228,77 @@ def test_suite_reports_what_was_broken(spark):
     assert drilled.count() == fin["invoices"].where("vendor_id = 7").count() > 0
 
 
-def test_timed_suite_logs_results_and_times(spark, folder):
+def test_logged_suite_feeds_the_monitoring(spark, folder):
+    """A copy that is broken, then mended: the log has seconds per check, and the alert is raised and cleared."""
     fin = generate.generate(spark, SMALL)
-    results = suite.run_timed(spark, fin, fin, folder, "r1")
-    assert results.count() == suite.run_suite(spark, fin, fin).count()
-    assert spark.read.parquet(f"{folder}/times").where("seconds > 0").count() == 5
+    broken = {**fin, "vendors": fin["vendors"].where("vendor_id <= 15")}
+    days = [dt.datetime(2024, 5, d, 12) for d in (1, 2, 3)]
+    runs = [suite.run_logged(spark, fin, copy, folder, f"r{i}", day) for i, (copy, day) in enumerate(zip([fin, broken, fin], days, strict=True))]
+    whole = suite.run_suite(spark, fin, broken)
+    assert rows(runs[1].select(*suite.RESULT)) == rows(whole)
+    log = spark.read.parquet(folder)
+    assert log.count() == 3 * whole.count() and log.where("seconds IS NULL OR seconds <= 0").count() == 0
+    states = monitoring.alert_states(spark, monitoring.check_outcomes(log))
+    failed = {r.check_id for r in whole.where("status = 'REVIEW'").collect()}
+    assert "V-11" in failed and failed == {r.entity for r in states.collect()}
+    assert {(r.raised_at, r.cleared_at, r.failures) for r in states.collect()} == {(days[1], days[2], 1)}
+    assert monitoring.open_alerts(states).count() == 0
+    only = log.where("run_id <> 'r2'")
+    assert {r.entity for r in monitoring.open_alerts(monitoring.alert_states(spark, monitoring.check_outcomes(only))).collect()} == failed
+    trend = monitoring.pass_rate_trend(log.where("check_id = 'V-11'")).orderBy("run_date").collect()
+    assert [(r.runs, r.failures) for r in trend] == [(4, 0), (4, 1), (4, 0)]
+
+
+def test_a_check_that_cannot_run_is_logged(spark, folder):
+    fin = generate.generate(spark, SMALL)
+    fails = fin["vendors"].withColumn("payment_terms", F.raise_error(F.lit("gone")).cast("string"))
+    found = suite.run_logged(spark, fin, {**fin, "vendors": fails}, folder, "r", dt.datetime(2024, 5, 1))
+    crashed = {r.check_id for r in found.where("metric = 'ran'").collect()}
+    assert "V-22" in crashed and "V-01" not in crashed
+    assert found.where("metric = 'ran' AND status = 'REVIEW' AND detail LIKE '%gone%'").count() == len(crashed)
+
+
+def test_alert_states(spark):
+    day = lambda d: dt.datetime(2024, 1, d)
+    data = [("t", d, str(d), f) for d, f in enumerate([False, True, True, False, False, True, False, True], 1)]
+    data += [("u", 1, "a", False), ("u", 2, "b", False), ("v", 3, "a", True), ("v", 3, "b", False), ("v", 4, "a", True)]
+    log = values(spark, "entity string, d int, run_id string, failed boolean", *data)
+    outcomes = log.select(F.lit("sync_failed").alias("metric"), "entity", F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(d - 1)").alias("at"), "run_id", "failed")
+    states = monitoring.alert_states(spark, outcomes.repartition(3))
+    assert rows(states.drop("severity", "metric")) == sorted(
+        [
+            ("t", day(2), day(3), 2, day(4)),
+            ("t", day(6), day(6), 1, day(7)),
+            ("t", day(8), day(8), 1, None),
+            ("v", day(3), day(3), 1, day(3)),
+            ("v", day(4), day(4), 1, None),
+        ],
+        key=repr,
+    )
+    assert {r.severity for r in states.collect()} == {"Critical"}
+    assert monitoring.open_alerts(states).count() == 2
+
+
+def test_metrics_of_a_window(spark):
+    log = values(spark, "table_name string, run_id long, sync_start timestamp_ntz, error string", ("a", 1, dt.datetime(2024, 1, 1), "x"), ("a", 2, dt.datetime(2024, 2, 1), None))
+    checks = values(spark, "category string, status string, run_ts timestamp_ntz", ("c", "REVIEW", dt.datetime(2024, 1, 1)), ("c", "PASS", dt.datetime(2024, 2, 1)))
+    metering = values(spark, "warehouse_name string, start_time timestamp_ntz, credits_used decimal(18,2)", ("w", dt.datetime(2024, 2, 1), D("1")))
+    found = lambda since: {r.metric for r in monitoring.alerts(spark, monitoring.metrics(log, checks, metering, "100", since=since)).collect()}
+    assert found(None) == {"sync_failed", "check_failed"} and found(dt.datetime(2024, 1, 2)) == set()
+
+
+@pytest.mark.parametrize("kind", ["bigint", "decimal(18,2)", "decimal(38,4)", "double"])
+def test_percentile_of_a_heavy_tail(spark, kind):
+    """One value a million times the rest, many ties, a hot group: the values put in order stay few, the result exact."""
+    n = 60_000
+    base = spark.range(n).select(F.when(F.col("id") % 10 == 0, "small").otherwise("hot").alias("k"), F.pmod(F.xxhash64("id"), F.lit(10**6)).alias("x"))
+    df = base.select("k", F.when(F.col("x") % 7 == 0, 5).when(F.col("x") == F.lit(1), F.lit(10**12)).otherwise(F.col("x")).cast(kind).alias("v"))
+    df = df.unionByName(spark.createDataFrame([("hot", 10**15), ("hot", None), ("one", 3)], "k string, v bigint").withColumn("v", F.col("v").cast(kind)))
+    for p in ("0.05", "0.50", "0.95", "0.99", "1.00"):
+        found = dict(rows(statistical.discrete_percentile(df, ["k"], "v", p, "q")))
+        for k in ("small", "hot", "one"):
+            every = sorted(r.v for r in df.where((F.col("k") == k) & F.col("v").isNotNull()).collect())
+            assert found[k] == every[-(-len(every) * int(float(p) * 100) // 100) - 1], (k, p)
+        bracket = statistical.percentile_bracket(df, ["k"], "v", p)
+        inside = df.join(bracket, "k").where("CAST(v AS DOUBLE) >= _lo AND CAST(v AS DOUBLE) <= _hi").groupBy("k").agg(F.count_distinct("v").alias("n"))
+        assert all(r.n <= 2 * 4 * n / statistical.SKETCH_ACCURACY + 2 for r in inside.collect())

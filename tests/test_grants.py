@@ -10,23 +10,23 @@ from trueledger.operators import security
 from trueledger.plans import jobs
 from trueledger.sources import exports
 
-DB = "ENTERPRISE_FINANCE"
+DB = "LEDGER_TEST"
 ALL = ["GL_TRANSACTIONS", "INVOICES", "BUDGET_ACTUAL", "VENDORS", "COST_CENTERS", "CHART_OF_ACCOUNTS"]
 
 
 def on_tables(role, privileges, names):
-    return [(role, p, "TABLE", f"{DB}.FINANCE_DW.{t}") for t in names for p in privileges]
+    return [(role, p, "TABLE", f"{DB}.MAIN.{t}") for t in names for p in privileges]
 
 
 def usage(role):
-    return [(role, "USAGE", "DATABASE", DB), (role, "USAGE", "SCHEMA", f"{DB}.FINANCE_DW"), (role, "USAGE", "WAREHOUSE", "COMPUTE_WH")]
+    return [(role, "USAGE", "DATABASE", DB), (role, "USAGE", "SCHEMA", f"{DB}.MAIN"), (role, "USAGE", "WAREHOUSE", "COMPUTE_WH")]
 
 
 # 64 grants in the published counts per role: 30, 9, 11, 9 and 5.
 FIXTURE = (
     on_tables("FINANCE_ADMIN", ["SELECT", "INSERT", "UPDATE", "DELETE"], ALL)
     + usage("FINANCE_ADMIN")
-    + [("FINANCE_ADMIN", p, "SCHEMA", f"{DB}.FINANCE_DW") for p in ("CREATE TABLE", "CREATE VIEW", "MONITOR")]
+    + [("FINANCE_ADMIN", p, "SCHEMA", f"{DB}.MAIN") for p in ("CREATE TABLE", "CREATE VIEW", "MONITOR")]
     + on_tables("FINANCE_ANALYST", ["SELECT"], ALL[:5])
     + usage("FINANCE_ANALYST")
     + [("FINANCE_ANALYST", "MONITOR", "WAREHOUSE", "COMPUTE_WH")]

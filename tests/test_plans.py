@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from trueledger import registry
 from trueledger.operators import cdc
-from trueledger.plans import analytics
+from trueledger.plans import analytics, suite
 from trueledger.sources import generate
 from trueledger.sources import testviews as V
 
@@ -117,3 +117,18 @@ def test_a_hot_account_is_split(spark, monkeypatch):
             spark.conf.unset(key)
     assert "skew=true" in final
     assert sum(r.transaction_count for r in total) == 200_000
+
+
+def test_the_suite_reads_the_copied_ledger_twice_besides_duplicates(spark, folder):
+    """Once for all counts and sums, once for both references; keys are looked up in their own pass."""
+    made = generate.generate(spark, {**generate.FULL_SIZE, "gl_transactions": 2_000, "invoices": 500, "budget_actual": 100})
+    source, target = ({n: stored_as(spark, df, f"{folder}/{side}/{n}") for n, df in made.items()} for side in ("source", "target"))
+    ledger_scans = lambda df: sum("Relation [transaction_id" in line for line in df._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert ledger_scans(suite.reference_results(target)[0]) == 1
+    # One of the source; of the copy one for all measures, one for its references and one for duplicates.
+    assert ledger_scans(suite.run_suite(spark, source, target)) == 4
+
+
+def stored_as(spark, df, path):
+    df.write.parquet(path)
+    return spark.read.parquet(path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,15 +77,19 @@ def key_differences(
 
     A key counts as DUPLICATE when either side holds it more than once and the sides differ. Columns
     with a ``tolerance`` stay out of the hash: their least and greatest value per side go through the
-    same aggregate, and values within the tolerance of each other do not differ.
+    same aggregate, and values within the tolerance of each other do not differ. That settles keys held
+    once per side; rows of other keys are paired one by one (see ``_unpaired``) where their ends agree but
+    their exact values do not.
     """
     columns = columns or shared_columns(source, target, keys)
     loose = [c for c in columns if c in (tolerance or {}) and isinstance(source.schema[c].dataType, T.NumericType)]
     strict = [c for c in columns if c not in loose]
 
     def hashed(df: DataFrame, other: DataFrame) -> DataFrame:
-        return df.select(*keys, row_hash(df.schema, strict, other.schema).alias("_h"), *loose)
+        exact = [row_hash(df.schema, columns, other.schema).alias("_f")] if loose else []
+        return df.select(*keys, row_hash(df.schema, strict, other.schema).alias("_h"), *exact, *loose)
 
+    rows = both_sides(hashed(source, target), hashed(target, source), [*keys, "_h", *(["_f"] if loose else []), *loose])
     mine, theirs = F.col("is_source"), ~F.col("is_source")
     ends = [
         end(F.when(side, F.col(c))).alias(f"_{p}_{c}")
@@ -93,12 +97,14 @@ def key_differences(
         for p, side, end in (("slo", mine, F.min), ("shi", mine, F.max), ("tlo", theirs, F.min), ("thi", theirs, F.max))
     ]
     nulls = [F.count_if(side & F.col(c).isNull()).alias(f"_{p}n_{c}") for c in loose for p, side in (("s", mine), ("t", theirs))]
-    source_h, target_h = F.when(mine, F.col("_h")), F.when(theirs, F.col("_h"))
-    per_key = both_sides(hashed(source, target), hashed(target, source), [*keys, "_h", *loose]).groupBy(*keys).agg(
-        F.count(source_h).alias("source_rows"),
-        F.count(target_h).alias("target_rows"),
-        F.struct(*[F.coalesce(c, F.lit(0)) for c in _hash_sums(source_h)]).alias("_s"),
-        F.struct(*[F.coalesce(c, F.lit(0)) for c in _hash_sums(target_h)]).alias("_t"),
+    sums = lambda h, side: F.struct(*[F.coalesce(c, F.lit(0)) for c in _hash_sums(F.when(side, F.col(h)))])
+    exact = [sums("_f", mine).alias("_sf"), sums("_f", theirs).alias("_tf")] if loose else []
+    per_key = rows.groupBy(*keys).agg(
+        F.count(F.when(mine, F.col("_h"))).alias("source_rows"),
+        F.count(F.when(theirs, F.col("_h"))).alias("target_rows"),
+        sums("_h", mine).alias("_s"),
+        sums("_h", theirs).alias("_t"),
+        *exact,
         *ends,
         *nulls,
     )
@@ -113,7 +119,32 @@ def key_differences(
         for end in ("lo", "hi"):
             differs |= _differs(F.col(f"_s{end}_{c}"), F.col(f"_t{end}_{c}"), source.schema[c].dataType, tolerance[c])
         differs |= F.col(f"_sn_{c}") != F.col(f"_tn_{c}")
-    return per_key.where(differs).select(*keys, "source_rows", "target_rows", kind.alias("difference"))
+    result = [*keys, "source_rows", "target_rows", kind.alias("difference")]
+    if not loose:
+        return per_key.where(differs).select(*result)
+    # Few rows: what differs, and repeated keys whose values are not the very same on both sides.
+    unsure = (F.col("source_rows") > 1) & (F.col("_sf") != F.col("_tf"))
+    found = settled(per_key.where(differs | unsure).select(*result, differs.alias("_differs")), "differing-or-unsure-keys")
+    repeated = _renamed(found.where("NOT _differs"), keys, [], "r_")
+    kinds = {c: (source.schema[c].dataType, tolerance[c]) for c in loose}
+    unpaired = _renamed(_unpaired(rows.join(repeated, _same_keys(keys, "r_"), "left_semi"), keys, kinds), keys, [], "u_")
+    missed = found.where("NOT _differs").join(unpaired, _same_keys(keys, "u_"), "left_semi")
+    return found.where("_differs").unionByName(missed).drop("_differs")
+
+
+def _unpaired(rows: DataFrame, keys: list[str], tolerant: dict[str, tuple[T.DataType, str]]) -> DataFrame:
+    """Keys whose rows cannot be paired, in order of their tolerant values, within the tolerances.
+
+    Both sides have as many rows of each hash. For one column the order gives a pairing wherever there
+    is one. With several, rows whose first values are within the tolerance of each other but not equal may
+    be paired the wrong way: then a key is reported that could be paired otherwise, never the reverse.
+    """
+    order = Window.partitionBy(*keys, "_h", "is_source").orderBy(*tolerant)
+    placed = rows.withColumn("_place", F.row_number().over(order))
+    value = lambda c, side: F.max(F.when(F.col("is_source") == side, F.col(c)))
+    pairs = placed.groupBy(*keys, "_h", "_place").agg(*[value(c, side).alias(f"_{p}_{c}") for c in tolerant for p, side in (("s", True), ("t", False))])
+    apart = reduce(lambda a, b: a | b, [_differs(F.col(f"_s_{c}"), F.col(f"_t_{c}"), *kind) for c, kind in tolerant.items()])
+    return pairs.where(apart).select(*keys).distinct()
 
 
 def cell_differences(

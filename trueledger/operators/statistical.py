@@ -128,23 +128,37 @@ def _with(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(right, same).drop(*[f"_k_{k}" for k in keys])
 
 
-def discrete_percentile(df: DataFrame, keys: list[str], value: str, p: str, name: str, ranges: int = 1000) -> DataFrame:
+#: Relative error of the quantile sketch is one part in this many.
+SKETCH_ACCURACY = 10_000
+
+
+def percentile_bracket(df: DataFrame, keys: list[str], value: str, p: str, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """``keys, _rows, _lo, _hi``: per group two doubles that the percentile lies between, from a mergeable sketch.
+
+    About four parts in ``accuracy`` of a group's rows lie between them, whatever the values look like.
+    """
+    margin = 2 / accuracy
+    ends = F.percentile_approx(F.col(value).cast("double"), F.array(F.lit(max(float(p) - margin, 0.0)), F.lit(min(float(p) + margin, 1.0))), F.lit(accuracy))
+    sketch = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), ends.alias("_ends"))
+    return sketch.select(*keys, "_rows", F.col("_ends")[0].alias("_lo"), F.col("_ends")[1].alias("_hi"))
+
+
+def discrete_percentile(df: DataFrame, keys: list[str], value: str, p: str, name: str, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """Exact percentile per group: the smallest value that at least ``p`` of the rows do not exceed.
 
-    Two steps, so that no task sees a group's distinct values together: rows are counted by ``ranges``
-    equal parts of their group's range, which gives the part that holds the rank; only the values in
-    that part are put in order.
+    Two steps, so that no task sees a group's distinct values together: a sketch brackets the percentile;
+    rows below the bracket are only counted, and of those inside distinct values are put in order. Doubles
+    keep the order of the values, so the bracket holds for values that they cannot hold exactly.
     """
     rows = df.where(F.col(value).isNotNull()).select(*keys, value)
-    groups = rows.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("_rows"))
-    share = (F.col(value) - F.col("_lo")).cast("double") / F.nullif((F.col("_hi") - F.col("_lo")).cast("double"), F.lit(0.0))
-    part = F.coalesce(F.floor(share * ranges), F.lit(0)).alias("_part")
-    counts = _with(rows, groups.drop("_rows"), keys).groupBy(*keys, part, value).agg(F.count(F.lit(1)).alias("_n"))
+    near = F.col(value).cast("double")
+    held = _with(rows, percentile_bracket(df, keys, value, p, accuracy), keys).where(near <= F.col("_hi"))
+    # One row for all that is below the bracket, and one for each value inside it.
+    inside = F.when(near >= F.col("_lo"), F.col(value)).alias(value)
+    counts = held.groupBy(*keys, inside, "_rows").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*keys).orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rank = F.col("_rows") * F.lit(p).cast("decimal(6,4)")
-    upto = lambda order: Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = counts.groupBy(*keys, "_part").agg(F.sum("_n").alias("_held"))  # at most ``ranges`` + 1 rows per group
-    reached = _with(parts.withColumn("_upto", F.sum("_held").over(upto("_part"))), groups.select(*keys, "_rows"), keys)
-    holding = reached.where((F.col("_upto").cast("decimal(20,0)") >= rank) & ((F.col("_upto") - F.col("_held")).cast("decimal(20,0)") < rank))
-    holding = holding.select(*keys, "_part", (F.col("_upto") - F.col("_held")).alias("_below"), "_rows")
-    inside = _with(counts, holding, [*keys, "_part"]).withColumn("_at", F.col("_below") + F.sum("_n").over(upto(value)))
-    return inside.where(F.col("_at").cast("decimal(20,0)") >= rank).groupBy(*keys).agg(F.min(value).alias(name))
+    reached = F.when(F.sum("_n").over(upto).cast("decimal(20,0)") >= rank, F.struct(F.col(value).alias("v")))
+    first = counts.withColumn("_reached", reached).groupBy(*keys).agg(F.min("_reached").alias("_first"))
+    outside = F.raise_error(F.lit("the sketch did not bracket the percentile"))
+    return first.select(*keys, F.when(F.col("_first.v").isNull(), outside.cast(df.schema[value].dataType)).otherwise(F.col("_first.v")).alias(name))

@@ -103,8 +103,11 @@ def capacity_use(metering: DataFrame, target_hours: int = 200) -> DataFrame:
     )
 
 
-def metrics(sync_log: DataFrame, check_log: DataFrame, metering: DataFrame, daily_capacity: str, rate: str = "2") -> DataFrame:
-    """The current values alert rules look at: ``entity, metric, value``."""
+def metrics(sync_log: DataFrame, check_log: DataFrame, metering: DataFrame, daily_capacity: str, rate: str = "2", since: dt.datetime | None = None) -> DataFrame:
+    """The values alert rules look at, of everything in the logs or ``since`` a time: ``entity, metric, value``."""
+    if since is not None:
+        from_ = F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz")
+        sync_log, check_log, metering = (log.where(F.col(c) >= from_) for log, c in ((sync_log, "sync_start"), (check_log, "run_ts"), (metering, "start_time")))
     rows = lambda df, entity, metric, value: df.select(
         F.col(entity).alias("entity"), F.lit(metric).alias("metric"), value.cast(METRIC).alias("value")
     )
@@ -125,11 +128,50 @@ def metrics(sync_log: DataFrame, check_log: DataFrame, metering: DataFrame, dail
     )
 
 
+def _rules(spark: SparkSession, rules: list[tuple[str, str, str]] | None) -> DataFrame:
+    limits = spark.createDataFrame(rules or ALERT_RULES, "metric string, threshold string, severity string")
+    return limits.withColumn("threshold", F.col("threshold").cast(METRIC))
+
+
 def alerts(spark: SparkSession, measured: DataFrame, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """Metrics above their rule's threshold."""
-    limits = spark.createDataFrame(rules or ALERT_RULES, "metric string, threshold string, severity string").withColumn(
-        "threshold", F.col("threshold").cast(METRIC)
-    )
-    return measured.join(limits, "metric").where(F.col("value") > F.col("threshold")).select(
+    return measured.join(_rules(spark, rules), "metric").where(F.col("value") > F.col("threshold")).select(
         "severity", "metric", "entity", "value", "threshold"
     )
+
+
+def sync_outcomes(log: DataFrame) -> DataFrame:
+    """The sync log as outcomes: ``metric, entity, at, run_id, failed``."""
+    return log.select(
+        F.lit("sync_failed").alias("metric"), F.col("table_name").alias("entity"), F.col("sync_start").alias("at"),
+        F.col("run_id").cast("string").alias("run_id"), F.col("error").isNotNull().alias("failed"),
+    )
+
+
+def check_outcomes(log: DataFrame) -> DataFrame:
+    """The check log as outcomes. Of a run with several rows for a check, one to be reviewed fails it."""
+    runs = log.groupBy("check_id", "run_ts", "run_id").agg(F.coalesce(F.max(F.col("status") == REVIEW), F.lit(False)).alias("failed"))
+    return runs.select(F.lit("check_failed").alias("metric"), F.col("check_id").alias("entity"), F.col("run_ts").alias("at"), F.col("run_id").cast("string").alias("run_id"), "failed")
+
+
+def alert_states(spark: SparkSession, outcomes: DataFrame, rules: list[tuple[str, str, str]] | None = None) -> DataFrame:
+    """When each alert was raised and cleared: ``severity, metric, entity, raised_at, last_failed_at, failures, cleared_at``.
+
+    The first failure after a success raises an alert, the next success clears it; ``cleared_at`` is
+    NULL while it is open. Outcomes of one entity at the same time are taken in order of their run.
+    """
+    order = Window.partitionBy("metric", "entity").orderBy("at", "run_id")
+    raises = F.col("failed") & ~F.lag("failed", 1, False).over(order)
+    spans = outcomes.withColumn("_raises", raises).withColumn("_span", F.sum(F.col("_raises").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    states = spans.where("_span > 0").groupBy("metric", "entity", "_span").agg(
+        F.min(F.when(F.col("failed"), F.col("at"))).alias("raised_at"),
+        F.max(F.when(F.col("failed"), F.col("at"))).alias("last_failed_at"),
+        F.count_if("failed").alias("failures"),
+        F.min(F.when(~F.col("failed"), F.col("at"))).alias("cleared_at"),
+    )
+    return states.join(_rules(spark, rules), "metric").select("severity", "metric", "entity", "raised_at", "last_failed_at", "failures", "cleared_at")
+
+
+def open_alerts(states: DataFrame) -> DataFrame:
+    """The alerts that nothing has cleared yet."""
+    return states.where(F.col("cleared_at").isNull()).drop("cleared_at")

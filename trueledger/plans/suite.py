@@ -1,11 +1,12 @@
 """The whole validation suite as one relation.
 
-All counts, sums, NULL counts and date ends of a table come from a single aggregate per side; only
-references, duplicates and distributions need jobs of their own.
+All counts, sums, NULL counts and date ends of a table come from a single aggregate per side. References
+are one more scan per child table; only duplicates and distributions need jobs of their own.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from dataclasses import dataclass
 
@@ -13,10 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trueledger.functions.finance import PASS, PASS_MINOR, REVIEW
+from trueledger.functions.finance import PASS, PASS_MINOR, REVIEW, status_below
 from trueledger.operators import business, integrity, schema_checks, statistical
 from trueledger.operators.structural import COUNT_TOLERANCE
-from trueledger.schemas import FOREIGN_KEYS, PRIMARY_KEYS, REQUIRED_COLUMNS
+from trueledger.schemas import CHECK_RESULT, FOREIGN_KEYS, PRIMARY_KEYS, REQUIRED_COLUMNS
+from trueledger.session import settled
+from trueledger.sources import exports
+from trueledger.sources.snapshots import FAILURES, reason
 from trueledger.sources.tables import union_all
 
 VALUE_SCALE = 6
@@ -126,14 +130,25 @@ def _zero(actual: Column) -> Column:
 
 
 def reference_results(target: dict[str, DataFrame]) -> list[DataFrame]:
-    out = []
+    """All references at once: each child is read once however many it has, its rows summed by key first."""
+    children: dict[str, list] = {}
     for fk in FOREIGN_KEYS:
-        checked = integrity.foreign_key_check(fk.name, target[fk.child], [fk.column], target[fk.parent])
-        out.append(
-            _result(checked, "V-11", "integrity", "", "orphan_rows", F.col("orphan_rows"), F.col("status"),
-                    F.concat(F.col("orphan_keys").cast("string"), F.lit(" keys"))).withColumn("entity", F.lit(fk.name))
-        )
-    return out
+        children.setdefault(fk.child, []).append(fk)
+    used = [
+        target[child].select(F.explode(F.array(*[F.struct(F.lit(fk.name).alias("reference"), F.col(fk.column).cast("string").alias("key")) for fk in fks])).alias("k")).select("k.*")
+        for child, fks in children.items()
+    ]
+    per_key = union_all([df.groupBy("reference", "key").agg(F.count(F.lit(1)).alias("row_count")) for df in used])
+    known = union_all([target[fk.parent].select(F.lit(fk.name).alias("reference"), F.col(fk.column).cast("string").alias("key")) for fk in FOREIGN_KEYS])
+    orphans = per_key.join(known, ["reference", "key"], "left_anti").groupBy("reference")
+    counted = orphans.agg(F.sum("row_count").alias("orphan_rows"), F.count(F.lit(1)).alias("orphan_keys"))
+    every = target[FOREIGN_KEYS[0].child].sparkSession.createDataFrame([(fk.name,) for fk in FOREIGN_KEYS], "reference string")
+    checked = every.join(counted, "reference", "left").select(
+        "reference", F.coalesce("orphan_rows", F.lit(0)).alias("orphan_rows"), F.coalesce("orphan_keys", F.lit(0)).alias("orphan_keys")
+    )
+    status = status_below(F.col("orphan_rows"), 1, 100)
+    detail = F.concat(F.col("orphan_keys").cast("string"), F.lit(" keys"))
+    return [_result(checked, "V-11", "integrity", F.col("reference"), "orphan_rows", F.col("orphan_rows"), status, detail)]
 
 
 def duplicate_results(target: dict[str, DataFrame]) -> list[DataFrame]:
@@ -180,24 +195,42 @@ def summary(results: DataFrame) -> DataFrame:
     )
 
 
-def run_timed(spark: SparkSession, source: dict[str, DataFrame], target: dict[str, DataFrame], log_path: str, run_id: str) -> DataFrame:
-    """Run the suite group by group, log results and seconds under ``log_path``, return the results."""
-    groups = {
-        "measures": [measured(n, df, target[n], table_measures(n, df.schema)) for n, df in source.items()],
-        "schema": [schema_results(spark, source, target)],
-        "references": reference_results(target),
-        "duplicates": duplicate_results(target),
-        "distributions": distribution_results(source, target),
-    }
-    times = []
-    for group, frames in groups.items():
-        started = time.time()
-        union_all(frames).select(*RESULT, F.lit(group).alias("check_group")).write.mode("append").parquet(
-            f"{log_path}/results/run_id={run_id}"
-        )
-        times.append((group, round(time.time() - started, 3)))
-    spark.createDataFrame(times, "check_group string, seconds double").write.parquet(f"{log_path}/times/run_id={run_id}")
-    return spark.read.parquet(f"{log_path}/results/run_id={run_id}")
+def check_parts(spark: SparkSession, source: dict[str, DataFrame], target: dict[str, DataFrame]) -> dict[str, list[DataFrame]]:
+    """check_id -> what it consists of, each check by itself and reading only the columns it needs."""
+    parts: dict[str, list[DataFrame]] = {}
+    for name, df in source.items():
+        by_check: dict[str, list[Measure]] = {}
+        for m in table_measures(name, df.schema):
+            by_check.setdefault(m.check_id, []).append(m)
+        for check_id, measures in by_check.items():
+            parts.setdefault(check_id, []).append(measured(name, df, target[name], measures))
+    parts["V-04"] = [schema_results(spark, source, target)]
+    parts["V-11"] = reference_results(target)
+    parts["V-17"] = duplicate_results(target)
+    parts["V-22"] = distribution_results(source, target)
+    return parts
+
+
+def run_logged(spark: SparkSession, source: dict[str, DataFrame], target: dict[str, DataFrame], log: str, run_id: str, run_ts: dt.datetime | None = None) -> DataFrame:
+    """Run the suite check by check and append its results to the run log below ``log``.
+
+    Returns the rows that were added: the results with ``run_id``, ``run_ts`` (UTC) and the seconds
+    their check took. A check that cannot run is logged as one row to be reviewed, the others go on.
+    """
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    done = []
+    for check_id, frames in sorted(check_parts(spark, source, target).items()):
+        started = time.monotonic()
+        try:
+            found = settled(union_all(frames).select(*RESULT), f"suite-{check_id}")
+        except FAILURES as e:
+            row = (check_id, None, "check", "ran", None, None, REVIEW, reason(e))
+            found = spark.createDataFrame([row], CHECK_RESULT)
+        done.append(found.withColumn("seconds", F.lit(round(time.monotonic() - started, 3))))
+    at = F.lit(run_ts.isoformat(sep=" ")).cast("timestamp_ntz")
+    rows = union_all(done).select(F.lit(run_id).alias("run_id"), at.alias("run_ts"), *RESULT, "seconds")
+    exports.append_log(rows, log, "run_ts")
+    return rows
 
 
 def violations(target: dict[str, DataFrame]) -> dict[str, DataFrame]:

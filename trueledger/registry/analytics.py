@@ -195,7 +195,7 @@ def a07(spark, sf_dir):
         "gl",
         """SELECT transaction_id, transaction_date, fiscal_year, fiscal_period, account_number, CAST(debit_amount AS DECIMAL(18,2)) AS debit_amount,
         CAST(credit_amount AS DECIMAL(18,2)) AS credit_amount, description FROM gl
-        ORDER BY md5(concat_ws('|', '42', transaction_id, transaction_date, account_number, CAST(debit_amount AS DECIMAL(18,2)), CAST(credit_amount AS DECIMAL(18,2)))) LIMIT 10""",
+        ORDER BY md5(concat_ws('|', '42', transaction_id)), md5(concat_ws('|', transaction_date, account_number, CAST(debit_amount AS DECIMAL(18,2)), CAST(credit_amount AS DECIMAL(18,2)))) LIMIT 10""",
     ),
 )
 def o03(spark, sf_dir):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -14,9 +15,10 @@ from trueledger.operators import statistical as ST
 from trueledger.operators import structural as STR
 from trueledger.plans import monitoring, suite
 from trueledger.registry import query
-from trueledger.registry.ctes import BANDS, PERCENT, cents, exact_ratio, scaled, with_views
+from trueledger.registry.ctes import BANDS, PERCENT, SPANS, cents, exact_ratio, scaled, with_views
 from trueledger.schemas import FOREIGN_KEYS, PRIMARY_KEYS, REQUIRED_COLUMNS, TABLES
-from trueledger.sources import tables
+from trueledger.session import work_dir
+from trueledger.sources import exports, tables
 from trueledger.sources import testviews as V
 from trueledger.sources.tables import union_all
 
@@ -548,7 +550,11 @@ def _measure_sql() -> list[str]:
     return out
 
 
-def _suite_sql() -> str:
+#: Schema faults of the suite's copy: a column more, and one of another type.
+DRIFTED = {"cost_centers": 1, "vendors": 1}
+
+
+def _suite_body() -> str:
     rows = _measure_sql()
     judged = f"""SELECT check_id, category, entity, metric, expected, actual, CASE
         WHEN rule = 'equal' AND actual IS NOT DISTINCT FROM expected THEN 'PASS' WHEN rule = 'equal' AND abs(actual - expected) < minor THEN 'PASS_MINOR'
@@ -564,7 +570,7 @@ def _suite_sql() -> str:
         for t, keys in PRIMARY_KEYS.items()
     )
     schema = " UNION ALL ".join(
-        f"SELECT 'V-04', 'schema', '{t}', 'drifted_columns', CAST(0 AS DECIMAL(38,6)), CAST(0 AS DECIMAL(38,6)), 'PASS', NULL" for t in TABLES
+        f"SELECT 'V-04', 'schema', '{t}', 'drifted_columns', CAST(0 AS DECIMAL(38,6)), CAST({DRIFTED.get(t, 0)} AS DECIMAL(38,6)), '{'REVIEW' if t in DRIFTED else 'PASS'}', NULL" for t in TABLES
     )
     gaps = " UNION ALL ".join(
         f"""SELECT 'V-22', 'statistical', '{t}', 'largest_share_gap:{c}', CAST(0 AS DECIMAL(38,6)), CAST(MAX(gap) AS DECIMAL(38,6)),
@@ -572,12 +578,26 @@ def _suite_sql() -> str:
         (SELECT {c}, COUNT(*) AS a FROM {SQL_NAME[t]} GROUP BY 1) FULL JOIN (SELECT {c}, COUNT(*) AS b FROM t_{SQL_NAME[t]} GROUP BY 1) USING ({c}))"""
         for t, c in (("invoices", "status"), ("vendors", "payment_terms"))
     )
-    return with_views(f"{SOURCE_VIEWS} {COPY_VIEWS}", " UNION ALL ".join([judged, references, duplicates, schema, gaps]))
+    return " UNION ALL ".join([judged, references, duplicates, schema, gaps])
+
+
+def _suite_sql() -> str:
+    return with_views(f"{SOURCE_VIEWS} {COPY_VIEWS}", _suite_body())
+
+
+def _faulty(source):
+    """The faulty copy, with a changed schema as well."""
+    target = V.faulty(source)
+    drifted = {
+        "cost_centers": target["cost_centers"].withColumn("notes", F.lit("added")),
+        "vendors": target["vendors"].withColumn("vendor_id", F.col("vendor_id").cast("int")),
+    }
+    return {**target, **drifted}
 
 
 def _suite(spark, sf_dir):
     source = V.finance(spark, sf_dir)
-    return suite.run_suite(spark, source, V.faulty(source))
+    return suite.run_suite(spark, source, _faulty(source))
 
 
 @query("v28_suite", _suite_sql())
@@ -594,6 +614,25 @@ def v28_summary(spark, sf_dir):
     return suite.summary(_suite(spark, sf_dir))
 
 
+@query(
+    "v28_logged_suite",
+    with_views(
+        f"{SOURCE_VIEWS} {COPY_VIEWS}",
+        f""", r AS (SELECT check_id, bool_or(status = 'REVIEW') AS failed FROM ({_suite_body()}) GROUP BY 1),
+        o AS (SELECT 'check_failed' AS metric, check_id AS entity, TIMESTAMP '2024-05-01 06:00:00' AS ran_at, '1' AS run_id, FALSE AS failed FROM r
+        UNION ALL SELECT 'check_failed', check_id, TIMESTAMP '2024-05-02 06:00:00', '2', failed FROM r), {SPANS}""",
+    ),
+)
+def v28_logged(spark, sf_dir):
+    """The suite on the faulty copy, logged a day after a run without a failure: the alerts that its log raises."""
+    source = V.finance(spark, sf_dir)
+    log = work_dir(spark, "suite-log")
+    found = suite.run_logged(spark, source, _faulty(source), log, "2", dt.datetime(2024, 5, 2, 6))
+    before = found.withColumns({"run_id": F.lit("1"), "run_ts": F.lit("2024-05-01 06:00:00").cast("timestamp_ntz"), "status": F.lit("PASS")})
+    exports.append_log(before, log, "run_ts")
+    return monitoring.alert_states(spark, monitoring.check_outcomes(spark.read.parquet(log)))
+
+
 def _drill_sql() -> str:
     parts = []
 

@@ -23,7 +23,7 @@ def scaled(expr: str, unit: int, scale: int = 2) -> str:
 PERCENT = exact_ratio(f"{cents('actual_amount - budget_amount')} * 10000", cents("budget_amount"))
 DAY = "CAST(l_shipdate AS DATE)"
 
-# name -> (names it needs, body)
+# name -> (names it needs, body). Role names, addresses and access levels in them are fixed values.
 VIEWS: dict[str, tuple[list[str], str]] = {
     "coa": ([], "SELECT CAST(p_partkey AS VARCHAR) AS account_number, p_name AS account_name, p_type AS account_type FROM part"),
     "cc": (
@@ -127,9 +127,9 @@ VIEWS: dict[str, tuple[list[str], str]] = {
              WHEN event_type = 'purchase' AND user_id % 5 <= 1 THEN 'UPDATE' WHEN event_type = 'click' AND user_id % 5 <= 2 THEN 'INSERT'
              ELSE 'SELECT' END AS privilege,
         CASE WHEN event_type <> 'signup' THEN 'TABLE' WHEN event_id % 2 = 0 THEN 'DATABASE' ELSE 'WAREHOUSE' END AS granted_on,
-        CASE WHEN event_type <> 'signup' THEN 'ENTERPRISE_FINANCE.FINANCE_DW.' ||
+        CASE WHEN event_type <> 'signup' THEN 'LEDGER_TEST.MAIN.' ||
                ['GL_TRANSACTIONS','INVOICES','BUDGET_ACTUAL','VENDORS','COST_CENTERS','CHART_OF_ACCOUNTS'][CAST(1 + event_id % (CASE WHEN user_id % 5 = 4 THEN 2 ELSE 6 END) AS INTEGER)]
-             WHEN event_id % 2 = 0 THEN 'ENTERPRISE_FINANCE' ELSE 'COMPUTE_WH' END AS name,
+             WHEN event_id % 2 = 0 THEN 'LEDGER_TEST' ELSE 'COMPUTE_WH' END AS name,
         CASE user_id WHEN 0 THEN 'FINANCE_ADMIN' WHEN 1 THEN 'AP_MANAGER' WHEN 2 THEN 'BUDGET_ANALYST' WHEN 3 THEN 'FINANCE_ANALYST'
              WHEN 4 THEN 'FINANCE_VIEWER' ELSE 'TEAM_' || user_id END AS role,
         CASE WHEN value >= 1 THEN 'SECURITYADMIN' ELSE 'UNKNOWN' END AS granted_by
@@ -198,6 +198,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     ),
 }
 
+# The labels of the variance bands, as reports show them.
 BANDS = """CASE WHEN variance_percent < -20 THEN 'Over Budget >20%' WHEN variance_percent < -10 THEN 'Over Budget 10-20%'
     WHEN variance_percent < 10 THEN 'On Target' WHEN variance_percent < 20 THEN 'Under Budget 10-20%' ELSE 'Under Budget >20%' END"""
 
@@ -216,3 +217,11 @@ def with_views(names: str, body: str) -> str:
         need(name)
     ctes = ", ".join(f"{n} AS ({VIEWS[n][1]})" for n in ordered)
     return f"WITH {ctes} {body}"
+
+
+#: Failures with the number of the alert they belong to; ``o`` has metric, entity, ran_at, run_id, failed.
+SPANS = """l AS (SELECT *, failed AND NOT COALESCE(lag(failed) OVER (PARTITION BY metric, entity ORDER BY ran_at, run_id), FALSE) AS raises FROM o),
+    s AS (SELECT *, SUM(CAST(raises AS INTEGER)) OVER (PARTITION BY metric, entity ORDER BY ran_at, run_id ROWS UNBOUNDED PRECEDING) AS span FROM l)
+    SELECT CASE metric WHEN 'sync_failed' THEN 'Critical' ELSE 'High' END AS severity, metric, entity, MIN(ran_at) FILTER (failed) AS raised_at,
+    MAX(ran_at) FILTER (failed) AS last_failed_at, COUNT(*) FILTER (failed) AS failures, MIN(ran_at) FILTER (NOT failed) AS cleared_at
+    FROM s WHERE span > 0 GROUP BY metric, entity, span"""

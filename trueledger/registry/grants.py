@@ -191,6 +191,9 @@ def p25(spark, sf_dir):
     return security.rows_for_user(V.budget_actual(spark, sf_dir), V.entitlements(spark, sf_dir), "user7@company.com", "cost_center")
 
 
+TYPE_RULES = {"o_totalprice": "decimal(7,2)", "o_custkey": "tinyint", "o_orderdate": "date", "o_orderpriority": "int"}
+
+
 @query(
     "p26_map_types",
     """SELECT 'o_totalprice' AS column_name, 'double' AS source_type, 'decimal(7,2)' AS target_type, COUNT(o_totalprice) AS values,
@@ -200,5 +203,14 @@ def p25(spark, sf_dir):
     UNION ALL SELECT 'o_orderpriority', 'string', 'int', COUNT(o_orderpriority), COUNT(*) FILTER (TRY_CAST(o_orderpriority AS INTEGER) IS NULL), 0 FROM orders""",
 )
 def p26(spark, sf_dir):
-    rules = {"o_totalprice": "decimal(7,2)", "o_custkey": "tinyint", "o_orderdate": "date", "o_orderpriority": "int"}
-    return evolve.cast_losses(spark.read.parquet(f"{sf_dir}/orders.parquet"), rules)
+    return evolve.cast_losses(spark.read.parquet(f"{sf_dir}/orders.parquet"), TYPE_RULES)
+
+
+@query(
+    "p26_mapped_rows",
+    """SELECT o_orderkey, TRY_CAST(o_custkey AS TINYINT) AS o_custkey, o_orderstatus, TRY_CAST(o_totalprice AS DECIMAL(7,2)) AS o_totalprice,
+    CAST(o_orderdate AS DATE) AS o_orderdate, TRY_CAST(o_orderpriority AS INTEGER) AS o_orderpriority FROM orders""",
+)
+def p26_rows(spark, sf_dir):
+    """The rows themselves, values that do not fit as NULL; the ones the casts cost are counted in p26_map_types."""
+    return evolve.map_types(spark.read.parquet(f"{sf_dir}/orders.parquet"), TYPE_RULES)

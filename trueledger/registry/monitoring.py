@@ -6,7 +6,7 @@ import datetime as dt
 
 from trueledger.plans import monitoring as M
 from trueledger.registry import query
-from trueledger.registry.ctes import cents, exact_ratio, with_views
+from trueledger.registry.ctes import SPANS, cents, exact_ratio, with_views
 from trueledger.sources import testviews as V
 from trueledger.streaming.change_counts import change_counts
 
@@ -44,6 +44,20 @@ def m02(spark, sf_dir):
     return M.alerts(spark, measured)
 
 
+@query(
+    "m02_alert_states",
+    with_views(
+        "sync_log check_log",
+        f""", o AS (SELECT 'sync_failed' AS metric, table_name AS entity, sync_start AS ran_at, CAST(run_id AS VARCHAR) AS run_id, error IS NOT NULL AS failed FROM sync_log
+        UNION ALL SELECT 'check_failed', check_id, run_ts, CAST(run_id AS VARCHAR), bool_or(status = 'REVIEW') FROM check_log GROUP BY check_id, run_ts, run_id), {SPANS}""",
+    ),
+)
+def m02_states(spark, sf_dir):
+    """Every alert of the logs with the time it was raised and, where a success followed, cleared."""
+    outcomes = M.sync_outcomes(V.sync_log(spark, sf_dir)).unionByName(M.check_outcomes(V.check_log(spark, sf_dir)))
+    return M.alert_states(spark, outcomes)
+
+
 @query(
     "m03_sync_status",
     with_views(

@@ -6,8 +6,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trueledger.functions import as_of_date
+from trueledger.sources import files
 
 
 def _partitioned(df: DataFrame, path: str, columns: list[str], mode: str = "overwrite") -> None:
@@ -48,14 +50,21 @@ _CSV = {
 _NULL = "\u0001NULL\u0001"
 
 
+def _readable(df: DataFrame) -> DataFrame:
+    """``df``, failing on a text that would come back as NULL."""
+    taken = F.raise_error(F.lit("a text is the mark that CSV exports read as NULL"))
+    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    return df.withColumns({c: F.when(F.col(f"`{c}`") == _NULL, taken.cast("string")).otherwise(F.col(f"`{c}`")) for c in texts})
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """``df`` as CSV that ``read_csv`` gives back unchanged. NULL is an empty field, empty text a quoted one."""
-    df.write.mode("overwrite").options(**_CSV).csv(path)
+    _readable(df).write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def export_csv_per_role(grants: DataFrame, path: str) -> None:
     """One CSV folder per role, named after it, with the full grant columns inside."""
-    named = grants.withColumn("file", F.concat(F.lower("role"), F.lit("_grants")))
+    named = _readable(grants).withColumn("file", F.concat(F.lower("role"), F.lit("_grants")))
     named.hint("rebalance", "file").write.mode("overwrite").partitionBy("file").options(**_CSV).csv(path)
 
 
@@ -73,3 +82,15 @@ def append_log(rows: DataFrame, path: str, time_column: str) -> None:
 def retained(log: DataFrame, as_of: dt.date | None = None, days: int = 90) -> DataFrame:
     """The part of a log inside the retention period; older days are pruned, not read."""
     return log.where(F.col("run_date") >= F.date_sub(as_of_date(as_of), days))
+
+
+def expire_log(spark: SparkSession, path: str, as_of: dt.date, days: int = 90) -> list[dt.date]:
+    """Remove the days of a log that lie before the retention period; returns them."""
+    first = as_of - dt.timedelta(days=days)
+    old = []
+    for folder in files.matching(spark, f"{path.rstrip('/')}/run_date=*"):
+        day = folder.rsplit("=", 1)[1]
+        if day[:1].isdigit() and dt.date.fromisoformat(day) < first:  # rows without a time have a folder of another name
+            files.remove(spark, folder)
+            old.append(dt.date.fromisoformat(day))
+    return old

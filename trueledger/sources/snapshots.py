@@ -10,7 +10,7 @@ from concurrent.futures import ThreadPoolExecutor, as_completed
 
 from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trueledger.schemas import TABLES
@@ -22,6 +22,14 @@ FAILURES = (PySparkException, Py4JError)
 LOAD_REPORT = "table_name string, loaded boolean, error string"
 
 
+def reason(error: Exception) -> str:
+    """What went wrong, without the traces of the calls it came through."""
+    cause = getattr(error, "java_exception", None)
+    while cause is not None and cause.getCause() is not None:
+        cause = cause.getCause()
+    return str(error) if cause is None else str(cause.getMessage())
+
+
 def load(
     spark: SparkSession,
     frames: dict[str, DataFrame],
@@ -111,16 +119,18 @@ def labelled_version(spark: SparkSession, root: str, table: str, label: str) ->
 def snapshot(spark: SparkSession, frames: dict[str, DataFrame], root: str, label: str | None = None) -> DataFrame:
     """Copy whole tables into their next version and publish each one when it is complete.
 
-    All tables are copied at the same time; one that fails stays at its old version and does not
-    keep the others from being published. Running it again is a full re-sync: it publishes a
+    Rows are counted as they are written, so the copy is not read again. All tables are copied at the
+    same time; one that fails stays at its old version and does not keep the others from being published.
+    The first failure is raised and names the others. Running it again is a full re-sync: it publishes a
     further version. A ``label`` names the versions for good, as a backup to come back to.
     """
 
     def copy(name: str) -> tuple[str, int, int, str | None]:
         version = latest_version(spark, root, name) + 1
-        path = version_path(root, name, version)
-        frames[name].write.mode("overwrite").parquet(path)
-        return name, version, spark.read.parquet(path).count(), label
+        rows = Observation()
+        counted = frames[name].observe(rows, F.count(F.lit(1)).alias("n"))
+        counted.write.mode("overwrite").parquet(version_path(root, name, version))
+        return name, version, rows.get["n"], label
 
     published, failures = [], []
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
@@ -134,6 +144,8 @@ def snapshot(spark: SparkSession, frames: dict[str, DataFrame], root: str, label
             entry.coalesce(1).write.mode("append").parquet(_manifest(root))
             published.append(entry)
     if failures:
+        for other in failures[1:]:
+            failures[0].add_note(f"another table failed as well: {other}")
         raise failures[0]
     return union_all(published)
 

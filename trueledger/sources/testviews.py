@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from trueledger.functions import money, safe_percent
 from trueledger.operators.grants import ROLE_MAPPING, role_mapping
 
-DATABASE = "ENTERPRISE_FINANCE"
+DATABASE = "LEDGER_TEST"
 
 
 _SCHEMAS: dict[str, T.StructType] = {}
@@ -308,7 +308,7 @@ def raw_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
     pick = F.when(rank == 4, F.col("event_id") % 2).otherwise(F.col("event_id") % 6)
     granted_on = F.when(kind != "signup", "TABLE").when(F.col("event_id") % 2 == 0, "DATABASE").otherwise("WAREHOUSE")
     name = (
-        F.when(granted_on == "TABLE", F.concat(F.lit(f"{DATABASE}.FINANCE_DW."), F.element_at(tables, (pick + 1).cast("int"))))
+        F.when(granted_on == "TABLE", F.concat(F.lit(f"{DATABASE}.MAIN."), F.element_at(tables, (pick + 1).cast("int"))))
         .when(granted_on == "DATABASE", DATABASE)
         .otherwise("COMPUTE_WH")
     )
