@@ -194,3 +194,74 @@ def test_work_folder_must_be_shared_off_this_machine():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         work_dir(Elsewhere, "x")
+
+
+def test_rows_are_counted_as_they_are_written(spark, fin, folder, monkeypatch):
+    """The copy is not read again: the manifest's counts come from the write itself."""
+    counted = []
+    monkeypatch.setattr(type(fin["vendors"]), "count", lambda df: counted.append(df) or -1)
+    published = snapshots.snapshot(spark, {**fin, "empty": fin["vendors"].where("vendor_id < 0")}, folder)
+    monkeypatch.undo()
+    assert not counted
+    assert dict(rows(published.select("table_name", "row_count"))) == {**SMALL, "empty": 0}
+    group = "snapshot-jobs"
+    spark.sparkContext.setJobGroup(group, "one copy")
+    snapshots.snapshot(spark, {"vendors": fin["vendors"]}, f"{folder}-2")
+    with_manifest = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    assert with_manifest <= 4  # is there a version already, the copy, its manifest row
+
+
+def test_every_failing_copy_is_named(spark, fin, folder):
+    broken = {n: fin[n].withColumn("gone", F.raise_error(F.lit(f"{n} unreadable")).cast("string")) for n in ("vendors", "cost_centers")}
+    with pytest.raises(Exception) as found:
+        snapshots.snapshot(spark, broken, folder)
+    told = str(found.value) + "".join(found.value.__notes__)
+    assert "vendors unreadable" in told and "cost_centers unreadable" in told
+
+
+def test_old_days_of_a_log_are_removed(spark, folder):
+    log = spark.range(100).select("id", F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(int(id))").alias("t"))
+    log = log.unionByName(log.limit(1).withColumn("t", F.lit(None).cast("timestamp_ntz")))
+    exports.append_log(log, folder, "t")
+    removed = exports.expire_log(spark, folder, dt.date(2024, 4, 9), 90)
+    assert removed == [dt.date(2024, 1, 1) + dt.timedelta(days=d) for d in range(9)]
+    assert spark.read.parquet(folder).count() == 92 and spark.read.parquet(folder).where("run_date < '2024-01-10'").count() == 0
+    assert exports.expire_log(spark, folder, dt.date(2024, 4, 9), 90) == []
+
+
+@pytest.mark.parametrize("times", ["3", "0.37"])
+def test_generated_shares_are_the_given_shares(spark, times):
+    skewed = spark.range(2_000).select(
+        F.when(F.col("id") < 700, 1).when(F.col("id") < 705, None).otherwise(F.col("id") % 400).cast("bigint").alias("vendor_id"),
+        F.concat(F.lit("CC"), (F.col("id") % 7).cast("string")).alias("cost_center"),
+        (F.col("id") % 31).cast("string").alias("account_number"),
+        F.element_at(F.array(*map(F.lit, ["Paid", "Open", "Overdue", "Cancelled"])), (F.col("id") % 4 + 1).cast("int")).alias("status"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 90).cast("int")).alias("invoice_date"),
+    )
+    n = int(2_000 * float(times))
+    made = generate.invoices_like(spark, skewed, n)
+    assert made.count() == n and made.select("invoice_id").distinct().count() == n
+    assert [(f.name, f.dataType) for f in made.schema.fields] == [(f.name, f.dataType) for f in TABLES["invoices"].fields]
+    for c in ("vendor_id", "cost_center", "account_number", "status", "invoice_date"):
+        want = {r[0]: r[1] * n / 2_000 for r in skewed.groupBy(c).count().collect()}
+        found = {r[0]: r[1] for r in made.groupBy(c).count().collect()}
+        assert all(abs(found.get(v, 0) - share) < 1 for v, share in want.items()) and set(found) <= set(want), c
+    # Columns are drawn independently of each other.
+    assert made.select("status", "cost_center").distinct().count() == 28 or n < 500
+
+
+def test_ranges_of_values_cover_all_places_once(spark):
+    df = spark.range(500).select((F.col("id") % 13).alias("v"))
+    found = sorted((r.lo, r.hi) for r in generate.weighted_ranges(df, "v").collect())
+    assert found[0][0] == 0 and found[-1][1] == 500 and all(a[1] == b[0] for a, b in zip(found, found[1:]))
+
+
+def test_generation_needs_given_rows(spark, fin):
+    with pytest.raises(ValueError, match="no given row"):
+        generate.invoices_like(spark, fin["invoices"].limit(0), 10)
+
+
+def test_a_text_that_would_come_back_as_null_is_refused(spark, folder):
+    df = spark.createDataFrame([("a",), (exports._NULL,)], "v string")
+    with pytest.raises(Exception, match="read as NULL"):
+        exports.export_csv(df, folder)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from trueledger.operators import grants as G
@@ -78,6 +79,30 @@ def s02(spark, sf_dir):
     return union_all(parts)
 
 
+DRAWN = ("vendor_id", "cost_center", "account_number", "status", "invoice_date")
+
+
+@query(
+    "s03_generated_shares",
+    with_views(
+        "inv",
+        " UNION ALL ".join(f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, 2 * COUNT(*) AS row_count, CAST(0 AS BIGINT) AS broken_rows FROM inv GROUP BY 2" for c in DRAWN),
+    ),
+)
+def s03(spark, sf_dir):
+    """Twice as many generated invoices as there are given ones: every value has twice its given rows."""
+    given = V.invoices(spark, sf_dir)
+    made = generate.invoices_like(spark, given, 2 * given.count())
+    broken = F.count_if((F.col("status") == "Paid") != F.col("payment_date").isNotNull())
+    counts = [
+        made.groupBy(F.col(c).cast("string").alias("value"))
+        .agg(F.count(F.lit(1)).alias("row_count"), broken.alias("broken_rows"))
+        .select(F.lit(c).alias("column_name"), "value", "row_count", "broken_rows")
+        for c in DRAWN
+    ]
+    return union_all(counts)
+
+
 @query("s04_load_tables", with_views(SOURCE_VIEWS, f"SELECT table_name, TRUE AS loaded, row_count FROM ({COUNTS})"))
 def s04(spark, sf_dir):
     fin, root, report = _loaded(spark, sf_dir)
@@ -197,14 +222,21 @@ def s14(spark, sf_dir):
 def s15(spark, sf_dir):
     path = work_dir(spark, "run-log")
     exports.append_log(V.check_log(spark, sf_dir), path, "run_ts")
-    kept = exports.retained(spark.read.parquet(path), dt.date(2024, 4, 16))
+    exports.expire_log(spark, path, dt.date(2024, 4, 16))
+    kept = spark.read.parquet(path)  # nothing older is left
     return kept.groupBy("run_date").agg(F.count(F.lit(1)).alias("runs"), F.count_if(F.col("status") != "PASS").alias("failures"))
 
 
-@query("s16_table_overview")
+@query(
+    "s16_table_overview",
+    with_views(SOURCE_VIEWS, f"SELECT table_name, row_count, CAST(row_number() OVER (ORDER BY row_count DESC, table_name) AS INTEGER) AS place, TRUE AS has_size, TRUE AS has_time FROM ({COUNTS})"),
+)
 def s16(spark, sf_dir):
     _, root, _ = _loaded(spark, sf_dir)
-    return tables.table_overview(spark, {name: f"{root}/{name}" for name in TABLES})
+    found = tables.table_overview(spark, {name: f"{root}/{name}" for name in TABLES})
+    # Bytes and times differ from run to run; that there are some, and the order, can be compared.
+    place = F.row_number().over(Window.orderBy(F.monotonically_increasing_id()))
+    return found.select("table_name", "row_count", place.alias("place"), (F.col("size_mb") >= 0).alias("has_size"), F.col("created").isNotNull().alias("has_time"))
 
 
 @query(
@@ -226,15 +258,50 @@ def s17(spark, sf_dir):
     return tables.observed_columns(spark, V.finance(spark, sf_dir)).drop("is_nullable", "max_length")
 
 
-@query("s18_storage_metadata")
+@query(
+    "s17_declared_columns",
+    with_views(
+        "vendors",
+        """SELECT 'declared' AS table_name, 'vendor_id' AS column_name, 1 AS ordinal_position, 'bigint' AS data_type, TRUE AS is_nullable, CAST(NULL AS INTEGER) AS max_length,
+          COUNT(vendor_id) AS filled_values, CAST(NULL AS INTEGER) AS longest_text FROM vendors
+        UNION ALL SELECT 'declared', 'vendor_name', 2, 'string', TRUE, 50, COUNT(vendor_name), CAST(MAX(length(vendor_name)) AS INTEGER) FROM vendors
+        UNION ALL SELECT 'declared', 'payment_terms', 3, 'string', TRUE, 10, COUNT(payment_terms), CAST(MAX(length(payment_terms)) AS INTEGER) FROM vendors
+        UNION ALL SELECT 'counted', 'payment_terms', 1, 'string', FALSE, NULL, COUNT(DISTINCT payment_terms), CAST(MAX(length(payment_terms)) AS INTEGER) FROM vendors
+        UNION ALL SELECT 'counted', 'vendor_count', 2, 'bigint', FALSE, NULL, COUNT(DISTINCT payment_terms), NULL FROM vendors""",
+    ),
+)
+def s17_declared(spark, sf_dir):
+    """Declared lengths of a catalog table, and a column that cannot be NULL."""
+    vendors = V.vendors(spark, sf_dir)
+    columns = {"vendor_id": "bigint", "vendor_name": "varchar(50)", "payment_terms": "varchar(10)"}
+    declared = tables.declare_table(spark, "trueledger_check", "declared_vendors", columns, work_dir(spark, "declared"))
+    vendors.select(*columns).write.insertInto("trueledger_check.declared_vendors")
+    declared = spark.table("trueledger_check.declared_vendors")
+    counted = vendors.groupBy("payment_terms").agg(F.count(F.lit(1)).alias("vendor_count"))
+    return tables.observed_columns(spark, {"declared": declared, "counted": counted})
+
+
+@query(
+    "s18_storage_metadata",
+    with_views(
+        SOURCE_VIEWS,
+        f"SELECT table_name, row_count, TRUE AS has_bytes, TRUE AS has_files, CAST(NULL AS INTEGER) AS retention_days, CAST(NULL AS VARCHAR) AS clustering_key FROM ({COUNTS})",
+    ),
+)
 def s18(spark, sf_dir):
     _, root, _ = _loaded(spark, sf_dir)
-    return tables.storage_metadata(spark, {name: f"{root}/{name}" for name in TABLES})
+    found = tables.storage_metadata(spark, {name: f"{root}/{name}" for name in TABLES})
+    return found.select("table_name", "row_count", (F.col("bytes") > 0).alias("has_bytes"), (F.col("files") > 0).alias("has_files"), "retention_days", "clustering_key")
 
 
-@query("s19_preview")
+@query(
+    "s19_preview",
+    with_views("gl", "SELECT transaction_id, transaction_date, account_number, debit_amount, credit_amount FROM gl ORDER BY transaction_date, transaction_id, account_number, debit_amount, credit_amount LIMIT 10"),
+)
 def s19(spark, sf_dir):
-    return tables.preview(V.gl_transactions(spark, sf_dir, NO_LOOKUP), 10)
+    shown = ["transaction_id", "transaction_date", "account_number", "debit_amount", "credit_amount"]
+    gl = V.gl_transactions(spark, sf_dir, [*V.LEDGER_ONLY]).select(*shown)
+    return tables.preview(gl, 10, ["transaction_date", "transaction_id", "account_number", "debit_amount", "credit_amount"])
 
 
 @query(

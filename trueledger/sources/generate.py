@@ -6,7 +6,10 @@ partitions and any executor can rebuild a lost partition.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+import zlib
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trueledger.functions import money, safe_percent
@@ -109,6 +112,11 @@ def invoices(ids: DataFrame, n_vendors: int, n_centers: int, n_accounts: int, se
         _center(uniform(seed, "center", 0, n_centers - 1)).alias("cost_center"),
         uniform(seed, "account", 1000, 999 + n_accounts).cast("string").alias("account_number"),
     )
+    return _invoice_columns(base)
+
+
+def _invoice_columns(base: DataFrame) -> DataFrame:
+    """Due date, payment and amounts as they follow from status, day and ``_days`` to pay."""
     zero = money(F.lit(0))
     return base.select(
         "invoice_id",
@@ -177,6 +185,66 @@ def generate(spark: SparkSession, rows: dict[str, int] | None = None, scale: flo
     }
 
 
+def weighted_ranges(given: DataFrame, column: str, parts: int = 1024) -> DataFrame:
+    """``value, lo, hi``: each value of ``column`` with as many places of 0..rows-1 as rows that have it.
+
+    Places are summed within hash parts of the values, then over the parts, so no task holds all values.
+    """
+    counts = given.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(parts)))
+    ends = F.sum("n").over(Window.partitionBy("part").orderBy("value"))
+    totals = counts.groupBy("part").agg(F.sum("n").alias("held"))  # ``parts`` rows at most
+    starts = totals.select("part", (F.sum("held").over(Window.orderBy("part")) - F.col("held")).alias("start"))
+    placed = counts.withColumn("hi", ends).join(starts, "part")
+    return placed.select("value", (F.col("start") + F.col("hi") - F.col("n")).alias("lo"), (F.col("start") + F.col("hi")).alias("hi"))
+
+
+def drawn_like(ids: DataFrame, n: int, given: DataFrame, column: str, seed: int = SEED) -> DataFrame:
+    """``ids`` (0..n-1) with ``column`` drawn with the shares that its values have among the ``given`` rows.
+
+    The draw is systematic: a permutation of the ids is laid evenly over the given rows' places, so every
+    value gets its share of ``n``, rounded up or down. Places meet the values' ranges in buckets of the mean
+    width of a range: a value with a large share spans many buckets, none of which is larger than others.
+    """
+    sized = given.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.coalesce(F.xxhash64(column), F.lit(0))).alias("values")).head()
+    if not sized["rows"]:
+        raise ValueError(f"no given row to draw {column} from")
+    total, width = sized["rows"], max(1, sized["rows"] // max(sized["values"], 1))
+    step, shift = _coprime(n, seed, column), zlib.crc32(f"{seed}:{column}".encode()) % max(n, 1)
+    spread = F.pmod(F.col("id") * F.lit(step) + F.lit(shift), F.lit(max(n, 1)))
+    place = F.floor(spread.cast("decimal(19,0)") * F.lit(total).cast("decimal(19,0)") / F.lit(max(n, 1)).cast("decimal(19,0)")).cast("bigint")
+    draws = ids.withColumn("_place", place).withColumn("_bucket", F.floor(F.col("_place") / width).cast("bigint"))
+    buckets = F.sequence(F.floor(F.col("lo") / width).cast("bigint"), F.floor((F.col("hi") - 1) / width).cast("bigint"))
+    ranges = weighted_ranges(given, column).select(F.col("value").alias(column), "lo", "hi", F.explode(buckets).alias("_bucket"))
+    inside = (F.col("_place") >= F.col("lo")) & (F.col("_place") < F.col("hi"))
+    return draws.join(ranges, "_bucket").where(inside).drop("_bucket", "_place", "lo", "hi")
+
+
+def _coprime(n: int, seed: int, column: str) -> int:
+    """A number that no prime of ``n`` divides, fixed by seed and column; below 2^21, so that products stay whole."""
+    step = 1 + zlib.crc32(f"{column}:{seed}".encode()) % (1 << 20)
+    while math.gcd(step, n) != 1:
+        step += 1
+    return step
+
+
+def invoices_like(spark: SparkSession, given: DataFrame, n: int, seed: int = SEED) -> DataFrame:
+    """``n`` invoices whose vendors, centers, accounts, statuses and days have the shares of the ``given`` ones."""
+    ids = row_ids(spark, n)
+    for column in ("vendor_id", "cost_center", "account_number", "status", "invoice_date"):
+        ids = drawn_like(ids, n, given, column, seed)
+    return _invoice_columns(
+        ids.select(
+            (F.col("id") + 1).alias("invoice_id"),
+            F.concat(F.lit("INV-"), F.lpad((F.col("id") + 1).cast("string"), 12, "0")).alias("invoice_number"),
+            "vendor_id", "invoice_date", "status", "cost_center", "account_number",
+            uniform(seed, "days_to_pay", 5, 75).cast("int").alias("_days"),
+            _amount(seed, "amount", 500, 100_000).alias("invoice_amount"),
+        )
+    )
+
+
+# Fixed values in the test rows below: the ranges that the sync test draws from.
 def test_invoices(spark: SparkSession, first_id: Column, n: int, day: Column, seed: int = SEED) -> DataFrame:
     """``n`` open invoices numbered after ``first_id``, for testing an incremental sync.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,12 +65,26 @@ def column_metadata(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFr
     rows = []
     for name, df in frames.items():
         for i, field in enumerate(df.schema.fields, 1):
-            rows.append((name, field.name, i, field.dataType.simpleString(), field.nullable, _length(field.dataType)))
+            rows.append((name, field.name, i, field.dataType.simpleString(), field.nullable, _length(field)))
     return spark.createDataFrame(rows, COLUMN_METADATA)
 
 
-def _length(dtype: T.DataType) -> int | None:
-    return dtype.length if isinstance(dtype, (T.VarcharType, T.CharType)) else None
+def _length(field: T.StructField) -> int | None:
+    """Declared length of a text column. Spark reads such columns as strings and notes the declaration beside them."""
+    if isinstance(field.dataType, (T.VarcharType, T.CharType)):
+        return field.dataType.length
+    declared = re.fullmatch(r"(?:var)?char\((\d+)\)", field.metadata.get("__CHAR_VARCHAR_TYPE_STRING", ""))
+    return int(declared[1]) if declared else None
+
+
+def declare_table(spark: SparkSession, database: str, name: str, columns: dict[str, str], location: str) -> DataFrame:
+    """A catalog table with declared column types (such as ``varchar(50)``) at ``location``; one of that name is replaced."""
+    ensure_namespace(spark, database)
+    if not name.replace("_", "").isalnum():
+        raise ValueError(f"not a plain table name: {name!r}")
+    spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
+    spark.sql(f"CREATE TABLE {database}.{name} ({', '.join(f'`{c}` {kind}' for c, kind in columns.items())}) USING parquet LOCATION '{location}'")
+    return spark.table(f"{database}.{name}")
 
 
 def observed_columns(spark: SparkSession, frames: dict[str, DataFrame]) -> DataFrame:
@@ -136,6 +152,6 @@ def storage_metadata(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     )
 
 
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """A look at some rows; the limit is the feature."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 10, order: list[str] | None = None) -> DataFrame:
+    """A look at some rows, the first ones of ``order`` if given; the limit is the feature."""
+    return (df.orderBy(*order) if order else df).limit(n)
