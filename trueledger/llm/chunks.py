@@ -15,8 +15,8 @@ from collections.abc import Callable
 import numpy as np
 import regex
 
-#: Distinct chunks a task remembers, half of them since the memory was last turned over (some 60 MB).
-REMEMBERED = 500_000
+#: Distinct chunks a task remembers, half of them since the memory was last turned over (some 100 MB).
+REMEMBERED = 800_000
 
 #: Characters whose chunks are looked up together.
 BLOCK_CHARS = 1_500_000
@@ -71,10 +71,11 @@ class Memory:
         found = [list(map(get, some)) for some in texts]
         if known.asked:
             new = list(known.asked)
+            self.known = Known({})  # should encoding fail, no place is left that was not filled
             for text, ids in zip(new, self.encode(new), strict=True):
                 known.asked[text][:] = ids
                 known[text] = ids
-            known.asked = {}
+            self.known, known.asked = known, {}
         return [b"".join(ids) for ids in found]
 
 
@@ -92,12 +93,9 @@ class WordIds:
         self.memory = Memory(self.REMEMBERED, lambda words: encode([w.encode() for w in words]))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        return self.memory.joined([self.split(t) for t in texts])
-
-    def split(self, chunk: str) -> list[str]:
-        if self.letters and (chunk[1:] if chunk[:1] == " " else chunk).isalpha():
-            return [chunk]
-        return self.find(chunk)
+        if not self.letters:
+            return self.memory.joined(list(map(self.find, texts)))
+        return self.memory.joined([[t] if (t[1:] if t[:1] == " " else t).isalpha() else self.find(t) for t in texts])
 
 
 class ChunkIds:
