@@ -44,3 +44,37 @@ def test_stages(spark, folder):
     assert seen[2].where(F.col("n_chars") != F.length("text")).count() == 0
     per_doc = seen[4].groupBy("doc_id").agg(F.sum("length").alias("n"))
     assert per_doc.count() == len(ids[3]) and corpus_pipeline.run(spark, folder).count() == seen[4].count()
+
+
+CLASH = ("toxicity", "_toxicity", "_id", "_gone", "_kept", "_key", "_pick", "_host", "_slots", "ids", "_row", "_text", "_x", "key", "n", "dotted.name")
+
+
+def test_columns_that_clash_pass_as_they_are(spark, folder):
+    docs = corpus(spark, folder)
+    wide = docs.select("*", *[F.concat(F.lit(f"{c} "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias(c) for c in CLASH])
+    narrow, seen = docs, wide
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        narrow, seen = stored(stage(spark, narrow, folder), name), stored(stage(spark, seen, folder), name)
+        assert seen.columns == wide.columns and [f.dataType for f in seen.schema] == [f.dataType for f in wide.schema]
+        assert sorted(map(tuple, seen.select(*docs.columns).collect()), key=repr) == sorted(map(tuple, narrow.collect()), key=repr)
+        assert seen.where(" OR ".join(f"`{c}` <> concat('{c} ', doc_id)" for c in CLASH)).count() == 0
+    last = corpus_pipeline.STAGES[-1][1]
+    pieces = [last(spark, df, folder).select("doc_id", "piece", "start", "length", "ids_crc32") for df in (narrow, seen)]
+    assert sorted(map(tuple, pieces[0].collect()), key=repr) == sorted(map(tuple, pieces[1].collect()), key=repr)
+
+
+def test_no_documents(spark, folder):
+    docs = corpus(spark, folder).limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, folder), name)
+        assert docs.count() == 0
+
+
+def test_repeated_lines_go_as_a_plain_version_drops_them(spark):
+    """Very many repeats in one text, beside a plain version of the stage."""
+    lines = [f"line number {i % 70} of the text that repeats" for i in range(20_000)] + ["", "  ", "short"] * 50
+    rows = [(1, "\n".join(lines)), (2, "\n".join(lines[:80] + ["a line of its own that is long"])), (3, None), (4, "short\nshort")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_chars", F.length("text").cast("long"))
+    # Numbers that differ in one or two digits are within two edits, so all numbered lines are one group.
+    left = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, docs, "").collect()}
+    assert left == {1: "\n".join([lines[0]] + ["", "  ", "short"] + ["", "  "] * 49), 2: "a line of its own that is long", 3: None}

@@ -11,7 +11,8 @@ Vectors are never gathered: an aggregate of a hash over pages and counts stands
 read where they lie and only a few rows per page and element move, summed before they do.
 
 Defined results: null html is an empty page; a page without main text has an empty one. Pages with a
-null url form one host. Repeated rows are pages like others. Text is never cut.
+null url form one host. Repeated rows are pages like others, an empty table stays empty. Text is never
+cut. Columns of the input pass through, whatever their names; one named like the output is replaced.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trueledger.llm.common import Batches, slices, stored, texts_of
+from trueledger.llm.common import Batches, slices, stored, texts_of, unused
 
 #: Share of a host's pages that a valid class occurs on, and its least number of tokens.
 SUPPORT, CLASS_TOKENS = 0.2, 2
@@ -35,25 +36,29 @@ SUPPORT, CLASS_TOKENS = 0.2, 2
 LINKS = 0.5
 
 #: Elements whose content is no text.
-RAW = {"script", "style", "template", "iframe", "textarea", "title", "noscript", "svg", "math", "object", "select", "canvas", "audio", "video"}
+RAW = {"script", "style", "template", "iframe", "textarea", "title", "noscript", "svg", "object", "select", "canvas", "audio", "video"}
 #: Elements that make up the page's frame; only these are part of a place.
 FRAME = {"html", "head", "body", "header", "nav", "main", "article", "section", "aside", "footer", "div", "form", "table", "ul", "ol", "dl", "menu", "figure", "fieldset", "dialog", "details", "center"}
 #: Elements that are never main text.
-FURNITURE = {"head", "nav", "aside", "footer", "form", "menu", "fieldset", "dialog", "button"}
+FURNITURE = {"head", "nav", "aside", "footer", "form", "menu", "fieldset", "dialog"}
 #: Words of class and id names that mark furniture.
 MARKS = frozenset(
     "ad ads adsense advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert popup modal overlay "
     "newsletter subscribe subscription signup login search menu nav navbar navigation breadcrumb breadcrumbs sidebar rail widget widgets footer header masthead toolbar "
     "comment comments respond reply replies disqus discussion share sharing social related recommended recommendations pagination pager tags".split()
 )
-#: Inside an article only these rule: as any part of a name, and as a whole name or the first part of one.
+#: Inside an article only these rule: as any part of a name, and as a name by itself or with nothing but ``PARTS``.
 ARTICLE_MARKS = frozenset("adsense advert adverts advertisement advertising comments disqus newsletter".split())
 ARTICLE_NAMES = frozenset("ad ads sponsored comment respond subscribe signup login share sharing sidebar navbar breadcrumb breadcrumbs pagination".split())
+#: What the rest of a name says where only its first part is one of these.
+PARTS = frozenset("slot slots unit units box boxes banner block blocks container wrapper wrap inner outer area section list form bar button buttons link links zone space widget head header footer title top bottom left right 0".split())
+#: Controls within a line of text; theirs ends with them or with the block.
+CONTROLS = {"button", "label"}
 #: Elements that end a block of text.
 BLOCKS = FRAME | {"p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "td", "th", "tr", "caption", "blockquote", "pre", "address", "hr", "figcaption", "summary", "legend", "option", "hgroup", "search", "tbody", "thead", "tfoot"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "base", "col", "embed", "source", "track", "wbr", "area"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>[^>=]+|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)>|<[!?][^>]*>", re.S)
 _NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _RAW_END = {tag: re.compile(rf"</{tag}\b[^>]*>", re.I) for tag in RAW}
 
@@ -77,7 +82,7 @@ def _component(tag: str, attributes: str) -> str:
 def parse(html: str) -> Page:
     page = Page()
     stack: list[tuple[str, str]] = []
-    place, text, in_link, linked = "", [], 0, 0
+    place, text, in_link, linked, control = "", [], 0, 0, ""
 
     def flush() -> None:
         nonlocal linked
@@ -93,7 +98,7 @@ def parse(html: str) -> Page:
     while at < end:
         found = _TOKEN.search(html, at)
         piece = html[at : found.start() if found else end]
-        if piece:
+        if piece and not control:
             text.append(piece)
             linked += len(piece) if in_link else 0
         if not found:
@@ -112,9 +117,12 @@ def parse(html: str) -> Page:
             in_link = 0 if closing else 1
         elif tag in ("br", "img"):
             text.append(" ")
+        elif tag in CONTROLS:
+            control = "" if closing else tag
+            text.append(" ")
         if tag in BLOCKS:
             flush()
-            in_link = 0
+            in_link, control = 0, ""
         if tag in FRAME:
             if closing:
                 if any(t == tag for t, _ in stack):
@@ -141,7 +149,11 @@ def is_furniture(place: str) -> bool:
             continue
         for n in names:
             words = re.split(r"[-_:]+", n)
-            if any(w in ARTICLE_MARKS for w in words) or words[0] in ARTICLE_NAMES if around else any(w in MARKS for w in words):
+            if around:
+                named = words[0] in ARTICLE_NAMES and all(w in PARTS or w in ARTICLE_NAMES or not w for w in words[1:])
+                if named or any(w in ARTICLE_MARKS for w in words):
+                    return True
+            elif any(w in MARKS for w in words):
                 return True
     return False
 
@@ -215,7 +227,7 @@ def templates(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 
     # A page is told from others by its address and content, and by a number where both repeat.
     page_name = F.concat_ws(" ", F.xxhash64(url, html), F.monotonically_increasing_id())
-    pages = df.select(host_of(F.col(url)).alias("host"), page_name.alias("page"), html)
+    pages = df.select(host_of(F.col(f"`{url}`")).alias("host"), page_name.alias("page"), F.col(f"`{html}`"))
     counted = pages.mapInArrow(run, "host string, page string, place string, n long, chars long, links long")
     tokens = counted.groupBy("host", "place").agg(
         F.count("*").alias("pages"), F.sum("n").alias("n"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"), F.sum("chars").alias("chars"), F.sum("links").alias("links")
@@ -235,11 +247,13 @@ def extract(df: DataFrame, found: DataFrame, url: str = "url", html: str = "html
     """``df`` without ``html`` and with ``out``, the main text, by the templates of ``templates``."""
     kept = [f for f in df.schema.fields if f.name not in (html, out)]
     schema = T.StructType([*kept, T.StructField(out, T.StringType())])
-    joined = df.withColumn("_host", host_of(F.col(url))).join(found.select(F.col("host").alias("_host"), F.col("slots").alias("_slots")), "_host", "left")
+    host, slots, page = (unused(df, n) for n in ("host", "slots", "page"))
+    hosts = found.select(F.col("host").alias(host), F.col("slots").alias(slots))
+    joined = df.withColumns({host: host_of(F.col(f"`{url}`")), page: F.col(f"`{html}`")}).join(hosts, host, "left")
 
     def run(batches: Batches) -> Batches:
         for batch in slices(batches, 200):
             texts = [main_text(parse(t), dict(s or ())) for t, s in zip(texts_of(batch.column(len(kept))), batch.column(len(kept) + 1).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(texts, pa.string())], names=schema.fieldNames())
 
-    return joined.select(*[f.name for f in kept], html, "_slots").mapInArrow(run, schema)
+    return joined.select(*[F.col(f"`{f.name}`") for f in kept], page, slots).mapInArrow(run, schema)
